@@ -126,14 +126,23 @@ def chunked_window(df: DataFrame, partition_by: list[str], order_by: list[str],
 
 
 def global_position(df: DataFrame, order_by: list[str], name: str = "_pos",
+                    partition_by: list[str] | None = None,
                     rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
-    """Add a 0-based position over the total order ``order_by`` of the whole table."""
-    c = assign_chunks(df.withColumn("_all", F.lit(0)), ["_all"], order_by[0], rows_per_chunk)
-    counts = c.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_bn"))
-    wb = Window.orderBy("_chunk")  # one row per chunk: bounded by n / rows_per_chunk
-    counts = counts.withColumn("_off", F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-    counts = counts.select("_chunk", F.coalesce("_off", F.lit(0)).alias("_off"))
-    j = c.join(counts, "_chunk", "inner")
-    w = Window.partitionBy("_chunk").orderBy(*[F.col(x) for x in order_by])
+    """Add a 0-based position in the total order ``order_by`` (per ``partition_by`` group,
+    or over the whole table) without a single-partition sort.
+
+    Rows are cut into chunks by the first order column, chunk sizes are counted, their
+    offsets summed over the small chunk table, and rows numbered inside their chunk.
+    """
+    part = list(partition_by or [])
+    base = df if part else df.withColumn("_all", F.lit(0))
+    gp = part or ["_all"]
+    c = assign_chunks(base, gp, order_by[0], rows_per_chunk)
+    counts = c.groupBy(*gp, "_chunk").agg(F.count(F.lit(1)).alias("_bn"))
+    wb = Window.partitionBy(*gp).orderBy("_chunk")  # one row per chunk: n / rows_per_chunk rows
+    counts = counts.withColumn("_off", F.coalesce(
+        F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = _join_on(c, counts.drop("_bn"), [*gp, "_chunk"])
+    w = Window.partitionBy(*gp, "_chunk").orderBy(*[F.col(x) for x in order_by])
     return (j.withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
             .drop("_chunk", "_off", "_nchunks", "_all"))

@@ -328,3 +328,266 @@ def q_add_oee_features(spark, sf):
                     F.round("cycle_mean_art", 9).alias("cycle_mean_art"),
                     F.round("cycle_std_art", 9).alias("cycle_std_art"),
                     F.round("rolling_oee_3", 9).alias("rolling_oee_3"), "lag_1_oee", "lag_2_oee", "lag_3_oee")
+
+
+# ---------------------------------------------------------------- labels, splits, folds
+
+from oeeflow.operators import encode, folds, interact, labels, marts_anomaly, marts_oee  # noqa: E402
+
+_W = f"PARTITION BY machine {_ORDER_SQL}"
+FEAT_CTE = f"""
+feat AS (
+  SELECT * FROM (
+    SELECT *, lag(inefficiency, 1) OVER ({_W}) AS lag_1, lag(inefficiency, 2) OVER ({_W}) AS lag_2,
+           lag(inefficiency, 3) OVER ({_W}) AS lag_3
+    FROM work_orders) t
+  WHERE lag_1 IS NOT NULL AND lag_2 IS NOT NULL AND lag_3 IS NOT NULL
+)"""
+
+
+def feat_rows(spark, sf):
+    return features.features_classification(work_orders(spark, sf))
+
+
+@register("label_mean_std", with_wo("""
+SELECT label, count(*) AS n, round(min(m), 9) AS attention_cut, round(min(m + s), 9) AS anomaly_cut FROM (
+  SELECT f.*, CASE WHEN inefficiency <= m THEN 0 WHEN inefficiency <= m + s THEN 1 ELSE 2 END AS label, m, s
+  FROM feat f, (SELECT avg(inefficiency) AS m, stddev_samp(inefficiency) AS s FROM feat) st) t
+GROUP BY label""", FEAT_CTE))
+def q_label_mean_std(spark, sf):
+    d = labels.label_mean_std(feat_rows(spark, sf))
+    return d.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("attention_cut"), 9).alias("attention_cut"),
+                                  F.round(F.min("anomaly_cut"), 9).alias("anomaly_cut"))
+
+
+_SPLIT_CTE = f"""
+pos AS (SELECT *, row_number() OVER (ORDER BY end_ts, wo, phase, l_partkey, l_suppkey) - 1 AS _pos,
+               count(*) OVER () AS _n FROM feat),
+split AS (SELECT *, _pos < floor(CAST(_n AS DOUBLE) * 0.8) AS is_train FROM pos)"""
+
+
+@register("label_train_quantiles", with_wo("""
+SELECT label, CAST(is_train AS INTEGER) AS is_train, count(*) AS n, round(min(p60), 9) AS attention_cut,
+       round(min(p85), 9) AS anomaly_cut
+FROM (SELECT s.*, CASE WHEN inefficiency <= p60 THEN 0 WHEN inefficiency <= p85 THEN 1 ELSE 2 END AS label, p60, p85
+      FROM split s, (SELECT quantile_cont(inefficiency, 0.6) AS p60, quantile_cont(inefficiency, 0.85) AS p85
+                     FROM split WHERE is_train) q) t
+GROUP BY label, is_train""", FEAT_CTE, _SPLIT_CTE))
+def q_label_train_quantiles(spark, sf):
+    d = labels.label_train_quantiles(feat_rows(spark, sf))
+    return d.groupBy("label", F.col("is_train").cast("int").alias("is_train")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.min("attention_cut"), 9).alias("attention_cut"),
+        F.round(F.min("anomaly_cut"), 9).alias("anomaly_cut"))
+
+
+@register("label_p85_binary", with_wo("""
+SELECT CASE WHEN inefficiency > p85 THEN 1 ELSE 0 END AS label, count(*) AS n, round(min(p85), 9) AS anomaly_cut
+FROM feat, (SELECT quantile_cont(inefficiency, 0.85) AS p85 FROM feat) q GROUP BY 1""", FEAT_CTE))
+def q_label_p85_binary(spark, sf):
+    d = labels.label_p85_binary(feat_rows(spark, sf))
+    return d.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("anomaly_cut"), 9).alias("anomaly_cut"))
+
+
+@register("temporal_split", with_wo("""
+SELECT CAST(is_train AS INTEGER) AS is_train, count(*) AS n, min(_pos) AS first_pos, max(_pos) AS last_pos,
+       strftime(min(end_ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(end_ts), '%Y-%m-%d %H:%M:%S') AS last_ts
+FROM split GROUP BY is_train""", FEAT_CTE, _SPLIT_CTE))
+def q_temporal_split(spark, sf):
+    d = folds.temporal_split(feat_rows(spark, sf))
+    return d.groupBy(F.col("is_train").cast("int").alias("is_train")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_pos").alias("first_pos"), F.max("_pos").alias("last_pos"),
+        F.date_format(F.min("end_ts"), "yyyy-MM-dd HH:mm:ss").alias("first_ts"),
+        F.date_format(F.max("end_ts"), "yyyy-MM-dd HH:mm:ss").alias("last_ts"))
+
+
+@register("time_series_folds", with_wo("""
+SELECT test_fold, train_from_fold, count(*) AS n, min(_pos) AS first_pos, max(_pos) AS last_pos FROM (
+  SELECT *, CASE WHEN _pos >= _first AND _k < 5 THEN _k END AS test_fold,
+            CASE WHEN _pos < _first THEN 0 WHEN _k + 1 < 5 THEN _k + 1 END AS train_from_fold
+  FROM (SELECT *, _n - 5 * _size AS _first, CAST(floor((_pos - (_n - 5 * _size)) / _size) AS BIGINT) AS _k
+        FROM (SELECT *, _n // 6 AS _size FROM pos) a) b) c
+GROUP BY test_fold, train_from_fold""", FEAT_CTE, _SPLIT_CTE))
+def q_time_series_folds(spark, sf):
+    d = folds.time_series_folds(feat_rows(spark, sf))
+    return d.groupBy("test_fold", "train_from_fold").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_pos").alias("first_pos"), F.max("_pos").alias("last_pos"))
+
+
+_LBL_CTE = """
+lbl AS (SELECT *, CASE WHEN inefficiency > (SELECT quantile_cont(inefficiency, 0.85) FROM feat) THEN 1 ELSE 0 END AS label
+        FROM feat),
+lc AS (SELECT label, count(*) AS nl FROM lbl GROUP BY label)"""
+
+
+@register("make_folds_stratified", with_wo("""
+SELECT label, CAST(f AS INTEGER) AS fold, nl // 5 + CASE WHEN f < nl % 5 THEN 1 ELSE 0 END AS n
+FROM lc, range(5) r(f)""", FEAT_CTE, _LBL_CTE))
+def q_make_folds_stratified(spark, sf):
+    d = folds.make_folds(labels.label_p85_binary(feat_rows(spark, sf)), "stratified", 5, label="label")
+    return d.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stratified_split", with_wo("""
+SELECT label, 1 AS is_test, CAST(ceil(nl * 0.2) AS BIGINT) AS n FROM lc
+UNION ALL SELECT label, 0, nl - CAST(ceil(nl * 0.2) AS BIGINT) FROM lc""", FEAT_CTE, _LBL_CTE))
+def q_stratified_split(spark, sf):
+    d = folds.stratified_split(labels.label_p85_binary(feat_rows(spark, sf)), "label")
+    return d.groupBy("label", F.col("is_test").cast("int").alias("is_test")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- article grouping
+
+TOP_CTE = """
+top20 AS (SELECT article, count(*) AS n FROM work_orders WHERE article IS NOT NULL
+          GROUP BY article ORDER BY n DESC, article ASC LIMIT 20)"""
+
+
+@register("top_articles", with_wo("SELECT article, n FROM top20", TOP_CTE))
+def q_top_articles(spark, sf):
+    return encode.top_articles(work_orders(spark, sf), 20)
+
+
+@register("group_rare_articles", with_wo("""
+SELECT CASE WHEN article IN (SELECT article FROM top20) THEN article ELSE 'ALTRO' END AS article_group, count(*) AS n
+FROM work_orders GROUP BY 1""", TOP_CTE))
+def q_group_rare_articles(spark, sf):
+    wo = work_orders(spark, sf)
+    g = encode.group_rare_articles(wo, encode.top_articles(wo, 20))
+    return g.groupBy("article_group").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("filter_known_articles", with_wo("""
+SELECT machine, count(*) AS n FROM work_orders WHERE article IN (SELECT article FROM top20) GROUP BY machine""", TOP_CTE))
+def q_filter_known_articles(spark, sf):
+    wo = work_orders(spark, sf)
+    return (encode.filter_known_articles(wo, encode.top_articles(wo, 20).select("article"), col="article")
+            .groupBy("machine").agg(F.count(F.lit(1)).alias("n")))
+
+
+# ---------------------------------------------------------------- table interactions
+
+@register("table_filter", with_wo(f"""
+SELECT {KEY_SQL}, oee FROM oee_rows
+WHERE oee IS NOT NULL AND oee >= 0.7 AND article IS NOT NULL AND contains(lower(article), 'brand#1')
+  AND abs(quality - 1.0) >= 0.001""", OEE_CTE))
+def q_table_filter(spark, sf):
+    o = oee_rows(spark, sf)
+    f = interact.table_filter(o, {"oee": ">=0.7", "article": "Brand#1", "quality": "!=1"},
+                              numeric_cols=["oee", "quality"])
+    return f.select(*_key_cols(), "oee")
+
+
+@register("filter_period", with_wo(f"""
+SELECT {KEY_SQL}, oee FROM oee_rows, (SELECT max(CAST(end_ts AS DATE)) AS mx FROM oee_rows) m
+WHERE CAST(end_ts AS DATE) >= mx - INTERVAL 3 MONTH""", OEE_CTE))
+def q_filter_period(spark, sf):
+    return interact.filter_period(oee_rows(spark, sf), "3m").select(*_key_cols(), "oee")
+
+
+@register("table_sort", with_wo(f"""
+SELECT {KEY_SQL}, oee, row_number() OVER (ORDER BY oee DESC NULLS LAST, end_ts, wo, phase, l_partkey, l_suppkey) AS row_number
+FROM oee_rows""", OEE_CTE))
+def q_table_sort(spark, sf):
+    s = interact.table_sort(oee_rows(spark, sf), "oee", ascending=False, tie_breakers=ORDER_TIES)
+    return s.select(*_key_cols(), "oee", "row_number")
+
+
+ORDER_TIES = ["end_ts", "wo", "phase", "l_partkey", "l_suppkey"]
+
+
+# ---------------------------------------------------------------- OEE marts
+
+OEE_VALID_CTE = """
+ov AS (SELECT *, strftime(end_ts, '%Y-%m') AS month FROM oee_rows WHERE oee IS NOT NULL)"""
+
+
+def oee_valid(spark, sf):
+    return marts_oee.prepare_oee(oee_rows(spark, sf))
+
+
+@register("oee_monthly_trend", with_wo("""
+SELECT month, round(avg(oee), 4) AS oee, round(avg(availability), 4) AS availability,
+       round(avg(performance), 4) AS performance, round(avg(quality), 4) AS quality
+FROM ov WHERE month IS NOT NULL GROUP BY month""", OEE_CTE, OEE_VALID_CTE))
+def q_oee_monthly_trend(spark, sf):
+    return marts_oee.oee_monthly_trend(oee_valid(spark, sf))
+
+
+@register("oee_class_distribution", with_wo("""
+SELECT oee_class, count(*) AS n,
+       CASE oee_class WHEN 'Ottimo' THEN 0 WHEN 'Accettabile' THEN 1 WHEN 'Critico' THEN 2 END AS display_order
+FROM ov WHERE oee_class IS NOT NULL GROUP BY oee_class""", OEE_CTE, OEE_VALID_CTE))
+def q_oee_class_distribution(spark, sf):
+    return marts_oee.oee_class_distribution(oee_valid(spark, sf))
+
+
+@register("oee_by_article", with_wo("""
+SELECT article, round(m, 4) AS oee FROM (
+  SELECT article, avg(oee) AS m FROM ov WHERE article IS NOT NULL GROUP BY article) t
+WHERE m IS NOT NULL ORDER BY m, article LIMIT 15""", OEE_CTE, OEE_VALID_CTE))
+def q_oee_by_article(spark, sf):
+    return marts_oee.oee_by_article(oee_valid(spark, sf))
+
+
+@register("oee_kpis", with_wo("""
+SELECT round(avg(oee) * 100, 1) AS oee_pct, round(avg(availability) * 100, 1) AS availability_pct,
+       round(avg(performance) * 100, 1) AS performance_pct, round(avg(quality) * 100, 1) AS quality_pct,
+       count(*) FILTER (WHERE oee < 0.65) AS n_critical, count(*) FILTER (WHERE oee >= 0.85) AS n_world_class,
+       count(*) AS n_total
+FROM ov""", OEE_CTE, OEE_VALID_CTE))
+def q_oee_kpis(spark, sf):
+    return marts_oee.oee_kpis(oee_valid(spark, sf))
+
+
+@register("oee_kpis_by_period", with_wo("""
+SELECT round(avg(round(oee, 4)) * 100, 1) AS oee_pct, round(avg(round(availability, 4)) * 100, 1) AS availability_pct,
+       round(avg(round(performance, 4)) * 100, 1) AS performance_pct, round(avg(round(quality, 4)) * 100, 1) AS quality_pct,
+       count(*) FILTER (WHERE round(oee, 4) >= 0.85) AS n_optimal,
+       count(*) FILTER (WHERE round(oee, 4) >= 0.65 AND round(oee, 4) < 0.85) AS n_acceptable,
+       count(*) FILTER (WHERE round(oee, 4) < 0.65) AS n_critical, count(*) AS n_orders
+FROM ov, (SELECT max(CAST(end_ts AS DATE)) AS mx FROM ov) m
+WHERE CAST(end_ts AS DATE) >= mx - INTERVAL 12 MONTH""", OEE_CTE, OEE_VALID_CTE))
+def q_oee_kpis_by_period(spark, sf):
+    return marts_oee.oee_kpis_by_period(oee_valid(spark, sf), "1y")
+
+
+_OEE_TABLE_SQL = """wo, phase, article, {ts} AS end_ts, round(oee, 4) AS oee, oee_class, round(availability, 4) AS availability,
+       round(performance, 4) AS performance, round(quality, 4) AS quality"""
+
+
+@register("worst_orders", with_wo(f"""
+SELECT {_OEE_TABLE_SQL.format(ts="end_ts")} FROM (
+  SELECT * FROM ov WHERE oee < 0.65 ORDER BY oee, end_ts, wo, phase, l_partkey, l_suppkey LIMIT 10) t""",
+                                  OEE_CTE, OEE_VALID_CTE))
+def q_worst_orders(spark, sf):
+    w = marts_oee.worst_orders(oee_valid(spark, sf))
+    return w.withColumn("end_ts", F.col("end_ts"))
+
+
+@register("oee_order_table", with_wo(f"""
+SELECT {_OEE_TABLE_SQL.format(ts="strftime(end_ts, '%Y-%m-%d')")} FROM ov""", OEE_CTE, OEE_VALID_CTE))
+def q_oee_order_table(spark, sf):
+    return marts_oee.oee_order_table(oee_valid(spark, sf))
+
+
+@register("last_n_per_group", with_wo("""
+SELECT article, phase, max(CASE WHEN r = 1 THEN oee END) AS oee_last1, max(CASE WHEN r = 2 THEN oee END) AS oee_last2,
+       max(CASE WHEN r = 3 THEN oee END) AS oee_last3
+FROM (SELECT article, phase, oee, row_number() OVER (PARTITION BY article, phase
+        ORDER BY end_ts DESC, wo DESC, phase DESC, l_partkey DESC, l_suppkey DESC) AS r
+      FROM ov WHERE article IS NOT NULL AND phase IS NOT NULL) t
+GROUP BY article, phase""", OEE_CTE, OEE_VALID_CTE))
+def q_last_n_per_group(spark, sf):
+    return marts_oee.last_n_per_group(oee_valid(spark, sf), ["article", "phase"], "oee", 3)
+
+
+@register("oee_forecast_fallback", with_wo("""
+SELECT article, phase, round(avg(oee) * 100, 1) AS oee_pct, count(*) AS n,
+       CASE WHEN round(avg(oee) * 100, 1) >= 85 THEN 'fc-green' WHEN round(avg(oee) * 100, 1) >= 65 THEN 'fc-warn'
+            ELSE 'fc-danger' END AS risk_class, false AS use_model,
+       round(coalesce(avg(availability), 0.0) * 100, 1) AS availability_pct,
+       round(coalesce(avg(performance), 0.0) * 100, 1) AS performance_pct,
+       round(coalesce(avg(quality), 0.0) * 100, 1) AS quality_pct
+FROM ov WHERE article IS NOT NULL AND phase IS NOT NULL GROUP BY article, phase""", OEE_CTE, OEE_VALID_CTE))
+def q_oee_forecast_fallback(spark, sf):
+    return marts_oee.oee_forecast(oee_valid(spark, sf))
