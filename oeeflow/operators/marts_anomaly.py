@@ -210,4 +210,4 @@ def anomaly_order_table(s: DataFrame, n: int | None = None, attention_cut: float
     out = s.select(*cols, "end_ts", "l_partkey", "l_suppkey")
     if n is not None:
         out = out.orderBy(F.desc("end_ts"), F.desc("wo"), F.desc("phase"), F.desc("l_partkey"), F.desc("l_suppkey")).limit(n)
-    return out.drop("end_ts")
+    return out.drop("end_ts") if n is not None else out.drop("end_ts")

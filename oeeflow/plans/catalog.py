@@ -591,3 +591,161 @@ SELECT article, phase, round(avg(oee) * 100, 1) AS oee_pct, count(*) AS n,
 FROM ov WHERE article IS NOT NULL AND phase IS NOT NULL GROUP BY article, phase""", OEE_CTE, OEE_VALID_CTE))
 def q_oee_forecast_fallback(spark, sf):
     return marts_oee.oee_forecast(oee_valid(spark, sf))
+
+
+# ---------------------------------------------------------------- anomaly marts
+
+SCORED_CTE = """
+cuts AS (SELECT quantile_cont(inefficiency, 0.6) AS p60, quantile_cont(inefficiency, 0.85) AS p85 FROM feat),
+scored AS (
+  SELECT f.*, CASE WHEN article IN (SELECT article FROM top20) THEN article ELSE 'ALTRO' END AS article_group,
+         CASE WHEN inefficiency > p85 THEN 1 ELSE 0 END AS is_anomaly,
+         CASE WHEN inefficiency >= p85 THEN 2 WHEN inefficiency >= p60 THEN 1 ELSE 0 END AS label3,
+         round(least(greatest(lag_1 / 4, 0.0), 1.0), 2) AS prob_anomaly,
+         CASE WHEN lag_1 >= p85 THEN 2 WHEN lag_1 >= p60 THEN 1 ELSE 0 END AS pred3,
+         strftime(end_ts, '%Y-%m') AS month,
+         CASE WHEN work_hours IS NULL OR cycle_hours IS NULL THEN NULL ELSE greatest(work_hours - cycle_hours, 0.0) END AS lost
+  FROM feat f, cuts
+)"""
+
+
+def _a_sql(body: str) -> str:
+    return with_wo(body, FEAT_CTE, TOP_CTE, SCORED_CTE)
+
+
+def scored_rows(spark, sf):
+    wo = work_orders(spark, sf)
+    s = marts_anomaly.prepare_anomaly(wo, encode.top_articles(wo, 20))
+    return marts_anomaly.lag_score(s)
+
+
+@register("anomaly_kpis", _a_sql("""
+SELECT strftime(min(end_ts), '%b %Y') || ' – ' || strftime(max(end_ts), '%b %Y') AS period, count(*) AS n_total,
+       count(*) FILTER (WHERE is_anomaly = 1) AS n_anomalies, count(*) FILTER (WHERE is_anomaly = 0) AS n_normal,
+       round(count(*) FILTER (WHERE is_anomaly = 1) / greatest(count(*), 1) * 100, 1) AS rate_pct,
+       round(coalesce(sum(lost), 0.0), 1) AS lost_hours
+FROM scored"""))
+def q_anomaly_kpis(spark, sf):
+    return marts_anomaly.anomaly_kpis(scored_rows(spark, sf))
+
+
+@register("anomaly_month_delta", _a_sql("""
+WITH m AS (SELECT month, count(*) FILTER (WHERE is_anomaly = 1) AS n FROM scored WHERE end_ts IS NOT NULL GROUP BY month),
+r AS (SELECT *, row_number() OVER (ORDER BY month DESC) AS rk FROM m)
+SELECT a.month AS last_month, b.month AS prev_month, a.n - b.n AS delta,
+       CASE WHEN a.n - b.n >= 0 THEN '+' ELSE '' END || CAST(a.n - b.n AS VARCHAR) || ' vs ' || b.month AS label
+FROM r a, r b WHERE a.rk = 1 AND b.rk = 2"""))
+def q_anomaly_month_delta(spark, sf):
+    return marts_anomaly.anomaly_month_delta(scored_rows(spark, sf))
+
+
+@register("anomaly_kpis_by_period", _a_sql("""
+WITH j AS (
+  SELECT s.*, CAST(end_ts AS DATE) AS d, mx,
+         CASE WHEN round(work_hours, 3) IS NULL OR round(cycle_hours, 3) IS NULL THEN NULL
+              ELSE greatest(round(work_hours, 3) - round(cycle_hours, 3), 0.0) END AS lost3
+  FROM scored s, (SELECT max(CAST(end_ts AS DATE)) AS mx FROM scored) m),
+a AS (
+  SELECT count(*) FILTER (WHERE d >= mx - INTERVAL 3 MONTH) AS n_total,
+         count(*) FILTER (WHERE d >= mx - INTERVAL 3 MONTH AND is_anomaly = 1) AS n_anomalies,
+         coalesce(sum(lost3) FILTER (WHERE d >= mx - INTERVAL 3 MONTH), 0.0) AS _lost,
+         count(*) FILTER (WHERE d >= mx - INTERVAL 6 MONTH AND d < mx - INTERVAL 3 MONTH) AS prev_total,
+         count(*) FILTER (WHERE d >= mx - INTERVAL 6 MONTH AND d < mx - INTERVAL 3 MONTH AND is_anomaly = 1) AS prev_anomalies,
+         coalesce(sum(lost3) FILTER (WHERE d >= mx - INTERVAL 6 MONTH AND d < mx - INTERVAL 3 MONTH), 0.0) AS _plost
+  FROM j),
+b AS (SELECT *, CASE WHEN n_total > 0 THEN round(n_anomalies / n_total * 100, 1) ELSE 0.0 END AS rate_pct,
+             CASE WHEN prev_total > 0 THEN round(prev_anomalies / prev_total * 100, 1) ELSE 0.0 END AS prev_rate_pct FROM a)
+SELECT n_total, n_anomalies, n_total - n_anomalies AS n_normal, rate_pct, round(_lost, 1) AS lost_hours,
+       prev_total, prev_anomalies, prev_rate_pct, round(_plost, 1) AS prev_lost_hours,
+       n_anomalies - prev_anomalies AS delta_anomalies, round(rate_pct - prev_rate_pct, 1) AS delta_rate_pct,
+       round(round(_lost, 1) - round(_plost, 1), 1) AS delta_lost_hours
+FROM b"""))
+def q_anomaly_kpis_by_period(spark, sf):
+    return marts_anomaly.anomaly_kpis_by_period(scored_rows(spark, sf), "3m")
+
+
+@register("mean_inefficiency_gauge", _a_sql("""
+SELECT round(coalesce(m, 1.0), 6) AS mean_index,
+       CAST(trunc(-90.0 + greatest(0.0, least(1.0, (coalesce(m, 1.0) - 1.0) / 1.0)) * 180) AS INTEGER) AS needle_deg
+FROM (SELECT avg(CASE WHEN round(cycle_hours, 3) > 0 THEN round(work_hours, 3) / round(cycle_hours, 3) END) AS m
+      FROM scored) t"""))
+def q_mean_inefficiency_gauge(spark, sf):
+    return marts_anomaly.mean_inefficiency_gauge(scored_rows(spark, sf))
+
+
+@register("anomaly_by_article", _a_sql("""
+SELECT article_group, count(is_anomaly) AS total, CAST(sum(is_anomaly) AS BIGINT) AS anomalies,
+       round(sum(is_anomaly) / count(is_anomaly) * 100, 1) AS rate_pct
+FROM scored WHERE article_group <> 'ALTRO' GROUP BY article_group HAVING count(is_anomaly) >= 3
+ORDER BY rate_pct DESC, article_group LIMIT 20"""))
+def q_anomaly_by_article(spark, sf):
+    return marts_anomaly.anomaly_by_article(scored_rows(spark, sf))
+
+
+@register("anomaly_by_phase", _a_sql("""
+SELECT phase, count(is_anomaly) AS total, CAST(sum(is_anomaly) AS BIGINT) AS anomalies,
+       round(sum(is_anomaly) / count(is_anomaly) * 100, 1) AS rate_pct
+FROM scored GROUP BY phase HAVING count(is_anomaly) >= 3 ORDER BY rate_pct DESC, phase LIMIT 6"""))
+def q_anomaly_by_phase(spark, sf):
+    return marts_anomaly.anomaly_by_phase(scored_rows(spark, sf))
+
+
+@register("anomaly_by_phase_month", _a_sql("""
+WITH lm AS (SELECT DISTINCT month FROM scored WHERE end_ts IS NOT NULL ORDER BY month DESC LIMIT 6),
+g AS (SELECT month, phase, count(is_anomaly) AS total, CAST(sum(is_anomaly) AS BIGINT) AS anomalies,
+             round(sum(is_anomaly) / count(is_anomaly) * 100, 1) AS rate_pct
+      FROM scored WHERE month IN (SELECT month FROM lm) GROUP BY month, phase HAVING count(is_anomaly) >= 1)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY month ORDER BY rate_pct DESC, phase) AS rank FROM g) t
+WHERE rank <= 6"""))
+def q_anomaly_by_phase_month(spark, sf):
+    return marts_anomaly.anomaly_by_phase_month(scored_rows(spark, sf))
+
+
+@register("lost_hours_by_month", _a_sql("""
+WITH lm AS (SELECT DISTINCT month FROM scored WHERE end_ts IS NOT NULL ORDER BY month DESC LIMIT 6)
+SELECT month, substr(month, 6, 2) || '-' || substr(month, 3, 2) AS label, round(sum(coalesce(lost, 0.0)), 1) AS lost_hours
+FROM scored WHERE month IN (SELECT month FROM lm) GROUP BY month"""))
+def q_lost_hours_by_month(spark, sf):
+    return marts_anomaly.lost_hours_by_month(scored_rows(spark, sf))
+
+
+@register("day_calendar", _a_sql("""
+WITH w AS (SELECT month, day(end_ts) AS day, max(label3) AS mw FROM scored WHERE end_ts IS NOT NULL GROUP BY month, day(end_ts)),
+sp AS (SELECT month, CAST(d AS INTEGER) AS day FROM (SELECT DISTINCT month FROM scored WHERE end_ts IS NOT NULL) m,
+       generate_series(1, day(last_day(CAST(month || '-01' AS DATE)))) g(d))
+SELECT sp.month, sp.day, CASE WHEN mw = 2 THEN 'anomaly' WHEN mw = 1 THEN 'attention' WHEN mw = 0 THEN 'normal'
+                              ELSE 'empty' END AS state
+FROM sp LEFT JOIN w ON sp.month = w.month AND sp.day = w.day"""))
+def q_day_calendar(spark, sf):
+    return marts_anomaly.day_calendar(scored_rows(spark, sf))
+
+
+@register("orders_by_day", _a_sql("""
+SELECT strftime(end_ts, '%Y-%m-%d') AS day, CAST(wo AS VARCHAR) AS wo, coalesce(article, article_group) AS article, phase,
+       CASE WHEN label3 = 2 THEN 'ANOMALIA' WHEN label3 = 1 THEN 'ATTENZIONE' ELSE 'NORMALE' END AS state,
+       round(work_hours, 2) AS real_hours, round(cycle_hours, 2) AS theoretical_hours
+FROM scored WHERE end_ts IS NOT NULL"""))
+def q_orders_by_day(spark, sf):
+    return marts_anomaly.orders_by_day_flat(scored_rows(spark, sf))
+
+
+@register("anomaly_risk_forecast", _a_sql("""
+SELECT article_group, phase, prob_pct, n,
+       CASE WHEN prob_pct >= 60 THEN 'risk-high' WHEN prob_pct >= 35 THEN 'risk-medium' ELSE 'risk-low' END AS risk_class
+FROM (SELECT article_group, phase, CAST(round_even(avg(prob_anomaly) * 100, 0) AS BIGINT) AS prob_pct,
+             count(prob_anomaly) AS n
+      FROM scored WHERE article_group <> 'ALTRO' GROUP BY article_group, phase) t
+WHERE prob_pct > 14"""))
+def q_anomaly_risk_forecast(spark, sf):
+    return marts_anomaly.anomaly_risk_forecast(scored_rows(spark, sf))
+
+
+@register("anomaly_order_table", _a_sql("""
+SELECT wo, article, article_group, phase, work_center_planned, strftime(end_ts, '%d/%m/%Y') AS end_date,
+       strftime(end_ts, '%Y-%m-%d') AS day, round(work_hours, 2) AS work_hours, round(cycle_hours, 2) AS theoretical_hours,
+       round(inefficiency, 3) AS inefficiency,
+       CASE WHEN inefficiency >= 1.422 THEN 'ANOMALIA' WHEN inefficiency >= 1.1511 THEN 'ATTENZIONE' ELSE 'NORMALE' END AS state,
+       is_anomaly, round(prob_anomaly * 100, 2) AS prob_pct, l_partkey, l_suppkey
+FROM scored"""))
+def q_anomaly_order_table(spark, sf):
+    return marts_anomaly.anomaly_order_table(scored_rows(spark, sf))

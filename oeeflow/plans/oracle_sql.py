@@ -77,12 +77,18 @@ raw_export AS (
 )"""
 
 
+def _compose(first: str, body: str, extra_ctes: tuple[str, ...]) -> str:
+    ctes = ",\n".join([first.strip(), *[e.strip() for e in extra_ctes]])
+    b = body.strip()
+    if b[:5].upper() == "WITH ":  # the body's own CTEs join the chain
+        return f"WITH {ctes},\n{b[5:]}"
+    return f"WITH {ctes}\n{b}"
+
+
 def with_wo(body: str, *extra_ctes: str) -> str:
     """``WITH <fixture>[, extra...] <body>``."""
-    ctes = ",\n".join([WO_CTE.strip(), *[e.strip() for e in extra_ctes]])
-    return f"WITH {ctes}\n{body}"
+    return _compose(WO_CTE, body, extra_ctes)
 
 
 def with_raw(body: str, *extra_ctes: str) -> str:
-    ctes = ",\n".join([RAW_CTE.strip(), *[e.strip() for e in extra_ctes]])
-    return f"WITH {ctes}\n{body}"
+    return _compose(RAW_CTE, body, extra_ctes)
