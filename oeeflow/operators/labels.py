@@ -62,8 +62,10 @@ def label_for_report(df: DataFrame, col: str = "inefficiency", attention_cut: fl
     else:
         j, att, ano = df, F.lit(attention_cut), F.lit(anomaly_cut)
     x = F.col(col)
-    j = j.withColumns({"is_anomaly": F.when(x > ano, F.lit(1)).otherwise(F.lit(0)),
-                       "label3": F.when(x >= ano, F.lit(2)).when(x >= att, F.lit(1)).otherwise(F.lit(0))})
+    j = j.withColumns({"attention_cut": att, "anomaly_cut": ano})
+    j = j.withColumns({"is_anomaly": F.when(x > F.col("anomaly_cut"), F.lit(1)).otherwise(F.lit(0)),
+                       "label3": F.when(x >= F.col("anomaly_cut"), F.lit(2))
+                       .when(x >= F.col("attention_cut"), F.lit(1)).otherwise(F.lit(0))})
     return j.drop("_p60", "_p85")
 
 

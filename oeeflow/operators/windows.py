@@ -146,3 +146,18 @@ def global_position(df: DataFrame, order_by: list[str], name: str = "_pos",
     w = Window.partitionBy(*gp, "_chunk").orderBy(*[F.col(x) for x in order_by])
     return (j.withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
             .drop("_chunk", "_off", "_nchunks", "_all"))
+
+
+def cumulative_sums(df: DataFrame, order_col: str, cols: list[str], prefix: str = "cum_",
+                    rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+    """Inclusive running sums of ``cols`` along a numeric ``order_col`` with unique values,
+    computed per chunk plus the chunk offsets (no single-partition window)."""
+    c = assign_chunks(df.withColumn("_all", F.lit(0)), ["_all"], order_col, rows_per_chunk)
+    tot = c.groupBy("_chunk").agg(*[F.sum(x).alias(f"_t_{x}") for x in cols])
+    wb = Window.orderBy("_chunk")  # one row per chunk
+    tot = tot.select("_chunk", *[F.coalesce(F.sum(f"_t_{x}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                            F.lit(0)).alias(f"_o_{x}") for x in cols])
+    j = c.join(tot, "_chunk", "inner")
+    w = Window.partitionBy("_chunk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    out = j.withColumns({f"{prefix}{x}": F.col(f"_o_{x}") + F.sum(x).over(w) for x in cols})
+    return out.drop("_chunk", "_nchunks", "_all", *[f"_o_{x}" for x in cols])

@@ -749,3 +749,396 @@ SELECT wo, article, article_group, phase, work_center_planned, strftime(end_ts,
 FROM scored"""))
 def q_anomaly_order_table(spark, sf):
     return marts_anomaly.anomaly_order_table(scored_rows(spark, sf))
+
+
+# ---------------------------------------------------------------- statistics
+
+from oeeflow.operators import metrics, stats  # noqa: E402
+from oeeflow.schema import CLEAN_SCHEMA  # noqa: E402
+
+_WO_COLS = [f.name for f in CLEAN_SCHEMA.fields]
+
+
+@register("profile_table", with_wo(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_nulls, count(*) AS n_rows FROM work_orders"
+    for c in _WO_COLS)))
+def q_profile_table(spark, sf):
+    return stats.profile_table(work_orders(spark, sf)).select("column", "n_nulls", "n_rows")
+
+
+@register("describe_column", with_wo("""
+SELECT round(avg(inefficiency), 6) AS mean, round(stddev_samp(inefficiency), 6) AS std, count(inefficiency) AS n,
+       round(avg(inefficiency) - stddev_samp(inefficiency), 6) AS mean_minus_std,
+       round(avg(inefficiency) + stddev_samp(inefficiency), 6) AS mean_plus_std FROM work_orders"""))
+def q_describe_column(spark, sf):
+    d = stats.describe_column(work_orders(spark, sf))
+    return d.select(*[F.round(c, 6).alias(c) if c != "n" else F.col(c) for c in d.columns])
+
+
+@register("machine_stats", with_wo("""
+SELECT machine, count(inefficiency) AS count, round(avg(inefficiency), 6) AS mean, round(stddev_samp(inefficiency), 6) AS std,
+       round(avg(CASE WHEN inefficiency IS NOT NULL THEN CAST(inefficiency > 1.5 AS DOUBLE) END), 6) AS share_over_1_5,
+       round(avg(CASE WHEN inefficiency IS NOT NULL THEN CAST(inefficiency > 1.8 AS DOUBLE) END), 6) AS share_over_1_8
+FROM work_orders GROUP BY machine"""))
+def q_machine_stats(spark, sf):
+    d = stats.machine_stats(work_orders(spark, sf))
+    return d.select("machine", "count", *[F.round(c, 6).alias(c) for c in d.columns if c not in ("machine", "count")])
+
+
+@register("machine_median_rank", with_wo("""
+SELECT machine, round(m, 9) AS median, row_number() OVER (ORDER BY m DESC, machine) AS rank
+FROM (SELECT machine, quantile_cont(inefficiency, 0.5) AS m FROM work_orders GROUP BY machine) t"""))
+def q_machine_median_rank(spark, sf):
+    d = stats.machine_median_rank(work_orders(spark, sf))
+    return d.select("machine", F.round("median", 9).alias("median"), "rank")
+
+
+@register("observations_per_machine", with_wo("""
+SELECT machine, count(*) AS n_obs, CAST(count(*) < 100 AS INTEGER) AS below_min FROM work_orders GROUP BY machine"""))
+def q_observations_per_machine(spark, sf):
+    return stats.observations_per_machine(work_orders(spark, sf))
+
+
+@register("histogram", with_wo("""
+SELECT bin, round(lo + (bin - 1) * (hi - lo) / 50, 9) AS lower, round(lo + bin * (hi - lo) / 50, 9) AS upper, count(*) AS n
+FROM (SELECT CASE WHEN hi = lo THEN 1 ELSE least(CAST(floor((inefficiency - lo) * 50 / (hi - lo)) AS INTEGER) + 1, 50) END AS bin, lo, hi
+      FROM work_orders, (SELECT min(inefficiency) AS lo, max(inefficiency) AS hi FROM work_orders) m
+      WHERE inefficiency IS NOT NULL) t
+GROUP BY bin, lo, hi"""))
+def q_histogram(spark, sf):
+    h = stats.histogram(work_orders(spark, sf), bins=50)
+    return h.select("bin", F.round("lower", 9).alias("lower"), F.round("upper", 9).alias("upper"), "n")
+
+
+@register("boxplot_stats", with_wo("""
+WITH q AS (SELECT machine, quantile_cont(inefficiency, 0.25) AS q1, quantile_cont(inefficiency, 0.5) AS md,
+                  quantile_cont(inefficiency, 0.75) AS q3 FROM work_orders GROUP BY machine)
+SELECT w.machine, round(q1, 9) AS q1, round(md, 9) AS median, round(q3, 9) AS q3,
+       min(CASE WHEN inefficiency >= q1 - 1.5 * (q3 - q1) THEN inefficiency END) AS whisker_low,
+       max(CASE WHEN inefficiency <= q3 + 1.5 * (q3 - q1) THEN inefficiency END) AS whisker_high,
+       count(*) FILTER (WHERE inefficiency < q1 - 1.5 * (q3 - q1) OR inefficiency > q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM work_orders w JOIN q ON w.machine = q.machine GROUP BY w.machine, q1, md, q3"""))
+def q_boxplot_stats(spark, sf):
+    b = stats.boxplot_stats(work_orders(spark, sf))
+    return b.select("machine", *[F.round(c, 9).alias(c) for c in ["q1", "median", "q3"]],
+                    "whisker_low", "whisker_high", "n_outliers")
+
+
+@register("skewness", with_wo("""
+SELECT machine, round(skewness(inefficiency), 6) AS skewness, count(inefficiency) AS n FROM work_orders GROUP BY machine"""))
+def q_skewness(spark, sf):
+    s = stats.skewness(work_orders(spark, sf), by=["machine"])
+    return s.select("machine", F.round("skewness", 6).alias("skewness"), "n")
+
+
+_CORR_COLS = ["pieces_counted", "qty_erp", "pieces_to_advance", "setup_hours", "erp_machine_hours", "erp_setup_hours",
+              "cycle_hours", "scrap_machining", "weekday", "month", "iso_week", "rolling_mean_10", "rolling_std_10",
+              "lag_1", "scrap_ratio", "erp_setup_machine_ratio"]
+
+
+def _corr_sql() -> str:
+    import itertools
+    pairs = list(itertools.combinations(_CORR_COLS, 2))
+    sel = ", ".join(f"corr({a}, {b}) AS c{i}" for i, (a, b) in enumerate(pairs))
+    rows = " UNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, c{i} AS corr FROM agg" for i, (a, b) in enumerate(pairs))
+    feat = f"""
+fx AS (
+  SELECT *, isodow(end_ts) - 1 AS weekday, month(end_ts) AS month, weekofyear(end_ts) AS iso_week,
+         avg(inefficiency) OVER ({_W} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS rolling_mean_10,
+         stddev_samp(inefficiency) OVER ({_W} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS rolling_std_10,
+         lag(inefficiency, 1) OVER ({_W}) AS lag_1, lag(inefficiency, 2) OVER ({_W}) AS lag_2,
+         lag(inefficiency, 3) OVER ({_W}) AS lag_3,
+         (scrap_material + scrap_machining) / nullif(pieces_counted, 0) AS scrap_ratio,
+         erp_setup_hours / nullif(erp_machine_hours, 0.0) AS erp_setup_machine_ratio
+  FROM work_orders),
+fxd AS (SELECT * FROM fx WHERE lag_1 IS NOT NULL AND lag_2 IS NOT NULL AND lag_3 IS NOT NULL),
+agg AS (SELECT {sel} FROM fxd)"""
+    return with_wo(f"SELECT col_a, col_b, round(corr, 6) AS corr FROM ({rows}) t WHERE abs(corr) > 0.7", feat)
+
+
+@register("correlated_pairs", _corr_sql())
+def q_correlated_pairs(spark, sf):
+    c = stats.correlated_pairs(features.features_inefficiency(work_orders(spark, sf)), _CORR_COLS)
+    return c.select("col_a", "col_b", F.round("corr", 6).alias("corr"))
+
+
+@register("class_distribution", _a_sql("""
+SELECT label3, count(*) AS n, round(count(*) / sum(count(*)) OVER () * 100, 6) AS pct FROM scored GROUP BY label3"""))
+def q_class_distribution(spark, sf):
+    d = stats.class_distribution(scored_rows(spark, sf), "label3")
+    return d.select("label3", "n", F.round("pct", 6).alias("pct"))
+
+
+# ---------------------------------------------------------------- metrics
+
+def _r6(df):
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@register("regression_metrics", with_wo("""
+SELECT count(*) AS n, round(1 - sum((work_hours - theoretical_hours) ^ 2) / (var_pop(work_hours) * count(*)), 6) AS r2,
+       round(avg(abs(work_hours - theoretical_hours)), 6) AS mae, round(avg((work_hours - theoretical_hours) ^ 2), 6) AS mse,
+       round(sqrt(avg((work_hours - theoretical_hours) ^ 2)), 6) AS rmse
+FROM work_orders WHERE work_hours IS NOT NULL AND theoretical_hours IS NOT NULL"""))
+def q_regression_metrics(spark, sf):
+    return _r6(metrics.regression_metrics(work_orders(spark, sf), "work_hours", "theoretical_hours"))
+
+
+@register("mape", with_wo("""
+SELECT round(avg(CASE WHEN work_hours <> 0 THEN abs((work_hours - erp_machine_hours) / work_hours) END) * 100, 6) AS mape
+FROM work_orders"""))
+def q_mape(spark, sf):
+    return _r6(metrics.mape(work_orders(spark, sf), "work_hours", "erp_machine_hours"))
+
+
+@register("within_tolerance", with_wo(f"""
+SELECT round(avg(CAST(abs(oee - lag_1_oee) <= 0.05 AS DOUBLE)), 6) AS within_5,
+       round(avg(CAST(abs(oee - lag_1_oee) <= 0.1 AS DOUBLE)), 6) AS within_10
+FROM (SELECT oee, lag(oee, 1) OVER (PARTITION BY machine {_ORDER_SQL}) AS lag_1_oee FROM oee_rows) t
+WHERE oee IS NOT NULL AND lag_1_oee IS NOT NULL""", OEE_CTE))
+def q_within_tolerance(spark, sf):
+    f = features.add_oee_rolling_and_lags(oee_rows(spark, sf))
+    return _r6(metrics.within_tolerance(f, "oee", "lag_1_oee"))
+
+
+@register("confusion_matrix", _a_sql("""
+SELECT t.v AS "true", p.v AS pred, count(s.label3) AS n
+FROM (VALUES (0), (1), (2)) t(v) CROSS JOIN (VALUES (0), (1), (2)) p(v)
+LEFT JOIN scored s ON s.label3 = t.v AND s.pred3 = p.v GROUP BY t.v, p.v"""))
+def q_confusion_matrix(spark, sf):
+    return metrics.confusion_matrix(scored_rows(spark, sf), "label3", "pred3", [0, 1, 2])
+
+
+@register("classification_report", _a_sql("""
+WITH cm AS (SELECT label3 AS t, pred3 AS p, count(*) AS n FROM scored GROUP BY 1, 2),
+cls AS (SELECT t AS c FROM cm UNION SELECT p FROM cm),
+pc AS (SELECT c, coalesce((SELECT sum(n) FROM cm WHERE t = c AND p = c), 0) AS tp,
+              coalesce((SELECT sum(n) FROM cm WHERE t = c), 0) AS support,
+              coalesce((SELECT sum(n) FROM cm WHERE p = c), 0) AS predicted FROM cls),
+m AS (SELECT c, tp, support, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+             CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM pc),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM m)
+SELECT CAST(c AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+                 round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f"""))
+def q_classification_report(spark, sf):
+    return _r6(metrics.classification_report(scored_rows(spark, sf), "label3", "pred3"))
+
+
+@register("roc_auc", _a_sql("""
+WITH g AS (SELECT prob_anomaly AS s, count(*) FILTER (WHERE is_anomaly = 1) AS pos, count(*) FILTER (WHERE is_anomaly <> 1) AS neg
+           FROM scored WHERE prob_anomaly IS NOT NULL GROUP BY prob_anomaly),
+c AS (SELECT *, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM g)
+SELECT round(sum(pos * ((cum_neg - neg) + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c"""))
+def q_roc_auc(spark, sf):
+    return _r6(metrics.roc_auc(scored_rows(spark, sf), "is_anomaly", "prob_anomaly"))
+
+
+@register("recall_of_class", _a_sql("""
+SELECT round(coalesce(count(*) FILTER (WHERE label3 = 2 AND pred3 = 2) / nullif(count(*) FILTER (WHERE label3 = 2), 0), 0.0), 6) AS recall
+FROM scored"""))
+def q_recall_of_class(spark, sf):
+    return _r6(metrics.recall_of_class(scored_rows(spark, sf), "label3", "pred3", 2))
+
+
+_SCORED_SPLIT = """
+spos AS (SELECT *, row_number() OVER (ORDER BY end_ts, wo, phase, l_partkey, l_suppkey) - 1 AS _pos, count(*) OVER () AS _n
+         FROM scored),
+ssplit AS (SELECT *, _pos < floor(CAST(_n AS DOUBLE) * 0.8) AS is_train FROM spos)"""
+
+
+@register("overfit_check", with_wo("""
+SELECT round(tr, 6) AS train_accuracy, round(te, 6) AS test_accuracy, round(tr - te, 6) AS gap,
+       CASE WHEN tr - te > 0.05 THEN 'OVERFITTING' ELSE 'OK' END AS verdict
+FROM (SELECT avg(CAST(label3 = pred3 AS DOUBLE)) FILTER (WHERE is_train) AS tr,
+             avg(CAST(label3 = pred3 AS DOUBLE)) FILTER (WHERE NOT is_train) AS te FROM ssplit) t""",
+                                   FEAT_CTE, TOP_CTE, SCORED_CTE, _SCORED_SPLIT))
+def q_overfit_check(spark, sf):
+    s = folds.temporal_split(scored_rows(spark, sf))
+    o = metrics.overfit_check(s.filter("is_train"), s.filter("NOT is_train"), "label3", "pred3")
+    return _r6(o)
+
+
+@register("compare_models", with_wo("""
+WITH e AS (
+  SELECT 'theoretical' AS model, work_hours - theoretical_hours AS err, work_hours AS y FROM work_orders
+  UNION ALL SELECT 'erp_machine', work_hours - erp_machine_hours, work_hours FROM work_orders
+  UNION ALL SELECT 'erp_total', work_hours - (erp_machine_hours + erp_setup_hours), work_hours FROM work_orders),
+m AS (SELECT model, sqrt(avg(err * err)) AS rmse, 1 - sum(err * err) / (var_pop(y) * count(*)) AS r2 FROM e GROUP BY model)
+SELECT model, round(rmse, 6) AS rmse, round(r2, 6) AS r2, row_number() OVER (ORDER BY rmse, r2 DESC) AS rank FROM m"""))
+def q_compare_models(spark, sf):
+    wo = work_orders(spark, sf)
+    parts = []
+    for name, est in [("theoretical", F.col("theoretical_hours")), ("erp_machine", F.col("erp_machine_hours")),
+                      ("erp_total", F.col("erp_machine_hours") + F.col("erp_setup_hours"))]:
+        m = metrics.regression_metrics(wo.withColumn("_yhat", est), "work_hours", "_yhat")
+        parts.append(m.select(F.lit(name).alias("model"), "rmse", "r2"))
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    r = metrics.compare_models(u, [F.asc("rmse"), F.desc("r2")])
+    return r.select("model", F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"), "rank")
+
+
+@register("tune_threshold", _a_sql("""
+WITH tcuts AS (SELECT i, 0.05::DOUBLE + CAST(i AS DOUBLE) * 0.01::DOUBLE AS cut FROM range(86) r(i)),
+t AS (SELECT i, cut, count(*) FILTER (WHERE prob_anomaly >= cut AND is_anomaly = 1) AS tp,
+             count(*) FILTER (WHERE prob_anomaly >= cut) AS flagged,
+             (SELECT count(*) FILTER (WHERE is_anomaly = 1) FROM scored) AS positives
+      FROM tcuts LEFT JOIN scored ON true GROUP BY i, cut),
+m AS (SELECT *, CASE WHEN positives > 0 THEN tp / positives ELSE 0.0 END AS recall,
+             CASE WHEN flagged > 0 THEN tp / flagged ELSE 0.0 END AS precision,
+             CASE WHEN flagged + positives > 0 THEN 2 * tp / (flagged + positives) ELSE 0.0 END AS f1,
+             positives - tp AS fn FROM t WHERE flagged > 0),
+c AS (SELECT *, 0 AS pri FROM m WHERE precision >= 0.25 UNION ALL SELECT *, 1 FROM m)
+SELECT round(cut, 6) AS cut, round(recall, 6) AS recall, round(precision, 6) AS precision, round(f1, 6) AS f1, fn,
+       pri = 0 AS precision_floor_met
+FROM c ORDER BY pri, recall DESC, f1 DESC, i LIMIT 1"""))
+def q_tune_threshold(spark, sf):
+    return _r6(metrics.tune_threshold(scored_rows(spark, sf), "is_anomaly", "prob_anomaly"))
+
+
+@register("tune_two_thresholds", _a_sql("""
+WITH r AS (SELECT label3 AS y, prob_anomaly AS p2, round(least(greatest(lag_2 / 4, 0.0), 1.0), 2) AS p1 FROM scored),
+pairs AS (SELECT ia, it, 0.15::DOUBLE + CAST(ia AS DOUBLE) * 0.05::DOUBLE AS ca, 0.2::DOUBLE + CAST(it AS DOUBLE) * 0.05::DOUBLE AS ct
+          FROM range(10) a(ia), range(11) b(it)),
+pp AS (SELECT * FROM pairs WHERE ct >= ca),
+pr AS (SELECT ia, it, ca, ct, y, CASE WHEN p2 >= ca THEN 2 WHEN p1 >= ct THEN 1 ELSE 0 END AS pred FROM pp, r),
+s AS (SELECT ia, it, ca, ct,
+        count(*) FILTER (WHERE y = 0 AND pred = 0) AS tp0, count(*) FILTER (WHERE y = 0) AS sup0, count(*) FILTER (WHERE pred = 0) AS prd0,
+        count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp1, count(*) FILTER (WHERE y = 1) AS sup1, count(*) FILTER (WHERE pred = 1) AS prd1,
+        count(*) FILTER (WHERE y = 2 AND pred = 2) AS tp2, count(*) FILTER (WHERE y = 2) AS sup2, count(*) FILTER (WHERE pred = 2) AS prd2,
+        count(*) FILTER (WHERE y = 2 AND pred = 1) AS err_2_to_1
+      FROM pr GROUP BY ia, it, ca, ct),
+pc AS (SELECT *,
+        CASE WHEN prd0 > 0 THEN tp0 / prd0 ELSE 0.0 END AS p0, CASE WHEN sup0 > 0 THEN tp0 / sup0 ELSE 0.0 END AS r0,
+        CASE WHEN prd1 > 0 THEN tp1 / prd1 ELSE 0.0 END AS p1_, CASE WHEN sup1 > 0 THEN tp1 / sup1 ELSE 0.0 END AS r1,
+        CASE WHEN prd2 > 0 THEN tp2 / prd2 ELSE 0.0 END AS p2_, CASE WHEN sup2 > 0 THEN tp2 / sup2 ELSE 0.0 END AS r2 FROM s),
+f AS (SELECT *,
+        CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0,
+        CASE WHEN p1_ + r1 > 0 THEN 2 * p1_ * r1 / (p1_ + r1) ELSE 0.0 END AS f1,
+        CASE WHEN p2_ + r2 > 0 THEN 2 * p2_ * r2 / (p2_ + r2) ELSE 0.0 END AS f2,
+        CAST(sup0 + prd0 > 0 AS INTEGER) AS e0, CAST(sup1 + prd1 > 0 AS INTEGER) AS e1, CAST(sup2 + prd2 > 0 AS INTEGER) AS e2 FROM pc),
+g AS (SELECT *, r2 AS recall_anomaly, (f0 * e0 + f1 * e1 + f2 * e2) / (e0 + e1 + e2) AS f1_macro FROM f)
+SELECT round(ca, 6) AS cut_anomaly, round(ct, 6) AS cut_attention, round(recall_anomaly, 6) AS recall_anomaly,
+       round(f1_macro, 6) AS f1_macro, err_2_to_1
+FROM g ORDER BY recall_anomaly DESC, err_2_to_1, f1_macro DESC, ia, it LIMIT 1"""))
+def q_tune_two_thresholds(spark, sf):
+    s = scored_rows(spark, sf).withColumn("p1", F.round(F.least(F.greatest(F.col("lag_2") / 4, F.lit(0.0)), F.lit(1.0)), 2))
+    return _r6(metrics.tune_two_thresholds(s, "label3", "prob_anomaly", "p1"))
+
+
+_HOURS_CTE = f"""
+hf AS (SELECT * FROM (
+  SELECT *, avg(work_hours) OVER ({_W} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS rolling_mean_10,
+         lag(work_hours, 1) OVER ({_W}) AS lag_1, lag(work_hours, 2) OVER ({_W}) AS lag_2, lag(work_hours, 3) OVER ({_W}) AS lag_3
+  FROM work_orders) t WHERE lag_1 IS NOT NULL AND lag_2 IS NOT NULL AND lag_3 IS NOT NULL)"""
+
+
+def hours_rows(spark, sf):
+    return features.features_hours(work_orders(spark, sf))
+
+
+@register("compare_times", with_wo(f"""
+SELECT {KEY_SQL}, round(abs(work_hours - erp_machine_hours), 9) AS err_erp, round(abs(work_hours - rolling_mean_10), 9) AS err_model,
+       round(abs(work_hours - theoretical_hours), 9) AS err_theoretical,
+       coalesce(abs(work_hours - rolling_mean_10) < abs(work_hours - erp_machine_hours), false) AS model_better_than_erp,
+       abs(work_hours - theoretical_hours) IS NOT NULL
+         AND coalesce(abs(work_hours - rolling_mean_10) < abs(work_hours - theoretical_hours), false) AS model_better_than_theoretical
+FROM hf""", _HOURS_CTE))
+def q_compare_times(spark, sf):
+    c = metrics.compare_times(hours_rows(spark, sf), "work_hours", "erp_machine_hours", "rolling_mean_10", "theoretical_hours")
+    return c.select(*_key_cols(), *[F.round(x, 9).alias(x) for x in ["err_erp", "err_model", "err_theoretical"]],
+                    "model_better_than_erp", "model_better_than_theoretical")
+
+
+@register("compare_times_summary", with_wo("""
+WITH c AS (SELECT *, abs(work_hours - erp_machine_hours) AS e_erp, abs(work_hours - rolling_mean_10) AS e_ml,
+                  abs(work_hours - theoretical_hours) AS e_th FROM hf)
+SELECT count(*) AS n, count(*) FILTER (WHERE e_ml < e_erp) AS n_better_erp,
+       round(count(*) FILTER (WHERE e_ml < e_erp) / count(*) * 100, 6) AS pct_better_erp,
+       count(*) FILTER (WHERE e_th IS NOT NULL AND e_ml < e_th) AS n_better_theoretical,
+       count(*) FILTER (WHERE e_th IS NOT NULL) AS n_theoretical_valid,
+       round(count(*) FILTER (WHERE e_th IS NOT NULL AND e_ml < e_th) / nullif(count(*) FILTER (WHERE e_th IS NOT NULL), 0) * 100, 6) AS pct_better_theoretical,
+       round(sqrt(avg(e_erp ^ 2)), 6) AS rmse_erp, round(sqrt(avg(e_ml ^ 2)), 6) AS rmse_model, round(sqrt(avg(e_th ^ 2)), 6) AS rmse_theoretical,
+       round(avg(CASE WHEN work_hours <> 0 THEN abs((work_hours - erp_machine_hours) / work_hours) END) * 100, 6) AS mape_erp,
+       round(avg(CASE WHEN work_hours <> 0 THEN abs((work_hours - rolling_mean_10) / work_hours) END) * 100, 6) AS mape_model,
+       round(avg(CASE WHEN e_th IS NOT NULL AND work_hours <> 0 THEN abs((work_hours - theoretical_hours) / work_hours) END) * 100, 6) AS mape_theoretical
+FROM c""", _HOURS_CTE))
+def q_compare_times_summary(spark, sf):
+    c = metrics.compare_times(hours_rows(spark, sf), "work_hours", "erp_machine_hours", "rolling_mean_10", "theoretical_hours")
+    return _r6(metrics.compare_times_summary(c, "work_hours", "erp_machine_hours", "rolling_mean_10", "theoretical_hours"))
+
+
+@register("prediction_summary", with_wo("""
+SELECT round(avg(rolling_mean_10), 6) AS pred_mean, round(min(rolling_mean_10), 6) AS pred_min, round(max(rolling_mean_10), 6) AS pred_max,
+       round(avg(inefficiency), 6) AS real_mean, round(min(inefficiency), 6) AS real_min, round(max(inefficiency), 6) AS real_max
+FROM (SELECT *, avg(inefficiency) OVER ({w} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS rolling_mean_10,
+             lag(inefficiency, 3) OVER ({w}) AS lag_3 FROM work_orders) t
+WHERE rolling_mean_10 IS NOT NULL AND lag_3 IS NOT NULL""".replace("{w}", _W)))
+def q_prediction_summary(spark, sf):
+    return _r6(metrics.prediction_summary(feat_rows(spark, sf), "rolling_mean_10", "inefficiency"))
+
+
+_STATE_SQL = """CASE WHEN {x} <= p60 THEN 'NORMALE' WHEN {x} <= p85 THEN 'ATTENZIONE' ELSE 'ANOMALIA' END"""
+
+
+def _states(spark, sf):
+    s = scored_rows(spark, sf)
+    real = (F.when(F.col("inefficiency") <= F.col("attention_cut"), "NORMALE")
+            .when(F.col("inefficiency") <= F.col("anomaly_cut"), "ATTENZIONE").otherwise("ANOMALIA"))
+    pred = F.when(F.col("pred3") == 2, "ANOMALIA").when(F.col("pred3") == 1, "ATTENZIONE").otherwise("NORMALE")
+    return s.withColumns({"real_class": real, "pred_class": pred})
+
+
+_STATES_CTE = f"""
+st AS (SELECT *, {_STATE_SQL.format(x='inefficiency')} AS real_class,
+              CASE WHEN pred3 = 2 THEN 'ANOMALIA' WHEN pred3 = 1 THEN 'ATTENZIONE' ELSE 'NORMALE' END AS pred_class
+       FROM scored, cuts)"""
+
+
+@register("per_class_accuracy", with_wo("""
+WITH l AS (SELECT * FROM (VALUES ('NORMALE'), ('ATTENZIONE'), ('ANOMALIA')) v(c)),
+p AS (SELECT c AS class, count(*) FILTER (WHERE real_class = c) AS n_real, count(*) FILTER (WHERE pred_class = c) AS n_pred,
+             count(*) FILTER (WHERE real_class = c AND pred_class = c) AS n_correct
+      FROM l, st GROUP BY c),
+u AS (SELECT * FROM p UNION ALL SELECT 'TOTALE', sum(n_real), sum(n_pred), sum(n_correct) FROM p)
+SELECT class, CAST(n_real AS BIGINT) AS n_real, CAST(n_pred AS BIGINT) AS n_pred, CAST(n_correct AS BIGINT) AS n_correct,
+       round(CASE WHEN n_real > 0 THEN n_correct / n_real * 100 ELSE 0.0 END, 6) AS accuracy_pct FROM u""",
+                                        FEAT_CTE, TOP_CTE, SCORED_CTE, _STATES_CTE))
+def q_per_class_accuracy(spark, sf):
+    return _r6(metrics.per_class_accuracy(_states(spark, sf), "real_class", "pred_class", ["NORMALE", "ATTENZIONE", "ANOMALIA"]))
+
+
+@register("prediction_distribution", with_wo("""
+SELECT c AS label, count(*) FILTER (WHERE pred_class = c) AS n,
+       round(count(*) FILTER (WHERE pred_class = c) / (SELECT count(*) FROM st) * 100, 6) AS pct
+FROM (VALUES ('NORMALE'), ('ATTENZIONE'), ('ANOMALIA')) v(c), st GROUP BY c""", FEAT_CTE, TOP_CTE, SCORED_CTE, _STATES_CTE))
+def q_prediction_distribution(spark, sf):
+    return _r6(metrics.prediction_distribution(_states(spark, sf), "pred_class", ["NORMALE", "ATTENZIONE", "ANOMALIA"]))
+
+
+@register("oee_prediction_buckets", with_wo(f"""
+SELECT round(avg(x), 6) AS mean, round(min(x), 6) AS min, round(max(x), 6) AS max, count(*) AS n,
+       count(*) FILTER (WHERE x < 0.65) AS n_critical, count(*) FILTER (WHERE x >= 0.65 AND x < 0.85) AS n_acceptable,
+       count(*) FILTER (WHERE x >= 0.85) AS n_optimal
+FROM (SELECT avg(oee) OVER (PARTITION BY machine {_ORDER_SQL} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS x FROM oee_rows) t
+WHERE x IS NOT NULL""", OEE_CTE))
+def q_oee_prediction_buckets(spark, sf):
+    f = features.add_oee_rolling_and_lags(oee_rows(spark, sf))
+    return _r6(metrics.oee_prediction_buckets(f, "rolling_oee_3"))
+
+
+@register("time_error_summary", with_wo("""
+SELECT count(*) AS n, count(*) FILTER (WHERE abs(work_hours - rolling_mean_10) < abs(work_hours - theoretical_hours)) AS n_model_better,
+       round(mape_e, 6) AS mape_estimate, round(mape_m, 6) AS mape_model,
+       round(CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE abs(work_hours - rolling_mean_10) < abs(work_hours - theoretical_hours)) / count(*) * 100 ELSE 0.0 END, 6) AS pct_model_better,
+       round(CASE WHEN mape_e <> 0 THEN (mape_e - mape_m) / mape_e * 100 ELSE 0.0 END, 6) AS mape_reduction_pct
+FROM hf, (SELECT avg(CASE WHEN work_hours <> 0 THEN abs(work_hours - theoretical_hours) / work_hours END) * 100 AS mape_e,
+                 avg(CASE WHEN work_hours <> 0 THEN abs(work_hours - rolling_mean_10) / work_hours END) * 100 AS mape_m
+          FROM hf WHERE rolling_mean_10 IS NOT NULL) m
+WHERE rolling_mean_10 IS NOT NULL GROUP BY mape_e, mape_m""", _HOURS_CTE))
+def q_time_error_summary(spark, sf):
+    return _r6(metrics.time_error_summary(hours_rows(spark, sf), "work_hours", "theoretical_hours", "rolling_mean_10"))

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "oeeflow") -> SparkSession:
+                app_name: str = "oeeflow", driver_memory: str | None = None) -> SparkSession:
     """Return the active session or build one with AQE on and the UI off.
 
     On a cluster the launcher owns master and resources; this only fills gaps.
@@ -26,6 +26,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
          .config("spark.sql.session.timeZone", "UTC"))
     if master:
         b = b.master(master)
+    if driver_memory or (master and master.startswith("local")):
+        # local mode: the driver JVM is the whole cluster
+        b = b.config("spark.driver.memory", driver_memory or "16g")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
