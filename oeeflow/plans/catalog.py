@@ -1142,3 +1142,197 @@ FROM hf, (SELECT avg(CASE WHEN work_hours <> 0 THEN abs(work_hours - theoretical
 WHERE rolling_mean_10 IS NOT NULL GROUP BY mape_e, mape_m""", _HOURS_CTE))
 def q_time_error_summary(spark, sf):
     return _r6(metrics.time_error_summary(hours_rows(spark, sf), "work_hours", "theoretical_hours", "rolling_mean_10"))
+
+
+# ---------------------------------------------------------------- models (rows-only checks, except weights)
+
+import datetime as _dt  # noqa: E402
+import os as _os  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from oeeflow.plans import ml, score  # noqa: E402
+from oeeflow.session import materialize, shared_dir  # noqa: E402
+
+TODAY = _dt.date(2026, 12, 2)  # the report's "today" is a parameter
+
+
+@register("class_weights", _a_sql("""
+SELECT label3, count(*) AS n, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 9) AS weight
+FROM scored GROUP BY label3"""))
+def q_class_weights(spark, sf):
+    w = ml.class_weights(scored_rows(spark, sf), "label3", "weight")
+    return w.groupBy("label3").agg(F.count(F.lit(1)).alias("n"), F.round(F.first("weight"), 9).alias("weight"))
+
+
+@register("positive_weight", _a_sql("""
+SELECT round(count(*) FILTER (WHERE is_anomaly = 0) / greatest(count(*) FILTER (WHERE is_anomaly = 1), 1), 2) AS pos_weight
+FROM scored"""))
+def q_positive_weight(spark, sf):
+    return ml.positive_weight(scored_rows(spark, sf), "is_anomaly")
+
+
+@register("score_all")
+def q_score_all(spark, sf):
+    wo = materialize(work_orders(spark, sf))
+    models = score.train_all(wo, small=True)
+    return score.score_all(wo, models)
+
+
+def _oee_train_rows(spark, sf):
+    wo = work_orders(spark, sf)
+    base = score.prepare_articles(wo, encode.top_articles(wo, 30))
+    o = features.add_oee_features(oee.compute_oee(base)).filter(F.col("oee").isNotNull())
+    return materialize(folds.time_series_folds(o))
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf):
+    o = _oee_train_rows(spark, sf)
+    return ml.cross_validate(o, score.oee_spec(o), "boosted", "regression", k=5,
+                             params={"maxIter": 10, "maxDepth": 4}, metrics=("rmse", "mae", "r2"))
+
+
+@register("grid_search")
+def q_grid_search(spark, sf):
+    o = _oee_train_rows(spark, sf)
+    grid = ml.param_grid(numTrees=[10, 20], maxDepth=[4, 6])
+    best, table = ml.grid_search(o, score.oee_spec(o), "forest", "regression", grid, metric="r2", k=5)
+    return table
+
+
+@register("anomaly_scores")
+def q_anomaly_scores(spark, sf):
+    s = materialize(feat_rows(spark, sf))
+    lab = materialize(labels.label_train_quantiles(s))
+    tr = lab.filter("is_train")
+    b = ml.fit(tr, score.spec_for(tr, "label", score.LEAKAGE), "boosted", "multiclass", weighted=True,
+               params={"maxIter": 10, "maxDepth": 3})
+    out = score.anomaly_scores(b, lab.filter("NOT is_train"))
+    return out.select(*_key_cols(), "label", "pred3", "pred", F.round("prob_anomaly", 6).alias("prob_anomaly"))
+
+
+@register("oee_forecast_model")
+def q_oee_forecast_model(spark, sf):
+    o = _oee_train_rows(spark, sf)
+    b = ml.fit(o, score.oee_spec(o), "boosted", "regression", params={"maxIter": 10, "maxDepth": 4})
+    return score.oee_forecast_with_model(o, b, TODAY)
+
+
+@register("save_load_model")
+def q_save_load_model(spark, sf):
+    o = _oee_train_rows(spark, sf)
+    b = ml.fit(o, score.oee_spec(o), "tree", "regression", params={"maxDepth": 5})
+    path = shared_dir(spark, f"model-{_uuid.uuid4().hex}")
+    ml.save_model(b, path, history=features.cycle_stats_by_article_phase(o))
+    loaded = ml.load_model(spark, path)
+    return ml.predict(loaded, o).select(*_key_cols(), F.round("prediction", 9).alias("prediction"))
+
+
+# ---------------------------------------------------------------- small projections and sinks
+
+@register("drop_leakage_columns", with_wo(f"SELECT {KEY_SQL}, machine, pieces_counted FROM work_orders"))
+def q_drop_leakage_columns(spark, sf):
+    d = clean.drop_leakage_columns(work_orders(spark, sf), ["inefficiency", "work_hours", "theoretical_hours", "article",
+                                                            "not_a_column", "cycle_hours"])
+    return clean.select_existing(d, [*KEY, "end_ts", "machine", "pieces_counted", "missing_col"]).withColumn(
+        "end_ts", F.date_format("end_ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("fill_categories", with_wo(f"""
+SELECT {KEY_SQL}, coalesce(CAST(cic_code AS VARCHAR), 'MISSING') AS cic_code,
+       coalesce(CAST(CASE WHEN pieces_reworked = 1 THEN NULL ELSE work_center_planned END AS VARCHAR), 'MISSING') AS work_center_planned,
+       coalesce(CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE article END, 'MISSING_ARTICOLO') AS article
+FROM work_orders"""))
+def q_fill_categories(spark, sf):
+    wo = work_orders(spark, sf).withColumns({
+        "work_center_planned": F.when(F.col("pieces_reworked") == 1, F.lit(None)).otherwise(F.col("work_center_planned")),
+        "article": F.when(F.col("l_partkey") % 7 == 0, F.lit(None)).otherwise(F.col("article"))})
+    d = clean.fill_article(clean.fill_categories(wo, ["cic_code", "work_center_planned"]))
+    return d.select(*_key_cols(), "cic_code", "work_center_planned", "article")
+
+
+@register("write_read_partitioned", with_wo(f"""
+SELECT {KEY_SQL}, machine, inefficiency FROM work_orders WHERE machine = 'M7'"""))
+def q_write_read_partitioned(spark, sf):
+    """A3 + A1 + B13: write partitioned by machine, read back, one machine (partition pruning)."""
+    from oeeflow.sources.io import read_work_orders, write_table
+    path = shared_dir(spark, f"wo-{_uuid.uuid4().hex}")
+    write_table(work_orders(spark, sf), path, partition_by=["machine"])
+    back = clean.isolate_machine(read_work_orders(spark, path), "M7")
+    return back.select(*_key_cols(), "machine", "inefficiency")
+
+
+@register("write_read_csv", with_wo(f"""
+SELECT {KEY_SQL}, work_hours, stop_hours, scrap_material FROM work_orders"""))
+def q_write_read_csv(spark, sf):
+    """A3 (CSV with header) → A1 (explicit schema, no inference)."""
+    from oeeflow.schema import CLEAN_SCHEMA as S
+    from oeeflow.sources.io import read_work_orders, write_table
+    path = shared_dir(spark, f"wocsv-{_uuid.uuid4().hex}")
+    write_table(work_orders(spark, sf).select(*[f.name for f in S.fields]), path, fmt="csv")
+    back = read_work_orders(spark, path, fmt="csv", schema=S)
+    return back.select(*_key_cols(), "work_hours", "stop_hours", "scrap_material")
+
+
+@register("write_marts", _a_sql("""
+SELECT article_group, count(is_anomaly) AS total, CAST(sum(is_anomaly) AS BIGINT) AS anomalies,
+       round(sum(is_anomaly) / count(is_anomaly) * 100, 1) AS rate_pct
+FROM scored WHERE article_group <> 'ALTRO' GROUP BY article_group HAVING count(is_anomaly) >= 3
+ORDER BY rate_pct DESC, article_group LIMIT 20"""))
+def q_write_marts(spark, sf):
+    """A5: marts written as JSON lines and read back."""
+    from oeeflow.sources.io import write_marts
+    path = shared_dir(spark, f"marts-{_uuid.uuid4().hex}")
+    write_marts({"by_article": marts_anomaly.anomaly_by_article(scored_rows(spark, sf))}, path)
+    back = spark.read.schema("article_group string, total long, anomalies long, rate_pct double").json(
+        _os.path.join(path, "by_article"))
+    return back
+
+
+@register("numeric_columns")
+def q_numeric_columns(spark, sf):
+    """Numeric columns of the feature table, from the schema."""
+    cols = clean.numeric_columns(features.features_inefficiency(work_orders(spark, sf)))
+    return spark.createDataFrame([(c,) for c in cols], "column string")
+
+
+@register("oee_forecast_features", with_wo("""
+WITH src AS (
+  SELECT o.*, CASE WHEN o.article IN (SELECT article FROM top20) THEN o.article ELSE 'ALTRO' END AS article_group,
+    CASE WHEN setup_hours + work_hours > 0 THEN setup_hours / (setup_hours + work_hours) END AS pct_setup,
+    CASE WHEN setup_hours + work_hours > 0 THEN coalesce(stop_hours, 0.0) / (setup_hours + work_hours) ELSE 0.0 END AS pct_stops,
+    erp_setup_hours / nullif(erp_machine_hours, 0.0) AS erp_setup_machine_ratio,
+    CASE WHEN pieces_counted > 0 THEN (coalesce(scrap_material, 0) + coalesce(scrap_machining, 0) + coalesce(pieces_reworked, 0)) / pieces_counted END AS pct_scrap,
+    s.cycle_mean_art, coalesce(s.cycle_std_art, 0.0) AS cycle_std_art
+  FROM oee_rows o LEFT JOIN (
+    SELECT article, phase, avg(cycle_hours) AS cycle_mean_art, stddev_samp(cycle_hours) AS cycle_std_art
+    FROM work_orders WHERE article IS NOT NULL AND phase IS NOT NULL GROUP BY article, phase) s
+  ON o.article = s.article AND o.phase = s.phase
+  WHERE o.article IS NOT NULL AND o.phase IS NOT NULL),
+last3 AS (
+  SELECT article, phase, max(CASE WHEN r = 1 THEN oee END) AS l1, max(CASE WHEN r = 2 THEN oee END) AS l2,
+         max(CASE WHEN r = 3 THEN oee END) AS l3
+  FROM (SELECT article, phase, oee, row_number() OVER (PARTITION BY article, phase
+          ORDER BY end_ts DESC, wo DESC, phase DESC, l_partkey DESC, l_suppkey DESC) AS r
+        FROM src WHERE oee IS NOT NULL) t GROUP BY article, phase),
+med AS (
+  SELECT article, phase, count(*) AS n, min(work_center_planned) AS work_center_planned, min(article_group) AS article_group,
+    round(quantile_cont(qty_erp, 0.5), 9) AS qty_erp, round(quantile_cont(setup_hours, 0.5), 9) AS setup_hours,
+    round(quantile_cont(erp_machine_hours, 0.5), 9) AS erp_machine_hours, round(quantile_cont(erp_setup_hours, 0.5), 9) AS erp_setup_hours,
+    round(quantile_cont(cycle_hours, 0.5), 9) AS cycle_hours, round(quantile_cont(erp_setup_machine_ratio, 0.5), 9) AS erp_setup_machine_ratio,
+    round(quantile_cont(pct_setup, 0.5), 9) AS pct_setup, round(quantile_cont(pct_stops, 0.5), 9) AS pct_stops,
+    round(quantile_cont(pct_scrap, 0.5), 9) AS pct_scrap, round(quantile_cont(cycle_mean_art, 0.5), 9) AS cycle_mean_art,
+    round(quantile_cont(cycle_std_art, 0.5), 9) AS cycle_std_art
+  FROM src GROUP BY article, phase)
+SELECT med.*, 4 AS weekday, 1 AS month, 53 AS iso_week, round(l1, 9) AS lag_1_oee, round(l2, 9) AS lag_2_oee,
+       round(l3, 9) AS lag_3_oee,
+       round((coalesce(l1, 0.0) + coalesce(l2, 0.0) + coalesce(l3, 0.0))
+             / nullif(CAST(l1 IS NOT NULL AS INTEGER) + CAST(l2 IS NOT NULL AS INTEGER) + CAST(l3 IS NOT NULL AS INTEGER), 0), 9) AS rolling_oee_3
+FROM med LEFT JOIN last3 USING (article, phase)""", OEE_CTE, TOP_CTE))
+def q_oee_forecast_features(spark, sf):
+    wo = work_orders(spark, sf)
+    base = encode.group_rare_articles(wo, encode.top_articles(wo, 20))
+    fe = features.add_oee_features(oee.compute_oee(base))
+    f = marts_oee.oee_forecast_features(fe, TODAY)
+    num = [c for c, t in f.dtypes if t == "double"]
+    return f.select(*[F.round(c, 9).alias(c) if c in num else F.col(c) for c in f.columns])

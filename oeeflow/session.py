@@ -50,3 +50,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df):
+    """Cut the lineage of a table that several plans read: a reliable checkpoint into the
+    shared ``spark.checkpoint.dir`` (it survives executor loss; never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
