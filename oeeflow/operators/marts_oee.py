@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from oeeflow.functions.scalars import month_label, week_label
 from oeeflow.operators.interact import filter_period
-from oeeflow.operators.oee import compute_oee
+from oeeflow.operators.oee import compute_oee, oee_defined_expr
 from oeeflow.operators.quantiles import quantiles
 from oeeflow.operators.windows import _join_on
 from oeeflow.schema import OEE_ACCEPTABLE, OEE_CLASSES, OEE_OPTIMAL, ORDER_COLS
@@ -19,8 +19,10 @@ COMPONENTS = ["oee", "availability", "performance", "quality"]
 
 def prepare_oee(df: DataFrame) -> DataFrame:
     """OEE rows with a known OEE, plus ``month`` (``yyyy-MM``) and ``week`` (``Mon/Sun``) labels."""
-    o = df if "oee" in df.columns else compute_oee(df)
-    o = o.filter(F.col("oee").isNotNull())
+    if "oee" in df.columns:
+        o = df.filter(F.col("oee").isNotNull())
+    else:
+        o = compute_oee(df.filter(oee_defined_expr(df)))
     if "end_ts" in o.columns:
         o = o.withColumns({"month": month_label("end_ts"), "week": week_label("end_ts")})
     return o

@@ -65,11 +65,42 @@ def oee_quality(df: DataFrame) -> DataFrame:
 
 
 def compute_oee(df: DataFrame) -> DataFrame:
-    """I4: the three components, their product and the (right-closed) class."""
-    out = df.withColumns({"availability": availability_expr(), "performance": performance_expr(df),
-                          "quality": quality_expr()})
-    out = out.withColumn("oee", F.col("availability") * F.col("performance") * F.col("quality"))
-    return out.withColumn("oee_class", oee_class_expr("oee"))
+    """I4: the three components, their product and the (right-closed) class.
+
+    Built in staged projections over named columns: each clip then reads an attribute, not
+    a copy of a nested expression, which keeps the generated code small."""
+    planned = F.col("setup_hours") + F.col("work_hours")
+    scraps = (F.coalesce(F.col("scrap_material"), F.lit(0)) + F.coalesce(F.col("scrap_machining"), F.lit(0))
+              + F.coalesce(F.col("pieces_reworked"), F.lit(0)))
+    if "inefficiency" in df.columns:
+        perf = F.lit(1.0) / F.nullif(F.col("inefficiency"), F.lit(0.0))
+    else:
+        perf = F.col("theoretical_hours") / F.nullif(F.col("work_hours"), F.lit(0.0))
+    s1 = df.withColumns({"_planned": planned, "_good": F.col("pieces_counted") - scraps, "_perf": perf})
+    s2 = s1.withColumns({
+        "_op": clip_lower(F.col("_planned") - F.coalesce(F.col("stop_hours"), F.lit(0.0)), 0.0),
+        "_good_c": clip_lower(F.col("_good"), 0.0)})
+    s3 = s2.withColumns({
+        "_a": F.when(F.col("_planned") > 0, F.col("_op") / F.col("_planned")),
+        "_q": F.when(F.col("pieces_counted") > 0, F.col("_good_c") / F.col("pieces_counted"))})
+    s4 = s3.withColumns({"availability": clip("_a", 0.0, 1.0), "performance": clip("_perf", 0.0, 1.0),
+                         "quality": clip("_q", 0.0, 1.0)})
+    s5 = s4.withColumn("oee", F.col("availability") * F.col("performance") * F.col("quality"))
+    out = s5.withColumn("oee_class", oee_class_expr("oee"))
+    return out.drop("_planned", "_good", "_perf", "_op", "_good_c", "_a", "_q")
+
+
+def oee_defined_expr(df: DataFrame) -> Column:
+    """True exactly where :func:`compute_oee` gives a non-NULL OEE: planned time > 0, a
+    non-zero performance ratio, pieces > 0. Filtering on the inputs keeps the predicate
+    small (and pushable to a scan) instead of the whole OEE expression."""
+    planned = (F.col("setup_hours") + F.col("work_hours")) > 0
+    if "inefficiency" in df.columns:
+        perf = F.col("inefficiency").isNotNull() & (F.col("inefficiency") != 0)
+    else:
+        perf = (F.col("theoretical_hours").isNotNull() & F.col("work_hours").isNotNull()
+                & (F.col("work_hours") != 0))
+    return planned & perf & (F.col("pieces_counted") > 0)
 
 
 def oee_alerts(df: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:

@@ -2,20 +2,21 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one buffer, which does
 not scale to a hot group. Here a ``percentile_approx`` bracket [lo, hi] is taken around each
-target rank (its rank error is at most n/accuracy, the bracket is three times wider), rows
-below ``lo`` are only counted, and ``row_number`` runs over the rows inside the bracket alone,
-about 6·n/accuracy rows per group and probability. The value is then interpolated as
+target rank (its rank error is at most n/accuracy, the bracket is three times wider); one
+aggregate counts the rows below ``lo`` and gathers only the values inside the bracket, about
+6·n/accuracy per group and probability, from which the two order statistics are read. The
+value is then interpolated as
 ``v0 + (v1 - v0) * (h - floor(h))`` with ``h = p * (n - 1)``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oeeflow.operators.windows import _join_on
 
-DEFAULT_ACCURACY = 10000
+DEFAULT_ACCURACY = 100000
 
 
 def _name(p: float) -> str:
@@ -54,22 +55,17 @@ def quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | Non
               .withColumn("_h", F.col("_p") * (F.col("_n") - 1))
               .withColumn("_r0", F.floor("_h").cast("bigint"))
               .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1)))
-    # one bounds row per group and probability
+    # one bounds row per group and probability; one aggregate then counts the rows below
+    # the bracket and gathers the (bounded) values inside it
     j = _join_on(v, F.broadcast(bounds) if not by else bounds, by)
-    below = (j.filter(F.col("_x") < F.col("_lo")).groupBy(*by, "_pi")
-             .agg(F.count(F.lit(1)).alias("_c")))
-    band = j.filter((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
-    w = Window.partitionBy(*by, "_pi").orderBy("_x")
-    band = band.withColumn("_k", F.row_number().over(w))
-    band = _join_on(band, below, [*by, "_pi"], "left")
-    band = band.withColumn("_rank", F.coalesce("_c", F.lit(0)) + F.col("_k") - 1)
-    picked = (band.filter((F.col("_rank") == F.col("_r0")) | (F.col("_rank") == F.col("_r1")))
-              .groupBy(*by, "_pi", "_h", "_r0")
-              .agg(F.max(F.when(F.col("_rank") == F.col("_r0"), F.col("_x"))).alias("_v0"),
-                   F.max(F.when(F.col("_rank") == F.col("_r1"), F.col("_x"))).alias("_v1")))
-    picked = picked.withColumn(
-        "_q", F.when(F.col("_h") == F.col("_r0"), F.col("_v0"))
-               .otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_h") - F.col("_r0"))))
+    inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
+    g = j.groupBy(*by, "_pi", "_h", "_r0", "_r1").agg(
+        F.count_if(F.col("_x") < F.col("_lo")).alias("_c"),
+        F.array_sort(F.collect_list(F.when(inside, F.col("_x")))).alias("_band"))
+    v0 = F.try_element_at("_band", (F.col("_r0") - F.col("_c") + 1).cast("int"))
+    v1 = F.try_element_at("_band", (F.col("_r1") - F.col("_c") + 1).cast("int"))
+    q = F.when(F.col("_h") == F.col("_r0"), v0).otherwise(v0 + (v1 - v0) * (F.col("_h") - F.col("_r0")))
+    picked = g.select(*by, "_pi", q.alias("_q"))
     return (picked.groupBy(*by)
             .agg(*[F.max(F.when(F.col("_pi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]))
 

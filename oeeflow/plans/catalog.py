@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from oeeflow.operators import clean, features, oee
 from oeeflow.operators.quantiles import quantiles
 from oeeflow.plans.oracle_sql import with_raw, with_wo
+from oeeflow.session import materialize, shared_dir
 from oeeflow.sources.fixture import raw_export_view, work_orders
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -346,7 +347,8 @@ feat AS (
 
 
 def feat_rows(spark, sf):
-    return features.features_classification(work_orders(spark, sf))
+    # several plans read the feature table: it is materialized once (reliable checkpoint)
+    return materialize(features.features_classification(work_orders(spark, sf)))
 
 
 @register("label_mean_std", with_wo("""
@@ -502,7 +504,7 @@ ov AS (SELECT *, strftime(end_ts, '%Y-%m') AS month FROM oee_rows WHERE oee IS N
 
 
 def oee_valid(spark, sf):
-    return marts_oee.prepare_oee(oee_rows(spark, sf))
+    return marts_oee.prepare_oee(work_orders(spark, sf))
 
 
 @register("oee_monthly_trend", with_wo("""
@@ -614,9 +616,10 @@ def _a_sql(body: str) -> str:
 
 
 def scored_rows(spark, sf):
+    # the scored table feeds every anomaly mart: materialized once, as a report run would
     wo = work_orders(spark, sf)
     s = marts_anomaly.prepare_anomaly(wo, encode.top_articles(wo, 20))
-    return marts_anomaly.lag_score(s)
+    return materialize(marts_anomaly.lag_score(s))
 
 
 @register("anomaly_kpis", _a_sql("""
@@ -1038,7 +1041,7 @@ hf AS (SELECT * FROM (
 
 
 def hours_rows(spark, sf):
-    return features.features_hours(work_orders(spark, sf))
+    return materialize(features.features_hours(work_orders(spark, sf)))
 
 
 @register("compare_times", with_wo(f"""
@@ -1151,7 +1154,6 @@ import os as _os  # noqa: E402
 import uuid as _uuid  # noqa: E402
 
 from oeeflow.plans import ml, score  # noqa: E402
-from oeeflow.session import materialize, shared_dir  # noqa: E402
 
 TODAY = _dt.date(2026, 12, 2)  # the report's "today" is a parameter
 
@@ -1332,7 +1334,7 @@ FROM med LEFT JOIN last3 USING (article, phase)""", OEE_CTE, TOP_CTE))
 def q_oee_forecast_features(spark, sf):
     wo = work_orders(spark, sf)
     base = encode.group_rare_articles(wo, encode.top_articles(wo, 20))
-    fe = features.add_oee_features(oee.compute_oee(base))
+    fe = materialize(features.add_oee_features(oee.compute_oee(base)))
     f = marts_oee.oee_forecast_features(fe, TODAY)
     num = [c for c, t in f.dtypes if t == "double"]
     return f.select(*[F.round(c, 9).alias(c) if c in num else F.col(c) for c in f.columns])
