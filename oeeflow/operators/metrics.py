@@ -141,13 +141,20 @@ def compare_models(metrics: DataFrame, order: list[Column]) -> DataFrame:
 
 # ---------------------------------------------------------------- threshold search
 
+def arange_step(start: float, step: float) -> float:
+    """The increment numpy's ``arange`` really uses: (start + step) − start."""
+    return (start + step) - start
+
+
 def _cut(i: Column, start: float, step: float) -> Column:
-    return F.lit(start) + i.cast("double") * F.lit(step)
+    """Cut ``i`` of the grid exactly as ``numpy.arange(start, stop, step)[i]``."""
+    return F.lit(start) + i.cast("double") * F.lit(arange_step(start, step))
 
 
 def _bucket(score: Column, start: float, step: float, n: int) -> Column:
     """Largest cut index i in [0, n) with score ≥ start + i·step (exact), −1 when none."""
-    b0 = F.least(F.greatest(F.floor((score - F.lit(start)) / F.lit(step)).cast("int"), F.lit(-1)), F.lit(n - 1))
+    b0 = F.least(F.greatest(F.floor((score - F.lit(start)) / F.lit(arange_step(start, step))).cast("int"),
+                            F.lit(-1)), F.lit(n - 1))
     up = F.least(b0 + 1, F.lit(n - 1))
     return (F.when(score.isNull(), F.lit(-1))
             .when(score >= _cut(up, start, step), up)

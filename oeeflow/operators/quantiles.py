@@ -40,17 +40,31 @@ def quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | Non
         return (v.groupBy(*by).agg(apx.alias("_a"))
                 .select(*by, *[F.col("_a")[i].alias(n) for i, n in enumerate(names)]))
 
+    # bracket widths: the narrowest one covering the sketch's rank error (3/accuracy) plus
+    # the offset between p·n and the interpolation index p·(n-1) is chosen per group
     eps = 3.0 / accuracy
-    lo_p = [max(0.0, p - eps) for p in probs]
-    hi_p = [min(1.0, p + eps) for p in probs]
+    widths = sorted({w for w in (eps, 1e-4, 1e-3, 1e-2, 1e-1, 1.0) if w >= eps})
+    pcts, slots = [], []
+    for p in probs:
+        lo_i, hi_i = [], []
+        for w in widths:
+            lo_i.append(len(pcts)); pcts.append(max(0.0, p - w))
+            hi_i.append(len(pcts)); pcts.append(min(1.0, p + w))
+        slots.append((lo_i, hi_i))
     stats = v.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_x", F.array(*[F.lit(x) for x in lo_p + hi_p]), accuracy).alias("_a"))
-    k = len(probs)
-    per_p = F.array(*[F.struct(F.lit(i).alias("_pi"), F.lit(float(p)).alias("_p"),
-                               F.col("_a")[i].alias("_lo"), F.col("_a")[k + i].alias("_hi"))
-                      for i, p in enumerate(probs)])
-    bounds = (stats.select(*by, "_n", F.explode(per_p).alias("_b"))
+        F.percentile_approx("_x", F.array(*[F.lit(x) for x in pcts]), accuracy).alias("_a"))
+    wl = F.array(*[F.lit(w) for w in widths])
+    per_p = []
+    for i, p in enumerate(probs):
+        need = F.lit(eps) + (F.lit(p) + 2.0) / F.col("_n")
+        pick = F.size(F.filter(wl, lambda w: w < need)) + 1      # 1-based, ≤ len(widths)
+        pick = F.least(pick, F.lit(len(widths)))
+        lo_arr = F.array(*[F.col("_a")[j] for j in slots[i][0]])
+        hi_arr = F.array(*[F.col("_a")[j] for j in slots[i][1]])
+        per_p.append(F.struct(F.lit(i).alias("_pi"), F.lit(float(p)).alias("_p"),
+                              F.element_at(lo_arr, pick).alias("_lo"), F.element_at(hi_arr, pick).alias("_hi")))
+    bounds = (stats.select(*by, "_n", F.explode(F.array(*per_p)).alias("_b"))
               .select(*by, "_n", "_b.*")
               .withColumn("_h", F.col("_p") * (F.col("_n") - 1))
               .withColumn("_r0", F.floor("_h").cast("bigint"))
@@ -62,8 +76,10 @@ def quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | Non
     g = j.groupBy(*by, "_pi", "_h", "_r0", "_r1").agg(
         F.count_if(F.col("_x") < F.col("_lo")).alias("_c"),
         F.array_sort(F.collect_list(F.when(inside, F.col("_x")))).alias("_band"))
-    v0 = F.try_element_at("_band", (F.col("_r0") - F.col("_c") + 1).cast("int"))
-    v1 = F.try_element_at("_band", (F.col("_r1") - F.col("_c") + 1).cast("int"))
+    def _at(r):  # 1-based position in the band; outside it → NULL (never an error)
+        k = (F.col(r) - F.col("_c") + 1).cast("int")
+        return F.when((k >= 1) & (k <= F.size("_band")), F.element_at("_band", k))
+    v0, v1 = _at("_r0"), _at("_r1")
     q = F.when(F.col("_h") == F.col("_r0"), v0).otherwise(v0 + (v1 - v0) * (F.col("_h") - F.col("_r0")))
     picked = g.select(*by, "_pi", q.alias("_q"))
     return (picked.groupBy(*by)

@@ -986,7 +986,7 @@ def q_compare_models(spark, sf):
 
 
 @register("tune_threshold", _a_sql("""
-WITH tcuts AS (SELECT i, 0.05::DOUBLE + CAST(i AS DOUBLE) * 0.01::DOUBLE AS cut FROM range(86) r(i)),
+WITH tcuts AS (SELECT i, 0.05::DOUBLE + CAST(i AS DOUBLE) * 0.010000000000000002::DOUBLE AS cut FROM range(86) r(i)),
 t AS (SELECT i, cut, count(*) FILTER (WHERE prob_anomaly >= cut AND is_anomaly = 1) AS tp,
              count(*) FILTER (WHERE prob_anomaly >= cut) AS flagged,
              (SELECT count(*) FILTER (WHERE is_anomaly = 1) FROM scored) AS positives
@@ -1005,7 +1005,7 @@ def q_tune_threshold(spark, sf):
 
 @register("tune_two_thresholds", _a_sql("""
 WITH r AS (SELECT label3 AS y, prob_anomaly AS p2, round(least(greatest(lag_2 / 4, 0.0), 1.0), 2) AS p1 FROM scored),
-pairs AS (SELECT ia, it, 0.15::DOUBLE + CAST(ia AS DOUBLE) * 0.05::DOUBLE AS ca, 0.2::DOUBLE + CAST(it AS DOUBLE) * 0.05::DOUBLE AS ct
+pairs AS (SELECT ia, it, 0.15::DOUBLE + CAST(ia AS DOUBLE) * 0.05000000000000002::DOUBLE AS ca, 0.2::DOUBLE + CAST(it AS DOUBLE) * 0.04999999999999999::DOUBLE AS ct
           FROM range(10) a(ia), range(11) b(it)),
 pp AS (SELECT * FROM pairs WHERE ct >= ca),
 pr AS (SELECT ia, it, ca, ct, y, CASE WHEN p2 >= ca THEN 2 WHEN p1 >= ct THEN 1 ELSE 0 END AS pred FROM pp, r),
