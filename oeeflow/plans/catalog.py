@@ -116,7 +116,10 @@ clean AS (
 SELECT {KEY_SQL}, machine, pieces_counted, work_hours, cycle_hours, theoretical_hours, inefficiency
 FROM clean""", _CLEAN_CTE))
 def q_clean_raw_export(spark, sf):
-    c = clean.clean_raw_export(raw_export_view(spark, sf))
+    # the IQR bounds read the parsed table twice more: it is written once, as a cleaning
+    # job would land it, instead of parsing the text three times
+    parsed = materialize(clean.clean_raw_export(raw_export_view(spark, sf), iqr=False))
+    c = clean.iqr_filter(parsed)
     return c.select(*_key_cols(), "machine", "pieces_counted", "work_hours", "cycle_hours",
                     "theoretical_hours", "inefficiency")
 

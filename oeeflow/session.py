@@ -23,7 +23,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC"))
+         .config("spark.sql.session.timeZone", "UTC")
+         # generated methods above 8000 bytes are never JIT-compiled by the JVM: let
+         # Spark split such stages instead of running them in the bytecode interpreter
+         .config("spark.sql.codegen.hugeMethodLimit", "8000"))
     if master:
         b = b.master(master)
     if driver_memory or (master and master.startswith("local")):
@@ -52,8 +55,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def materialize(df):
-    """Cut the lineage of a table that several plans read: a reliable checkpoint into the
-    shared ``spark.checkpoint.dir`` (it survives executor loss; never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Cut the lineage of a table that several plans read: write it once as parquet under
+    the shared ``spark.checkpoint.dir`` and read it back (one computation, survives executor
+    loss, later reads prune columns). Never a local checkpoint."""
+    import uuid
+    spark = df.sparkSession
+    path = shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
