@@ -60,14 +60,19 @@ def assign_chunks(df: DataFrame, partition_by: list[str], order_first: str,
     about ``count / rows_per_chunk`` slices; chunk numbers rise with the order column."""
     t = order_key_seconds(df, order_first)
     d = df.withColumn("_t", t)
-    stats = d.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
-                                         F.max("_t").alias("_hi"))
+    # bounds over finite keys only: ±inf / NaN keys (a NULLS-LAST sort key) go to the ends
+    finite = F.when(F.col("_t").isNotNull() & ~F.isnan(F.col("_t").cast("double"))
+                    & (F.abs(F.col("_t").cast("double")) < F.lit(float("inf"))), F.col("_t"))
+    stats = d.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"), F.min(finite).alias("_lo"),
+                                         F.max(finite).alias("_hi"))
     stats = stats.withColumn("_nchunks", F.ceil(F.col("_n") / F.lit(float(rows_per_chunk))).cast("bigint"))
     j = _join_on(d, stats.drop("_n"), partition_by, "inner")
     span = F.col("_hi") - F.col("_lo") + F.lit(1)
-    chunk = F.when((F.col("_nchunks") <= 1) | F.col("_t").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.least(F.floor((F.col("_t") - F.col("_lo")) * F.col("_nchunks") / span).cast("bigint"),
-                F.col("_nchunks") - 1))
+    chunk = (F.when((F.col("_nchunks") <= 1) | F.col("_t").isNull() | F.col("_lo").isNull(), F.lit(0).cast("bigint"))
+             .when(F.col("_t") >= F.col("_hi"), F.col("_nchunks") - 1)
+             .when(F.col("_t") <= F.col("_lo"), F.lit(0).cast("bigint"))
+             .otherwise(F.least(F.floor((F.col("_t") - F.col("_lo")) * F.col("_nchunks") / span).cast("bigint"),
+                                F.col("_nchunks") - 1)))
     return j.withColumn("_chunk", chunk).drop("_t", "_lo", "_hi")
 
 

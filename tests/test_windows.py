@@ -53,3 +53,11 @@ def test_cumulative_sums(spark):
         acc += k
         ok &= r.cum_k == acc
     assert ok
+
+
+def test_positions_with_infinite_keys(spark):
+    rows = [(float(i),) for i in range(50)] + [(float("inf"),), (float("-inf"),)]
+    df = spark.createDataFrame(rows, "k double")
+    p = global_position(df, ["k"], rows_per_chunk=7).orderBy("_pos").collect()
+    assert [r._pos for r in p] == list(range(52))
+    assert p[0].k == float("-inf") and p[-1].k == float("inf")
