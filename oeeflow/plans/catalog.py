@@ -1341,3 +1341,39 @@ def q_oee_forecast_features(spark, sf):
     f = marts_oee.oee_forecast_features(fe, TODAY)
     num = [c for c, t in f.dtypes if t == "double"]
     return f.select(*[F.round(c, 9).alias(c) if c in num else F.col(c) for c in f.columns])
+
+
+# ---------------------------------------------------------------- whole reports
+
+from oeeflow.plans import reports  # noqa: E402
+
+
+@register("anomaly_report")
+def q_anomaly_report(spark, sf):
+    """All anomaly marts off one scored table, published as JSON (A5); returns the row
+    count of every mart read back."""
+    wo = work_orders(spark, sf)
+    s = marts_anomaly.lag_score(marts_anomaly.prepare_anomaly(wo, encode.top_articles(wo, 20)))
+    marts = reports.anomaly_report(s)
+    path = shared_dir(spark, f"anomaly-report-{_uuid.uuid4().hex}")
+    reports.publish(marts, path)
+    parts = [spark.read.json(_os.path.join(path, n)).groupBy().count().select(F.lit(n).alias("mart"), "count")
+             for n in marts]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("oee_report")
+def q_oee_report(spark, sf):
+    """All OEE marts off one OEE table, published as JSON (A5); row count per mart."""
+    marts = reports.oee_report(work_orders(spark, sf), TODAY)
+    path = shared_dir(spark, f"oee-report-{_uuid.uuid4().hex}")
+    reports.publish(marts, path)
+    parts = [spark.read.json(_os.path.join(path, n)).groupBy().count().select(F.lit(n).alias("mart"), "count")
+             for n in marts]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
