@@ -107,9 +107,10 @@ def join_cycle_stats(df: DataFrame, history: DataFrame | None = None,
 
 
 def add_oee_features(df: DataFrame, history: DataFrame | None = None,
-                     rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+                     rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK, with_lags: bool = True) -> DataFrame:
     """OEE model features (shares of setup, stops and scrap, ERP ratio, cycle stats,
-    OEE lags and rolling mean)."""
+    OEE lags and rolling mean). ``with_lags=False`` skips the look-back window (the
+    forecast rows replace those columns anyway)."""
     out = add_time_features(df) if "end_ts" in df.columns else df
     total = F.col("setup_hours") + F.col("work_hours")
     scraps = (F.coalesce(F.col("scrap_material"), F.lit(0)) + F.coalesce(F.col("scrap_machining"), F.lit(0))
@@ -121,6 +122,8 @@ def add_oee_features(df: DataFrame, history: DataFrame | None = None,
         "pct_scrap": F.when(F.col("pieces_counted") > 0, scraps / F.col("pieces_counted")),
     })
     out = join_cycle_stats(out, history)
+    if not with_lags:
+        return out
     return add_oee_rolling_and_lags(out, rows_per_chunk=rows_per_chunk)
 
 

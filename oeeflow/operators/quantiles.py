@@ -43,7 +43,7 @@ def quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | Non
     # bracket widths: the narrowest one covering the sketch's rank error (3/accuracy) plus
     # the offset between p·n and the interpolation index p·(n-1) is chosen per group
     eps = 3.0 / accuracy
-    widths = sorted({w for w in (eps, 1e-4, 1e-3, 1e-2, 1e-1, 1.0) if w >= eps})
+    widths = sorted({w for w in (eps, 1e-3, 1e-2, 1e-1, 1.0) if w >= eps})
     pcts, slots = [], []
     for p in probs:
         lo_i, hi_i = [], []
