@@ -19,9 +19,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def _tuned(fn):
+    """Apply the runtime SQL settings the plans rely on to whatever session is passed in."""
+    import functools
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        from oeeflow.session import tune_runtime
+        tune_runtime(spark)
+        return fn(spark, sf)
+    return run
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = _tuned(fn)
         if sql is not None:
             SQL[name] = sql
         return fn
