@@ -1389,3 +1389,92 @@ def q_oee_report(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ---------------------------------------------------------------- raw CSV export, period labels, learner comparison
+
+@register("read_raw_export_csv", with_raw("""
+SELECT wo, phase, l_partkey, l_suppkey,
+       strftime(strptime(end_date_raw || ' ' || end_time_raw, '%d/%m/%Y %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS end_ts,
+       TRY_CAST(replace(work_hours, ',', '.') AS DOUBLE) AS work_hours,
+       TRY_CAST(replace(stop_hours, ',', '.') AS DOUBLE) AS stop_hours,
+       TRY_CAST(replace(cycle_minutes, ',', '.') AS DOUBLE) / 60 AS cycle_hours,
+       TRY_CAST(scrap_material AS BIGINT) AS scrap_material
+FROM raw_export"""))
+def q_read_raw_export_csv(spark, sf):
+    """A2: the export written as ';'-separated text with the ERP's own headers, read back
+    as STRING columns, renamed once and parsed (B1-B3)."""
+    from oeeflow.sources.io import read_raw_export, to_raw_names
+    path = shared_dir(spark, f"raw-{_uuid.uuid4().hex}")
+    to_raw_names(raw_export_view(spark, sf)).write.mode("overwrite").option("header", True).option("sep", ";").csv(path)
+    raw = read_raw_export(spark, path)
+    df = clean.minutes_to_hours(clean.parse_integers(clean.parse_decimal_comma(clean.parse_end_ts(raw))))
+    return df.select(F.col("wo").cast("string").alias("wo"), "phase", F.col("l_partkey").cast("string").alias("l_partkey"),
+                     F.col("l_suppkey").cast("string").alias("l_suppkey"), ts_text(), "work_hours", "stop_hours",
+                     "cycle_hours", "scrap_material")
+
+
+@register("period_labels", with_wo(f"""
+SELECT {KEY_SQL}, strftime(end_ts, '%Y-%m') AS month,
+       strftime(date_trunc('week', end_ts), '%Y-%m-%d') || '/' || strftime(date_trunc('week', end_ts) + INTERVAL 6 DAY, '%Y-%m-%d') AS week,
+       CAST(day(end_ts) AS BIGINT) AS day_of_month, CAST(day(last_day(end_ts)) AS BIGINT) AS days_in_month,
+       strftime(date_trunc('month', end_ts) + INTERVAL 1 MONTH, '%Y-%m-%d') AS next_month
+FROM work_orders"""))
+def q_period_labels(spark, sf):
+    """H2 + H3: month and Monday-Sunday week labels, calendar scalars."""
+    from oeeflow.functions import scalars as S
+    wo = work_orders(spark, sf)
+    return wo.select(*_key_cols(), S.month_label("end_ts").alias("month"), S.week_label("end_ts").alias("week"),
+                     S.day_of_month("end_ts").cast("bigint").alias("day_of_month"),
+                     S.days_in_month("end_ts").cast("bigint").alias("days_in_month"),
+                     F.date_format(S.next_month_start("end_ts"), "yyyy-MM-dd").alias("next_month"))
+
+
+def _index_split(spark, sf):
+    return materialize(folds.temporal_split(feat_rows(spark, sf)))
+
+
+@register("compare_regressors")
+def q_compare_regressors(spark, sf):
+    """J3-J6 + J14 + J22: the six base regressors of the index on the last 20 % in time,
+    ranked by (RMSE, −R²)."""
+    d = _index_split(spark, sf)
+    tr, te = d.filter("is_train"), d.filter("NOT is_train")
+    spec = score.spec_for(tr, "inefficiency", score.LEAKAGE)
+    light = {"forest": {"numTrees": 20, "maxDepth": 6}, "boosted": {"maxIter": 15, "maxDepth": 4}, "tree": {"maxDepth": 6}}
+    rows = []
+    for algo in ["linear", "ridge", "lasso", "tree", "forest", "boosted"]:
+        b = ml.fit(tr, spec, algo, "regression", params=light.get(algo, {}))
+        m = metrics.regression_metrics(ml.predict(b, te), "inefficiency", "prediction")
+        rows.append(m.select(F.lit(algo).alias("model"), "r2", "mae", "rmse"))
+    u = rows[0]
+    for r in rows[1:]:
+        u = u.unionByName(r)
+    return metrics.compare_models(u, [F.asc("rmse"), F.desc("r2")])
+
+
+@register("compare_classifiers")
+def q_compare_classifiers(spark, sf):
+    """J4-J8 + J9 + J18-J22: balanced binary classifiers of the p85 anomaly label on the last
+    20 % in time: accuracy, macro F1, anomaly recall, AUC; ranked by macro F1."""
+    d = materialize(labels.label_p85_binary(_index_split(spark, sf).drop("anomaly_cut")))
+    tr, te = d.filter("is_train"), d.filter("NOT is_train")
+    spec = score.spec_for(tr, "label", score.LEAKAGE)
+    light = {"forest": {"numTrees": 20, "maxDepth": 6}, "boosted": {"maxIter": 15, "maxDepth": 4}, "tree": {"maxDepth": 6}}
+    rows = []
+    for algo in ["logistic", "tree", "forest", "boosted", "svm"]:
+        b = ml.fit(tr, spec, algo, "binary", weighted=True, params=light.get(algo, {}))
+        p = ml.predict(b, te)
+        rep = metrics.classification_report(p.withColumn("prediction", F.col("prediction").cast("int")), "label", "prediction")
+        macro = rep.filter(F.col("class") == "macro avg").select(F.col("f1").alias("f1_macro"))
+        acc = rep.filter(F.col("class") == "accuracy").select(F.col("f1").alias("accuracy"))
+        rec = metrics.recall_of_class(p, "label", "prediction", 1).withColumnRenamed("recall", "recall_anomaly")
+        if "prob_1" in p.columns:
+            auc = metrics.roc_auc(p, "label", "prob_1").select("auc")
+        else:
+            auc = spark.createDataFrame([(None,)], "auc double")
+        rows.append(macro.crossJoin(acc).crossJoin(rec).crossJoin(auc).select(F.lit(algo).alias("model"), "*"))
+    u = rows[0]
+    for r in rows[1:]:
+        u = u.unionByName(r)
+    return metrics.compare_models(u, [F.desc("f1_macro"), F.desc("recall_anomaly")])
