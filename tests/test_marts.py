@@ -75,3 +75,13 @@ def test_forecast_features_calendar(spark, wo):
     fe = add_oee_features(compute_oee(group_rare_articles(wo, top_articles(wo, 20))))
     f = marts_oee.oee_forecast_features(fe, dt.date(2024, 12, 30)).first()
     assert f.month == 1 and f.weekday == 2 and f.iso_week == 1   # 2025-01-01 is a Wednesday in ISO week 1
+
+
+def test_report_plans_publish_every_mart(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    q = E.queries()
+    a = {r.mart: r["count"] for r in q["anomaly_report"](spark, SF_SMALL).collect()}
+    o = {r.mart: r["count"] for r in q["oee_report"](spark, SF_SMALL).collect()}
+    assert len(a) == 14 and a["kpis"] == 1 and a["order_table"] > 0
+    assert len(o) == 11 and o["kpis"] == 1 and o["order_table"] > 0
