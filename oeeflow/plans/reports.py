@@ -17,7 +17,9 @@ def oee_report(wo: DataFrame, today: _dt.date, top_n: int = 30, predictions: Dat
     """OEE dashboard marts (D12-D16, D28-D29, F1-F2) off one materialized OEE table."""
     base = encode.group_rare_articles(wo, encode.top_articles(wo, top_n))
     o = materialize(marts_oee.prepare_oee(base), "oee")
-    fe = add_oee_features(o, with_lags=False)  # D28 takes the last three OEE values per group
+    # D28 reads the feature table in several branches; it takes the last three OEE values
+    # per group itself, so the look-back window is skipped
+    fe = materialize(add_oee_features(o, with_lags=False), "oee_features")
     return {
         "monthly_trend": marts_oee.oee_monthly_trend(o),
         "class_distribution": marts_oee.oee_class_distribution(o),
