@@ -131,3 +131,9 @@ def clean_raw_export(raw: DataFrame, iqr: bool = True) -> DataFrame:
     df = drop_nulls(df)
     df = derive_inefficiency(df)
     return iqr_filter(df) if iqr else df
+
+
+def sort_by_time(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """chronological order with the tie-breakers — a distributed sort, used at sinks."""
+    from oeeflow.schema import ORDER_COLS
+    return df.orderBy(*[c for c in (order_by or ORDER_COLS) if c in df.columns])

@@ -1478,3 +1478,10 @@ def q_compare_classifiers(spark, sf):
     for r in rows[1:]:
         u = u.unionByName(r)
     return metrics.compare_models(u, [F.desc("f1_macro"), F.desc("recall_anomaly")])
+
+
+@register("histogram_density")
+def q_histogram_density(spark, sf):
+    """D8 (curve): Gaussian density of the index on 200 points from the 50 bin counts."""
+    d = stats.histogram_density(work_orders(spark, sf), "inefficiency", bins=50, grid=200)
+    return d.select("point", F.round("x", 9).alias("x"), F.round("density", 9).alias("density"))

@@ -325,3 +325,8 @@ def load_history(spark: SparkSession, path: str) -> DataFrame | None:
 def attach_predictions(df: DataFrame, preds: DataFrame, key: list[str]) -> DataFrame:
     """Left join of predictions on the row key; rows without a score get NULL."""
     return _join_on(df, preds, key, "left")
+
+
+def align_actuals(preds: DataFrame, actual: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
+    """The actual values of the predicted rows (inner join on the row key)."""
+    return _join_on(preds, actual.select(*key, *cols), key, "inner")

@@ -53,3 +53,15 @@ def test_fill_and_select(spark):
     assert r.article == "MISSING_ARTICOLO" and r.phase == "MISSING"
     assert clean.select_existing(df, ["phase", "nope"]).columns == ["phase"]
     assert clean.fill_article(spark.createDataFrame([(1,)], "x int")).first().article == "MISSING_ARTICOLO"
+
+
+def test_sort_by_time_orders_ties(spark, wo):
+    rows = clean.sort_by_time(wo).select("end_ts", "wo").limit(50).collect()
+    assert all((a.end_ts, a.wo) <= (b.end_ts, b.wo) for a, b in zip(rows, rows[1:]))
+
+
+def test_density_integrates_to_one(spark, wo):
+    from oeeflow.operators.stats import histogram_density
+    d = histogram_density(wo, "inefficiency", bins=50, grid=400).orderBy("point").collect()
+    step = d[1].x - d[0].x
+    assert 0.8 < sum(r.density for r in d) * step < 1.05
