@@ -61,3 +61,14 @@ def test_positions_with_infinite_keys(spark):
     p = global_position(df, ["k"], rows_per_chunk=7).orderBy("_pos").collect()
     assert [r._pos for r in p] == list(range(52))
     assert p[0].k == float("-inf") and p[-1].k == float("inf")
+
+
+def test_window_shuffles_on_machine_and_chunk(spark, wo):
+    import re
+    out = add_rolling_and_lags(wo, "inefficiency", rows_per_chunk=100)
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    # the rows are shuffled for the window on (machine, _nchunks, _chunk), never on machine alone
+    row_shuffles = [k for k in keys if "_chunk" in k]
+    assert any(k.startswith("machine#") and "_nchunks#" in k for k in row_shuffles)
