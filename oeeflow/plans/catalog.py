@@ -276,7 +276,7 @@ def _lag_sql(base: str, drop: bool) -> str:
     w = f"PARTITION BY machine {_ORDER_SQL}"
     where = "WHERE lag_1 IS NOT NULL AND lag_2 IS NOT NULL AND lag_3 IS NOT NULL" if drop else ""
     return with_wo(f"""
-SELECT {KEY_SQL}, machine, round(rolling_mean_10, 9) AS rolling_mean_10, round(rolling_std_10, 9) AS rolling_std_10,
+SELECT {KEY_SQL}, machine, round(rolling_mean_10, 9) AS rolling_mean_10, round(rolling_std_10, 6) AS rolling_std_10,
        lag_1, lag_2, lag_3
 FROM (
   SELECT *, avg({base}) OVER ({w} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS rolling_mean_10,
@@ -287,7 +287,7 @@ FROM (
 
 def _lag_out(df):
     return df.select(*_key_cols(), "machine", F.round("rolling_mean_10", 9).alias("rolling_mean_10"),
-                     F.round("rolling_std_10", 9).alias("rolling_std_10"), "lag_1", "lag_2", "lag_3")
+                     F.round("rolling_std_10", 6).alias("rolling_std_10"), "lag_1", "lag_2", "lag_3")
 
 
 @register("add_rolling_and_lags", _lag_sql("inefficiency", False))
