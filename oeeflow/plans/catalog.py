@@ -322,7 +322,7 @@ def q_smooth_times(spark, sf):
 
 @register("add_oee_features", with_wo(f"""
 SELECT {KEY_SQL}, pct_setup, pct_stops, erp_setup_machine_ratio, pct_scrap,
-       round(cycle_mean_art, 9) AS cycle_mean_art, round(coalesce(cycle_std_art, 0.0), 9) AS cycle_std_art,
+       round(cycle_mean_art, 9) AS cycle_mean_art, round(coalesce(cycle_std_art, 0.0), 6) AS cycle_std_art,
        round(avg(oee) OVER (PARTITION BY machine {_ORDER_SQL} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 9) AS rolling_oee_3,
        lag(oee, 1) OVER (PARTITION BY machine {_ORDER_SQL}) AS lag_1_oee,
        lag(oee, 2) OVER (PARTITION BY machine {_ORDER_SQL}) AS lag_2_oee,
@@ -342,7 +342,7 @@ def q_add_oee_features(spark, sf):
     f = features.add_oee_features(oee_rows(spark, sf))
     return f.select(*_key_cols(), "pct_setup", "pct_stops", "erp_setup_machine_ratio", "pct_scrap",
                     F.round("cycle_mean_art", 9).alias("cycle_mean_art"),
-                    F.round("cycle_std_art", 9).alias("cycle_std_art"),
+                    F.round("cycle_std_art", 6).alias("cycle_std_art"),
                     F.round("rolling_oee_3", 9).alias("rolling_oee_3"), "lag_1_oee", "lag_2_oee", "lag_3_oee")
 
 
