@@ -30,5 +30,25 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_to_weights, op3_best_fit_packing, op4_quality_rules)}
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oeeflow.llm.pii import find_personal_data
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oeeflow.llm.simjoin import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, threshold=0.85)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oeeflow.llm.toxicity import fit_toxicity, held_out, score_toxicity
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_to_weights, op2_personal_data, op3_best_fit_packing, op4_quality_rules,
+                                     op7_ngram_jaccard, op8_toxicity)}
 SQL: dict[str, str] = {}
