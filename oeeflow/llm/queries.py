@@ -37,6 +37,11 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def op5_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oeeflow.llm.fingerprints import compare_with_edited
+    return compare_with_edited(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from oeeflow.llm.simjoin import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, threshold=0.85)
@@ -50,5 +55,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_to_weights, op2_personal_data, op3_best_fit_packing, op4_quality_rules,
-                                     op7_ngram_jaccard, op8_toxicity)}
+                                     op5_imatch_fingerprints,                                     op7_ngram_jaccard, op8_toxicity)}
 SQL: dict[str, str] = {}

@@ -109,7 +109,7 @@ class ToxicityModel:
     exact: list[float] = field(default_factory=list)
     fuzzy: list[float] = field(default_factory=list)
     bias: float = -50.0
-    coefficients: tuple[float, ...] = (0.0, 0.0, 0.0)
+    coefficients: tuple[float, ...] = (0.0, 0.0)
 
 
 _held: dict[tuple, tuple] = {}
@@ -170,14 +170,20 @@ def lexicon_matches(docs: DataFrame, terms: list[str], id_col: str, text_col: st
 
 
 def _sums(matches: DataFrame, model: ToxicityModel) -> DataFrame:
-    """Sums of weights over the matched terms: exact, misspelled, and exact ones per 100 chunks."""
-    def total(distance: int, weights: list[float]) -> Column:
+    """Over the matched terms, exact and misspelled: the sum of their weights and the largest."""
+    def weighed(distance: int, weights: list[float]) -> Column:
         table = F.array(*[F.lit(float(w)) for w in weights]) if weights else F.array(F.lit(0.0))
         pairs = F.filter(F.arrays_zip("term", "distance", "weight"), lambda h: h["distance"] == distance)
-        return F.aggregate(pairs, F.lit(0.0), lambda a, h: a + h["weight"] * F.coalesce(F.get(table, h["term"]), F.lit(0.0)))
-    exact = total(0, model.exact)
-    return matches.select("id", "n_chunks", exact.alias("exact"), total(1, model.fuzzy).alias("fuzzy")).withColumn(
-        "density", F.col("exact") * 100 / (F.col("n_chunks") + 50))
+        return F.transform(pairs, lambda h: h["weight"] * F.coalesce(F.get(table, h["term"]), F.lit(0.0)))
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    weights = F.concat(weighed(0, model.exact), weighed(1, model.fuzzy))
+    return matches.select("id", "n_chunks", total(weights).alias("total"),
+                          F.coalesce(F.array_max(weights), F.lit(0.0)).alias("strongest"))
+
+
+FEATURES = ("total", "strongest")
 
 
 def held_out(id_col: Column) -> Column:
@@ -204,7 +210,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     odds = (F.log((F.col("pos") + a) / (n_pos + 2 * a)) - F.log((F.col("neg") + a) / (n_neg + 2 * a)))
     z = F.col("weight") / F.sqrt(1 / (F.col("pos") + a) + 1 / (F.col("neg") + a))
     lexicon = (counts.filter(F.col("pos") >= max(3, math.ceil(0.002 * n_pos))).withColumn("weight", odds)
-               .withColumn("z", z).filter("weight > 1.5 and z > 2.5")
+               .withColumn("z", z).filter("weight > 2.5 and z > 3")
                .orderBy(F.col("z").desc(), "w").limit(max_terms).collect())
     if not lexicon:
         return ToxicityModel()
@@ -214,16 +220,18 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     # weights of misspelled matches, in texts without an exact one of any term
     near = matches.filter(~F.array_contains("distance", 0)).select("label", F.explode("term").alias("t")).groupBy("t").agg(
         F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    model.fuzzy = [0.6 * w for w in model.exact]
+    model.fuzzy = [0.85 * w for w in model.exact]
     for r in near.collect():  # one row per term of the bounded lexicon
         own = math.log((r["pos"] + a) / (n_pos + 2 * a)) - math.log((r["neg"] + a) / (n_neg + 2 * a))
         share = (r["pos"] + r["neg"]) / (r["pos"] + r["neg"] + 2.0)
         model.fuzzy[r["t"]] = max(0.0, share * own + (1 - share) * model.fuzzy[r["t"]])
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
-    rows = VectorAssembler(inputCols=["exact", "fuzzy", "density"], outputCol="features").transform(
+    from pyspark.ml.linalg import Matrices
+    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
         _sums(matches, model).join(sample.select("id", "label"), "id"))
-    fitted = LogisticRegression(labelCol="label", regParam=1e-3, maxIter=50).fit(rows)
+    at_least_0 = Matrices.dense(1, len(FEATURES), [0.0] * len(FEATURES))
+    fitted = LogisticRegression(labelCol="label", maxIter=50, lowerBoundsOnCoefficients=at_least_0).fit(rows)
     model.bias, model.coefficients = float(fitted.intercept), tuple(float(c) for c in fitted.coefficients)
     return model
 
@@ -232,7 +240,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     """Per row: id, ``score`` (0 to 1) and ``predicted`` (score at least 0.5)."""
     sums = _sums(lexicon_matches(docs, model.terms, id_col, text_col), model)
     linear = F.lit(model.bias)
-    for c, w in zip(("exact", "fuzzy", "density"), model.coefficients):
+    for c, w in zip(FEATURES, model.coefficients):
         linear = linear + F.col(c) * F.lit(w)
     score = 1 / (1 + F.exp(-linear))
     return sums.select(F.col("id").alias(id_col), score.alias("score")).withColumn(
