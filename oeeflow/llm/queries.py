@@ -54,6 +54,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oeeflow.llm.lm import fit_trie, held_out, score_texts
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_trie(docs.filter(~held_out(F.col("doc_id"))))
+    return score_texts(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 QUERIES = {f.__name__: f for f in (op1_mix_to_weights, op2_personal_data, op3_best_fit_packing, op4_quality_rules,
-                                     op5_imatch_fingerprints,                                     op7_ngram_jaccard, op8_toxicity)}
+                                     op5_imatch_fingerprints,                                     op7_ngram_jaccard, op8_toxicity, op10_trie_scores)}
 SQL: dict[str, str] = {}
