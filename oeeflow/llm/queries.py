@@ -42,6 +42,13 @@ def op5_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edited(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oeeflow.llm.warc import archived_pages, page_number
+    read = archived_pages(table(spark, sf_dir, "pages"))
+    return read.select(page_number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       page_number(F.col("refers_to")).alias("refers_to"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from oeeflow.llm.simjoin import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, threshold=0.85)
@@ -64,5 +71,5 @@ def op10_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_to_weights, op2_personal_data, op3_best_fit_packing, op4_quality_rules,
-                                     op5_imatch_fingerprints,                                     op7_ngram_jaccard, op8_toxicity, op10_trie_scores)}
+                                     op5_imatch_fingerprints, op6_warc,                                     op7_ngram_jaccard, op8_toxicity, op10_trie_scores)}
 SQL: dict[str, str] = {}
