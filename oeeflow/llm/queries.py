@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oeeflow.llm import sql
 from oeeflow.llm.common import table, word_count
 
 
@@ -61,6 +62,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oeeflow.llm.licenses import scan_licenses
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from oeeflow.llm.lm import fit_trie, held_out, score_texts
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -70,6 +76,7 @@ def op10_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_to_weights, op2_personal_data, op3_best_fit_packing, op4_quality_rules,
-                                     op5_imatch_fingerprints, op6_warc,                                     op7_ngram_jaccard, op8_toxicity, op10_trie_scores)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_mix_to_weights, op2_personal_data, op3_best_fit_packing, op4_quality_rules, op5_imatch_fingerprints, op6_warc,
+    op7_ngram_jaccard, op8_toxicity, op9_licenses, op10_trie_scores)}
+SQL: dict[str, str] = {"op1_mix_to_weights": sql.mixing(), "op4_quality_rules": sql.quality(), "op9_licenses": sql.licenses()}
