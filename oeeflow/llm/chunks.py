@@ -27,6 +27,8 @@ class ChunkTable:
     def look_up(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """(chunks, values, bounds): text i has the chunks ``bounds[i]`` to ``bounds[i + 1]``, one
         row of ``values`` each. A null text has one empty chunk."""
+        if texts.offset:  # a copy: casts and string functions of Arrow misread some views
+            texts = texts.take(pa.array(range(len(texts)), pa.int64()))
         texts = pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), "\n", " ")
         parts = pc.split_pattern(texts, " ")
         chunks = parts.flatten()

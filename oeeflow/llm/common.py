@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batches: Iterable, rows: int = 512) -> Iterator:
+    """Arrow batches cut into pieces of ``rows`` rows, so that what a task derives from a batch stays
+    small however many rows Spark puts into one."""
+    import pyarrow as pa
+    for batch in batches:
+        n = batch.num_rows
+        for lo in range(0, n, rows):  # copies: string functions of Arrow misread some views
+            yield batch if n <= rows else batch.take(pa.array(range(lo, min(lo + rows, n)), pa.int64()))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the cluster names in ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oeeflow.llm.common import on_workers
+from oeeflow.llm.common import on_workers, slices
 
 MIN_TERMS = 4
 #: Share of the lexicon in each subset. Few subsets are large (equal only for texts with the same
@@ -60,7 +60,7 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
         held: list = [np.zeros(0, np.uint64)]
         sums: list = [np.zeros(0)]
         size = 0
-        for batch in batches:
+        for batch in slices(batches):
             for _, words, at in _runs(batch.column(0)):
                 terms = _distinct_terms(words, at)
                 held.append(terms)
@@ -156,7 +156,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         printer = Fingerprinter(terms.value)
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([as_text(s) for s in printer.signatures(batch.column(1))], pa.string())],
                 [id_col, "fingerprint"])
@@ -203,7 +203,7 @@ def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         pack = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             buckets = bucket_of(batch.column(0)).tolist()
             keys = batch.column(0).to_pylist()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oeeflow.llm.common import on_workers, scratch_path, written
+from oeeflow.llm.common import on_workers, scratch_path, slices, written
 
 END, BEGIN = np.uint64(0x7E57ED0E5EED0001), np.uint64(0x7E57ED0E5EED0002)
 SHARD_ROWS = 1 << 21
@@ -78,7 +78,7 @@ def _counter(extract, names: tuple[str, ...], schema: str):
         def rows(keys, counts):
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], list(names))
 
-        for batch in batches:
+        for batch in slices(batches):
             for _, words, at in word_hashes(batch.column(0)):
                 keys, counts = np.unique(look(words, at), return_counts=True)
                 held.append(keys)
@@ -301,7 +301,7 @@ def score_texts(docs: DataFrame, files: TrieFiles, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from oeeflow.llm.shingles import word_hashes
         trie = _trie(files)
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list] = [[], [], [], []]
             for _, words, at in word_hashes(batch.column(1)):
                 n = len(at) - 1

@@ -109,3 +109,13 @@ def mix_to_weights(docs: DataFrame, id_col: str = "doc_id", source_col: str = "s
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target",
                       (F.col("size") * F.col("passes")).cast("long").alias("taken"), "passes",
                       finish(0).alias("virtual_finish"))
+
+
+def apply_mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+    """``docs`` with each document as often as the mix takes it (its columns unchanged). Documents
+    of size 0 are in no mix. Rows that share an id are taken equally often."""
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"))
+    passes = (mix_to_weights(sized, "id", "source", "size", **options).groupBy(F.col("id").alias("_mix_id"))
+              .agg(F.max("passes").alias("_mix_passes")).filter("_mix_passes > 0"))
+    return (docs.join(passes, docs[id_col].eqNullSafe(F.col("_mix_id")))
+            .withColumn("_mix_pass", F.explode(F.sequence(F.lit(1), F.col("_mix_passes")))).select(*docs.columns))

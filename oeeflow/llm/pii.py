@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oeeflow.llm.common import on_workers
+from oeeflow.llm.common import on_workers, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "account", "secret", "url")
@@ -146,7 +146,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                            T.StructField("base_spans", T.StringType()), T.StructField("spans", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts = {k: [] for k in BASE_KINDS}
             base, every = [], []
             for value in batch.column(1):
@@ -189,7 +189,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = names.index(text_col)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [None if v is None else redact_text(v) for v in batch.column(where).to_pylist()]
             cols = list(batch.columns)
             cols[where] = pa.array(texts, pa.string())

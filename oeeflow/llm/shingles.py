@@ -45,11 +45,11 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 def word_hashes(texts: pa.Array, lower: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Yields (first, hashes, bounds) for runs of texts of about ``CHUNK_BYTES``: text ``first + i``
     has the word hashes ``hashes[bounds[i]:bounds[i + 1]]`` in order. A null text has none."""
+    if texts.offset:  # a copy: casts and string functions of Arrow misread some views
+        texts = texts.take(pa.array(range(len(texts)), pa.int64()))
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if lower:
         texts = pc.ascii_lower(texts)
-    if texts.offset or not len(texts):
-        texts = pa.concat_arrays([texts]) if len(texts) else texts
     n = len(texts)
     if not n:
         return

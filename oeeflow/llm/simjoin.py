@@ -4,10 +4,12 @@ A text's set is its distinct word shingles. All pairs of texts with Jaccard at l
 are linked, exactly; equal sets are collapsed first and stand for each other.
 
 1. Candidate blocks. In any fixed order of all shingles, two linked sets share one of the first
-   ``n - ceil(threshold * n) + 1`` shingles of each (prefix filter). The order used puts shingles
-   that are common in a bounded sample last and is by hash otherwise. Sets that meet in a prefix
-   shingle and have compatible sizes are chained, smallest to largest, never paired; connected
-   chains are a block, so linked sets always lie in one block.
+   ``n - ceil(threshold * n) + 1`` shingles of each (prefix filter), and ``k`` of the first
+   ``n - ceil(threshold * n) + k``. The order used puts shingles that are common in a bounded
+   sample last and is by hash otherwise. A set of which fewer than ``k`` (a share of its size) of
+   those shingles occur in any other set of fitting size is linked with nothing and drops out,
+   twice over. Sets left that meet in a prefix shingle and have fitting sizes are chained, smallest
+   to largest, never paired; connected chains are a block, so linked sets always lie in one block.
 2. Signature trees. Within a block (cut into chunks of bounded weight; pairs of chunks with
    compatible sizes go to one task each) the sets are leaves of a tree whose nodes hold the
    OR of token bitmaps and the range of sizes. A dual traversal drops node pairs that cannot reach
@@ -31,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oeeflow.llm.common import on_workers, written
+from oeeflow.llm.common import on_workers, slices, written
 from oeeflow.llm.components import components
 
 SAMPLE_DOCS = 20_000      # texts (about) in which common shingles are looked for
-COMMON_IN_SAMPLE = 8      # a shingle in so many of them goes to the end of the order
+COMMON_IN_SAMPLE = 2      # a shingle in so many of them goes to the end of the order
+EXTRA_SHARE = 0.08        # k of the longer prefix, as a share of the set
 SALTS = 64                # parts of a common shingle's list
 BITMAP_WORDS = 1 << 18    # words of 64 bits in the filter of live sets (2 MB, fixed)
 CHUNK_WEIGHT = 1 << 21    # shingles (plus 200 a set) that one tree holds
@@ -62,7 +65,7 @@ def _common_shingles(docs: DataFrame, shingle: int, total: int) -> np.ndarray:
     one_in = max(1, total // SAMPLE_DOCS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for members in shingle_sets(batch.column(0), shingle):
                 yield pa.RecordBatch.from_arrays([_long(_as_long(members))], ["s"])
 
@@ -74,13 +77,14 @@ def _common_shingles(docs: DataFrame, shingle: int, total: int) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, shingle: int, threshold: float, common) -> DataFrame:
-    """(token, salt, pn, sig): a text's prefix shingles; pn is its size and a mark of the shingle
-    before this one in its order. Equal texts of a batch give one set of rows."""
+    """(token, salt, pn, sig): a text's first shingles in the order; pn is its size, a mark of the
+    shingle before this one, and in the lowest bit whether it belongs to the short prefix. Equal
+    texts of a batch give one set of rows."""
     from oeeflow.llm.shingles import set_hash, shingle_sets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = common.value
-        for batch in batches:
+        for batch in slices(batches):
             token, salt, pn, sig, seen = [], [], [], [], set()
             for members in shingle_sets(batch.column(0), shingle):
                 n = len(members)
@@ -88,7 +92,8 @@ def _postings(docs: DataFrame, shingle: int, threshold: float, common) -> DataFr
                 if not n or key in seen:
                     continue
                 seen.add(key)
-                size = n - math.ceil(threshold * n - 1e-9) + 1
+                short = n - math.ceil(threshold * n - 1e-9) + 1
+                size = short - 1 + _extra(n)
                 if len(late):
                     at = np.searchsorted(late, members)
                     is_common = late[np.minimum(at, len(late) - 1)] == members
@@ -98,7 +103,8 @@ def _postings(docs: DataFrame, shingle: int, threshold: float, common) -> DataFr
                 else:
                     prefix, n_rare = members[:size], size
                 before = np.zeros(size, np.int64)  # 0: nothing comes before
-                before[1:] = (prefix[:-1] >> np.uint64(32)).astype(np.int64) | 1
+                before[1:] = (prefix[:-1] >> np.uint64(32)).astype(np.int64) & ~1 | 2
+                before[:short] |= 1
                 part = np.full(size, -1, np.int64)
                 part[n_rare:] = key % SALTS
                 token.append(prefix)
@@ -113,59 +119,110 @@ def _postings(docs: DataFrame, shingle: int, threshold: float, common) -> DataFr
     return docs.select("text").mapInArrow(run, "token long, salt int, pn long, sig long")
 
 
+def _extra(n):
+    """k of the longer prefix."""
+    return np.maximum(1, np.ceil(EXTRA_SHARE * n)).astype(np.int64) if isinstance(n, np.ndarray) else max(1, math.ceil(EXTRA_SHARE * n))
+
+
+LIST_SCHEMA = "token long, salt int, pn long, sig long"
+
+
+def _sorted_lists(postings: DataFrame) -> DataFrame:
+    return postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "pn", "sig")
+
+
+def _in_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns token, salt, pn, sig of sorted rows without repeats, in pieces; the last row of a
+    piece is the first of the next (so that each pair of neighbours is seen once)."""
+    held = None
+    for batch in batches:
+        cols = tuple(batch.column(i).to_numpy() for i in range(4))
+        if held is not None:
+            cols = tuple(np.concatenate([h, x]) for h, x in zip(held, cols))
+        if not len(cols[0]):
+            continue
+        new = np.ones(len(cols[0]), bool)
+        new[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[3][1:] != cols[3][:-1])
+        cols = tuple(x[new] for x in cols)
+        held = tuple(x[-1:] for x in cols)
+        yield cols
+
+
+def _shared(postings: DataFrame, threshold: float) -> DataFrame:
+    """The rows whose shingle another set of fitting size has, too (all rows of common shingles,
+    whose lists are cut by salt), without repeats. Streams sorted partitions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_shared = None, False
+
+        def rows(cols, pick):
+            return pa.RecordBatch.from_arrays([_long(cols[0][pick]), pa.array(cols[1][pick], pa.int32()),
+                                               _long(cols[2][pick]), _long(cols[3][pick])], ["token", "salt", "pn", "sig"])
+        for t, p, n, s in _in_runs(batches):
+            size = n >> 32
+            meets = (t[1:] == t[:-1]) & (p[1:] == p[:-1]) & _sizes_fit(size[:-1], size[1:], threshold)
+            shared = p >= 0
+            shared[1:] |= meets
+            shared[:-1] |= meets
+            shared[0] |= held_shared
+            # the last row waits for its next neighbour
+            held, held_shared = tuple(x[-1:] for x in (t, p, n, s)), bool(shared[-1])
+            yield rows((t, p, n, s), np.flatnonzero(shared[:-1]))
+        if held is not None and held_shared:
+            yield rows(held, np.array([0]))
+
+    return _sorted_lists(postings).mapInArrow(run, LIST_SCHEMA)
+
+
+def _linkable(shared: DataFrame, threshold: float) -> DataFrame:
+    """The rows of the sets with enough shared shingles among their first: the k of the smallest
+    set that fits, since two sets are sure to share the lesser k of the two."""
+    n = F.expr("shiftright(pn, 32)")
+    least = F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9))
+    live = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("k"), F.max(n).alias("n")).filter(
+        F.col("k") >= F.greatest(F.lit(1), F.ceil(least * F.lit(EXTRA_SHARE) - F.lit(1e-9)))).select("sig")
+    return shared.join(live, "sig").select("token", "salt", "pn", "sig")
+
+
 def _chains(postings: DataFrame, threshold: float) -> DataFrame:
     """Edges (a, b) between neighbours by size in each list, and the runs of salted lists:
     (a, null, token, least size, largest size). Streams sorted partitions; holds one row."""
+    names = ["a", "b", "token", "least", "largest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        run_start = None  # (token, salt, sig, least size) of the open run of a salted list
-        last = None
-
-        def closed(start, largest, out):
-            for col, v in zip(out, (start[0], start[2], start[3], largest)):
-                col.append(v)
-
-        for batch in batches:
-            t, p, n, s = (batch.column(i).to_numpy() for i in range(4))
-            if not len(t):
-                continue
-            if held is not None:
-                t, p, n, s = (np.concatenate([h, x]) for h, x in zip(held, (t, p, n, s)))
-            size, prev = n >> 32, n & 0xFFFFFFFF
+        open_run = None  # (token, sig, least size) of the open run of a salted list
+        first, last = True, None
+        for t, p, n, s in _in_runs(batches):
+            size, prev = n >> 32, n & 0xFFFFFFFE
             same = (t[1:] == t[:-1]) & (p[1:] == p[:-1]) & _sizes_fit(size[:-1], size[1:], threshold)
             # two rows with the same shingle before this one meet in that shingle's list
-            link = same & (s[1:] != s[:-1]) & ((prev[1:] != prev[:-1]) | (prev[1:] == 0))
-            k = np.flatnonzero(link)
-            yield pa.RecordBatch.from_arrays(
-                [_long(s[k]), _long(s[k + 1]), pa.nulls(len(k), pa.int64()), pa.nulls(len(k), pa.int64()),
-                 pa.nulls(len(k), pa.int64())], ["a", "b", "token", "least", "largest"])
-            # runs of salted lists
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            if run_start is not None or (p >= 0).any():
-                begins = np.concatenate([[held is None], ~same])
-                for i in np.flatnonzero(begins):
-                    if run_start is not None:
-                        closed(run_start, int(size[i - 1]) if i else last, out)
-                    run_start = (int(t[i]), int(p[i]), int(s[i]), int(size[i])) if p[i] >= 0 else None
-            last = int(size[-1])
-            if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [_long(np.array(out[1])), pa.nulls(len(out[0]), pa.int64()), _long(np.array(out[0])),
-                     _long(np.array(out[2])), _long(np.array(out[3]))], ["a", "b", "token", "least", "largest"])
-            held = tuple(x[-1:] for x in (t, p, n, s))
-        if run_start is not None:
-            yield pa.RecordBatch.from_arrays([_long(np.array([x])) if x is not None else pa.nulls(1, pa.int64()) for x in (
-                run_start[2], None, run_start[0], run_start[3], last)], ["a", "b", "token", "least", "largest"])
-
-    return (postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "pn", "sig")
-            .mapInArrow(run, "a long, b long, token long, least long, largest long"))
+            k = np.flatnonzero(same & ((prev[1:] != prev[:-1]) | (prev[1:] == 0)))
+            none = pa.nulls(len(k), pa.int64())
+            yield pa.RecordBatch.from_arrays([_long(s[k]), _long(s[k + 1]), none, none, none], names)
+            done = []
+            if open_run is not None or (p >= 0).any():
+                begins = np.flatnonzero(np.concatenate([[first], ~same]))
+                for i in begins.tolist():
+                    if open_run is not None:
+                        done.append((*open_run, int(size[i - 1])))
+                    open_run = (int(t[i]), int(s[i]), int(size[i])) if p[i] >= 0 else None
+            first, last = False, int(size[-1])
+            if done:
+                cols = [pa.array(x, pa.int64()) for x in zip(*done)]
+                yield pa.RecordBatch.from_arrays([cols[1], pa.nulls(len(done), pa.int64()), cols[0], cols[2], cols[3]], names)
+        if open_run is not None:
+            t, s, least = open_run
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (s, None, t, least, last)], names)
+
+    return _sorted_lists(postings.filter("pn & 1 = 1")).mapInArrow(run, "a long, b long, token long, least long, largest long")
 
 
 def candidate_edges(docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
     spark = docs.sparkSession
     common = spark.sparkContext.broadcast(_common_shingles(docs, shingle, docs.count()))
-    found = written(_chains(_postings(docs, shingle, threshold, common), threshold), "simjoin-chains")
+    shared = written(_shared(_postings(docs, shingle, threshold, common), threshold), "simjoin-shared")
+    shared = written(_shared(_linkable(shared, threshold), threshold), "simjoin-shared")
+    found = written(_chains(_linkable(shared, threshold), threshold), "simjoin-chains")
     # runs of one salted list in order of their least size; overlapping or fitting ones are chained
     w = Window.partitionBy("token").orderBy("least", "largest", "a")
     upto = F.max("largest").over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -286,7 +343,7 @@ def _live_sets(docs: DataFrame, shingle: int, bitmap) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have, seen = bitmap.value, set()
-        for batch in batches:
+        for batch in slices(batches):
             sig, members = [], []
             for x in shingle_sets(batch.column(0), shingle):
                 if not len(x):
@@ -326,7 +383,7 @@ def text_sets(docs: DataFrame, shingle: int) -> DataFrame:
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = list(shingle_sets(batch.column(1), shingle))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) for x in sets], pa.int64()),
@@ -385,8 +442,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
              threshold: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates: that with the smallest id.
-    Ids are expected to be unique; a null id stays."""
-    found = near_duplicates(docs, id_col, text_col, shingle, threshold)
+    """``docs`` with one document of each group of near duplicates: that with the smallest id. Rows
+    with the same id and text are one document; a document with a null id stays."""
+    found = written(near_duplicates(docs, id_col, text_col, shingle, threshold), "simjoin-found")
     gone = found.filter(F.col("component_id") < F.col(id_col)).select(id_col)
-    return docs.join(gone, id_col, "left_anti")
+    twice = found.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(id_col)
+    once = docs.join(gone.unionByName(twice), id_col, "left_anti")
+    repeated = docs.join(twice, id_col, "left_semi").join(gone, id_col, "left_anti").dropDuplicates([id_col, text_col])
+    return once.unionByName(repeated).select(*docs.columns)

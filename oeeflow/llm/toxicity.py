@@ -4,8 +4,8 @@ Fit, on a bounded sample of labelled rows: words whose presence speaks for the l
 a significance bound) become the lexicon, a trie. Words are matched by the intersection of the trie
 with Levenshtein automata: the states of that product are made as they are met and kept, so a word
 costs one step per letter until it can no longer match. Misspelled matches have a weight of their
-own per term, learned from the same sample and shrunk towards a share of the exact weight, so that
-ordinary words that lie near a term do not count. A window around each match tells quotation from
+own per term: the log odds of near matches in the same sample (one more toxic text than was seen),
+never more than a share of the exact weight, so that ordinary words that lie near a term do not count. A window around each match tells quotation from
 abuse (marks of quotation on both sides weaken a match, second-person words strengthen it). A
 logistic model over the sums gives the score.
 
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oeeflow.llm.common import on_workers, written
+from oeeflow.llm.common import on_workers, slices, written
 
 SAMPLE_ROWS = 20_000   # labelled rows (about) that the model is fitted on
 MAX_TERMS = 4_096      # size of the lexicon
@@ -150,7 +150,7 @@ def lexicon_matches(docs: DataFrame, terms: list[str], id_col: str, text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _matcher(names)
-        for batch in batches:
+        for batch in slices(batches, 2048):
             chunks, values, at = table.look_up(batch.column(1))
             hits: list[dict] = [{} for _ in range(batch.num_rows)]
             where = np.flatnonzero(values[:, 0] >= 0)
@@ -220,11 +220,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     # weights of misspelled matches, in texts without an exact one of any term
     near = matches.filter(~F.array_contains("distance", 0)).select("label", F.explode("term").alias("t")).groupBy("t").agg(
         F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    model.fuzzy = [0.85 * w for w in model.exact]
-    for r in near.collect():  # one row per term of the bounded lexicon
-        own = math.log((r["pos"] + a) / (n_pos + 2 * a)) - math.log((r["neg"] + a) / (n_neg + 2 * a))
-        share = (r["pos"] + r["neg"]) / (r["pos"] + r["neg"] + 2.0)
-        model.fuzzy[r["t"]] = max(0.0, share * own + (1 - share) * model.fuzzy[r["t"]])
+    seen = {r["t"]: (r["pos"], r["neg"]) for r in near.collect()}  # a row per term of the bounded lexicon
+    model.fuzzy = []
+    for k, weight in enumerate(model.exact):
+        pos, neg = seen.get(k, (0, 0))
+        own = math.log((pos + 1.5) / (n_pos + 2)) - math.log((neg + a) / (n_neg + 2 * a))
+        model.fuzzy.append(max(0.0, min(0.85 * weight, own)))
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.linalg import Matrices
