@@ -66,10 +66,10 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 held.append(terms)
                 sums.append(np.ones(len(terms)))
                 size += len(terms)
-                if size > 4_000_000:
+                if size > 1_500_000:
                     terms, n = counted(held, sums)
                     held, sums, size = [terms], [n], 0
-                    if len(terms) > 3_000_000:
+                    if len(terms) > 1_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n)], ["term", "df"])
                         held, sums = [np.zeros(0, np.uint64)], [np.zeros(0)]
         terms, n = counted(held, sums)

@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from oeeflow.llm.common import on_workers, scratch_path, slices, written
 
 END, BEGIN = np.uint64(0x7E57ED0E5EED0001), np.uint64(0x7E57ED0E5EED0002)
-SHARD_ROWS = 1 << 21
+SHARD_ROWS = 1 << 20
 STEP = 1 / 4096            # quantum of stored log10 probabilities and back-off weights
-FLUSH = 4_000_000          # distinct keys that a counting task holds
+FLUSH = 1_500_000          # distinct keys that a counting task holds
 
 
 @dataclass
