@@ -74,9 +74,18 @@ def anomaly_month_delta(s: DataFrame) -> DataFrame:
 
 
 def anomaly_kpis_by_period(s: DataFrame, period: str, theoretical: str = "cycle_hours") -> DataFrame:
-    """KPIs of the period and of the equally long period before it, in one pass."""
+    """KPIs of the period and of the equally long period before it, in one pass. Over the
+    whole period (``all``) there is nothing before: those columns are NULL."""
     if period == "all":
-        return s.agg(F.count(F.lit(1)).alias("n_total"), F.count_if(F.col("is_anomaly") == 1).alias("n_anomalies"))
+        r, t = F.round(F.col("work_hours"), 3), F.round(F.col(theoretical), 3)
+        lost = F.when(r.isNotNull() & t.isNotNull(), F.greatest(r - t, F.lit(0.0)))
+        agg = s.agg(F.count(F.lit(1)).alias("n_total"), F.count_if(F.col("is_anomaly") == 1).alias("n_anomalies"),
+                    F.round(F.coalesce(F.sum(lost), F.lit(0.0)), 1).alias("lost_hours"))
+        rate = F.when(F.col("n_total") > 0, F.round(F.col("n_anomalies") / F.col("n_total") * 100, 1)).otherwise(0.0)
+        none = {"prev_total": "bigint", "prev_anomalies": "bigint", "prev_rate_pct": "double", "prev_lost_hours": "double",
+                "delta_anomalies": "bigint", "delta_rate_pct": "double", "delta_lost_hours": "double"}
+        return agg.select("n_total", "n_anomalies", (F.col("n_total") - F.col("n_anomalies")).alias("n_normal"),
+                          rate.alias("rate_pct"), "lost_hours", *[F.lit(None).cast(t).alias(c) for c, t in none.items()])
     k = PERIOD_MONTHS[period]
     mx = s.agg(F.max(F.to_date("end_ts")).alias("_maxd"))
     d = F.to_date("end_ts")

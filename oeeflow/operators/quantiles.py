@@ -2,16 +2,17 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one buffer, which does
 not scale to a hot group. Here a ``percentile_approx`` bracket [lo, hi] is taken around each
-target rank (its rank error is at most n/accuracy, the bracket is three times wider); one
-aggregate counts the rows below ``lo`` and gathers only the values inside the bracket, about
-6·n/accuracy per group and probability, from which the two order statistics are read. The
-value is then interpolated as
-``v0 + (v1 - v0) * (h - floor(h))`` with ``h = p * (n - 1)``.
+target rank (its rank error is at most n/accuracy, the bracket is three times wider). One
+aggregate counts the rows of each distinct value inside the bracket and, as one row each, those
+below and above it with the nearest value on that side; running counts over these few rows give
+the two order statistics. Tied values are one row however many they are. The value is
+interpolated as ``v0 + (v1 - v0) * (h - floor(h))`` with ``h = p * (n - 1)``; a rank that the rows
+do not cover is an error, never a NULL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oeeflow.operators.windows import _join_on
@@ -40,47 +41,35 @@ def quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | Non
         return (v.groupBy(*by).agg(apx.alias("_a"))
                 .select(*by, *[F.col("_a")[i].alias(n) for i, n in enumerate(names)]))
 
-    # bracket widths: the narrowest one covering the sketch's rank error (3/accuracy) plus
-    # the offset between p·n and the interpolation index p·(n-1) is chosen per group
     eps = 3.0 / accuracy
-    widths = sorted({w for w in (eps, 1e-3, 1e-2, 1e-1, 1.0) if w >= eps})
-    pcts, slots = [], []
-    for p in probs:
-        lo_i, hi_i = [], []
-        for w in widths:
-            lo_i.append(len(pcts)); pcts.append(max(0.0, p - w))
-            hi_i.append(len(pcts)); pcts.append(min(1.0, p + w))
-        slots.append((lo_i, hi_i))
+    pcts = [x for p in probs for x in (max(0.0, p - eps), min(1.0, p + eps))]
     stats = v.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_x", F.array(*[F.lit(x) for x in pcts]), accuracy).alias("_a"))
-    wl = F.array(*[F.lit(w) for w in widths])
-    per_p = []
-    for i, p in enumerate(probs):
-        need = F.lit(eps) + (F.lit(p) + 2.0) / F.col("_n")
-        pick = F.size(F.filter(wl, lambda w: w < need)) + 1      # 1-based, ≤ len(widths)
-        pick = F.least(pick, F.lit(len(widths)))
-        lo_arr = F.array(*[F.col("_a")[j] for j in slots[i][0]])
-        hi_arr = F.array(*[F.col("_a")[j] for j in slots[i][1]])
-        per_p.append(F.struct(F.lit(i).alias("_pi"), F.lit(float(p)).alias("_p"),
-                              F.element_at(lo_arr, pick).alias("_lo"), F.element_at(hi_arr, pick).alias("_hi")))
+    per_p = [F.struct(F.lit(i).alias("_pi"), F.lit(float(p)).alias("_p"), F.col("_a")[2 * i].alias("_lo"),
+                      F.col("_a")[2 * i + 1].alias("_hi")) for i, p in enumerate(probs)]
     bounds = (stats.select(*by, "_n", F.explode(F.array(*per_p)).alias("_b"))
               .select(*by, "_n", "_b.*")
               .withColumn("_h", F.col("_p") * (F.col("_n") - 1))
               .withColumn("_r0", F.floor("_h").cast("bigint"))
               .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1)))
-    # one bounds row per group and probability; one aggregate then counts the rows below
-    # the bracket and gathers the (bounded) values inside it
-    j = _join_on(v, F.broadcast(bounds) if not by else bounds, by)
-    inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
-    g = j.groupBy(*by, "_pi", "_h", "_r0", "_r1").agg(
-        F.count_if(F.col("_x") < F.col("_lo")).alias("_c"),
-        F.array_sort(F.collect_list(F.when(inside, F.col("_x")))).alias("_band"))
-    def _at(r):  # 1-based position in the band; outside it → NULL (never an error)
-        k = (F.col(r) - F.col("_c") + 1).cast("int")
-        return F.when((k >= 1) & (k <= F.size("_band")), F.element_at("_band", k))
-    v0, v1 = _at("_r0"), _at("_r1")
-    q = F.when(F.col("_h") == F.col("_r0"), v0).otherwise(v0 + (v1 - v0) * (F.col("_h") - F.col("_r0")))
+    j = _join_on(v, F.broadcast(bounds) if not by else bounds, by)  # without groups a row per probability
+    side = F.when(F.col("_x") < F.col("_lo"), -1).when(F.col("_x") > F.col("_hi"), 1).otherwise(0)
+    counts = (j.withColumn("_side", side).withColumn("_v", F.when(F.col("_side") == 0, F.col("_x")))
+              .groupBy(*by, "_pi", "_h", "_r0", "_r1", "_side", "_v")
+              .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_least"), F.max("_x").alias("_most")))
+    # at most 6 n / accuracy distinct values a group and probability, and two rows for the rest
+    w = Window.partitionBy(*by, "_pi").orderBy("_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_end", F.sum("_c").over(w)).withColumn("_start", F.col("_end") - F.col("_c"))
+
+    def _at(r):  # the row that holds 0-based rank r; of the rows below only the last is known, of those above the first
+        known = (F.when(F.col("_side") == -1, F.col(r) == F.col("_end") - 1).when(F.col("_side") == 1, F.col(r) == F.col("_start"))
+                 .otherwise((F.col(r) >= F.col("_start")) & (F.col(r) < F.col("_end"))))
+        return F.max(F.when(known, F.when(F.col("_side") == -1, F.col("_most")).otherwise(F.col("_least"))))
+    g = ranked.groupBy(*by, "_pi", "_h", "_r0", "_r1").agg(_at("_r0").alias("_v0"), _at("_r1").alias("_v1"))
+    v0, v1 = F.col("_v0"), F.col("_v1")
+    q = (F.when(v0.isNull() | v1.isNull(), F.raise_error(F.lit("quantiles: a rank lies outside its bracket")).cast("double"))
+         .when(F.col("_h") == F.col("_r0"), v0).otherwise(v0 + (v1 - v0) * (F.col("_h") - F.col("_r0"))))
     picked = g.select(*by, "_pi", q.alias("_q"))
     return (picked.groupBy(*by)
             .agg(*[F.max(F.when(F.col("_pi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]))

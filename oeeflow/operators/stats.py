@@ -98,48 +98,19 @@ def skewness(df: DataFrame, col: str = "inefficiency", by: list[str] | None = No
     return g.select(*(by or []), adj.alias("skewness"), F.col("_n").alias("n"))
 
 
-def _pair_stats_fn(cols: list[str]):
-    """Per Arrow batch: pairwise-complete sums for every column pair from masked Gram
-    matrices (one BLAS product each), emitted as one row per pair."""
-    import numpy as np
-    import pandas as pd
-
-    k = len(cols)
-    iu, ju = np.triu_indices(k, 1)
-
-    def fn(batches):
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
-            m = ~np.isnan(x)
-            xz = np.where(m, x, 0.0)
-            mf = m.astype("float64")
-            n = mf.T @ mf
-            sx = xz.T @ mf            # sx[a, b] = Σ x_a over rows where a and b are present
-            sxx = (xz * xz).T @ mf
-            sxy = xz.T @ xz
-            yield pd.DataFrame({"_i": iu.astype("int32"), "_j": ju.astype("int32"), "n": n[iu, ju],
-                                "sx": sx[iu, ju], "sy": sx[ju, iu], "sxx": sxx[iu, ju], "syy": sxx[ju, iu],
-                                "sxy": sxy[iu, ju]})
-    return fn
-
-
 def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7) -> DataFrame:
     """Pairs (upper triangle) with |Pearson r| > ``threshold``, each pair on its
-    pairwise complete rows. Sufficient statistics are summed per pair across batches."""
-    if len(cols) < 2:
+    pairwise complete rows: one built-in ``corr`` per pair (centred, merged across tasks) in a
+    single pass. A column without variance correlates with nothing."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    if not pairs:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
     d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    st = d.mapInPandas(_pair_stats_fn(cols), "_i int, _j int, n double, sx double, sy double, sxx double, "
-                                             "syy double, sxy double")
-    g = st.groupBy("_i", "_j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
-    cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
-    vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
-    vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
-    r = F.when((F.col("n") > 1) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
-    names = F.array(*[F.lit(c) for c in cols])
-    out = g.select(F.element_at(names, F.col("_i") + 1).alias("col_a"), F.element_at(names, F.col("_j") + 1).alias("col_b"),
-                   r.alias("corr"))
-    return out.filter(F.abs(F.col("corr")) > threshold)
+    one = d.agg(*[F.corr(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
+    rows = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{k}").alias("corr"))
+                     for k, (a, b) in enumerate(pairs)])
+    out = one.select(F.explode(rows).alias("p")).select("p.*")
+    return out.filter(F.col("corr").isNotNull() & ~F.isnan("corr") & (F.abs(F.col("corr")) > threshold))
 
 
 def class_distribution(df: DataFrame, label: str = "label", warn_below_pct: float = 10.0) -> DataFrame:

@@ -1,13 +1,16 @@
 """Ordered windows that never put a whole group into one task.
 
+Rows are cut into chunks by ranges of their full order key (group columns first). The boundaries
+are keys of a bounded sample, so chunks are balanced by count however rows cluster in time or in
+one group; they are constants of the plan, so a recomputed task makes the same cut.
+
 ``chunked_window`` evaluates look-back window expressions (``lag``, ``rowsBetween(-k, 0)``)
-per (group, time chunk) and repairs the first ``lookback`` rows of each chunk with a halo of
-the rows just before it. Groups with at most ``rows_per_chunk`` rows form one chunk and take
-the plain path. The result equals the unchunked window exactly.
+per (group, chunk) and repairs the first ``lookback`` rows of each chunk with a halo of the rows
+just before it. The result equals the unchunked window exactly.
 
 ``global_position`` gives every row its 0-based position in a total order over the whole
-table, without a single-partition sort: time buckets are counted, offsets summed over the
-(small) bucket table, and rows numbered inside their bucket.
+table, without a single-partition sort: chunks are counted, offsets summed over the (small)
+chunk table, and rows numbered inside their chunk.
 """
 
 from __future__ import annotations
@@ -18,27 +21,36 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_ROWS_PER_CHUNK = 4_000_000
+from oeeflow.session import materialize
 
+DEFAULT_ROWS_PER_CHUNK = 1_000_000
+MIN_CHUNKS = 8             # the same path at every size: small tables are cut, too
+SAMPLE_PER_CHUNK = 40      # sampled keys for each boundary
 
-def order_key_seconds(df: DataFrame, col: str) -> Column:
-    """Monotone numeric key of an order column; timestamps map to seconds, time-zone free."""
-    dt = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dt, (T.TimestampNTZType, T.TimestampType)):
-        return (F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
-                + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c).cast("bigint"))
-    if isinstance(dt, T.DateType):
-        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("bigint")
-    return c.cast("double")
+#: An order column: its name, or (name, ascending, nulls last).
+Order = str | tuple[str, bool, bool]
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column | None:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
+def _spec(o: Order) -> tuple[str, bool, bool]:
+    return (o, True, False) if isinstance(o, str) else o
+
+
+def _sort(o: Order) -> Column:
+    name, asc, last = _spec(o)
+    if asc:
+        return F.asc_nulls_last(name) if last else F.asc_nulls_first(name)
+    return F.desc_nulls_last(name) if last else F.desc_nulls_first(name)
+
+
+def _not_after(bound: Column, specs: list[tuple[str, bool, bool]]) -> Column:
+    """The boundary sorts at or before the row."""
+    out = F.lit(True)
+    for i, (name, asc, last) in reversed(list(enumerate(specs))):
+        b, k = bound[f"k{i}"], F.col(name)
+        null_first = (b.isNotNull() & k.isNull()) if last else (b.isNull() & k.isNotNull())
+        before = null_first | F.coalesce(b < k if asc else b > k, F.lit(False))
+        out = before | (b.eqNullSafe(k) & out)
+    return out
 
 
 def _join_on(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
@@ -54,26 +66,45 @@ def _join_on(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inn
     return left.join(r, cond, how).drop(*[f"__r_{c}" for c in cols])
 
 
-def assign_chunks(df: DataFrame, partition_by: list[str], order_first: str,
-                  rows_per_chunk: int) -> DataFrame:
-    """Add ``_nchunks`` and ``_chunk``: equal-time slices so that a group gets
-    about ``count / rows_per_chunk`` slices; chunk numbers rise with the order column."""
-    t = order_key_seconds(df, order_first)
-    d = df.withColumn("_t", t)
-    # bounds over finite keys only: ±inf / NaN keys (a NULLS-LAST sort key) go to the ends
-    finite = F.when(F.col("_t").isNotNull() & ~F.isnan(F.col("_t").cast("double"))
-                    & (F.abs(F.col("_t").cast("double")) < F.lit(float("inf"))), F.col("_t"))
-    stats = d.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"), F.min(finite).alias("_lo"),
-                                         F.max(finite).alias("_hi"))
-    stats = stats.withColumn("_nchunks", F.ceil(F.col("_n") / F.lit(float(rows_per_chunk))).cast("bigint"))
-    j = _join_on(d, stats.drop("_n"), partition_by, "inner")
-    span = F.col("_hi") - F.col("_lo") + F.lit(1)
-    chunk = (F.when((F.col("_nchunks") <= 1) | F.col("_t").isNull() | F.col("_lo").isNull(), F.lit(0).cast("bigint"))
-             .when(F.col("_t") >= F.col("_hi"), F.col("_nchunks") - 1)
-             .when(F.col("_t") <= F.col("_lo"), F.lit(0).cast("bigint"))
-             .otherwise(F.least(F.floor((F.col("_t") - F.col("_lo")) * F.col("_nchunks") / span).cast("bigint"),
-                                F.col("_nchunks") - 1)))
-    return j.withColumn("_chunk", chunk).drop("_t", "_lo", "_hi")
+def assign_chunks(df: DataFrame, partition_by: list[str], order_by: list[Order], rows_per_chunk: int) -> DataFrame:
+    """Add ``_chunk`` (rises along ``partition_by`` and then ``order_by``), ``_first`` (the group
+    certainly begins in this chunk) and ``_multi`` (the group may reach into another chunk).
+
+    Two narrow passes over the order columns choose the boundaries: a count, and a sample of
+    ``SAMPLE_PER_CHUNK`` keys for each; no row is shuffled here.
+    """
+    spark = df.sparkSession
+    specs = [(g, True, False) for g in partition_by] + [_spec(o) for o in order_by]
+    keys = df.select(*[F.col(name).alias(f"k{i}") for i, (name, _, _) in enumerate(specs)])
+    n = keys.count()
+    chunks = max(MIN_CHUNKS, -(-n // rows_per_chunk))
+    fraction = min(1.0, chunks * SAMPLE_PER_CHUNK / max(n, 1))
+    sample = keys if fraction >= 1.0 else keys.sample(fraction, seed=17)
+    order = [_sort((f"k{i}", asc, last)) for i, (_, asc, last) in enumerate(specs)]
+    found = sample.orderBy(*order).collect()  # bounded by the number of chunks
+    picked = [found[len(found) * c // chunks] for c in range(1, chunks)] if found else []
+    bounds = [r for k, r in enumerate(picked) if k == 0 or r != picked[k - 1]]
+    # boundaries in groups of about the square root of their number: two short searches a row
+    size = max(1, int(len(bounds) ** 0.5))
+    grouped = [bounds[i:i + size] for i in range(0, len(bounds), size)]
+    table = spark.createDataFrame([(grouped,)], T.StructType([T.StructField("_bounds", T.ArrayType(T.ArrayType(keys.schema)))]))
+    j = df.crossJoin(F.broadcast(table))  # one row
+    outer = F.size(F.filter("_bounds", lambda g: _not_after(F.get(g, F.lit(0)), specs)))
+    j = j.withColumn("_outer", outer)
+    inner = F.size(F.filter(F.coalesce(F.get("_bounds", F.col("_outer") - 1), F.array().cast(table.schema[0].dataType.elementType)),
+                            lambda b: _not_after(b, specs)))
+    j = j.withColumn("_chunk", F.when(F.col("_outer") > 0, (F.col("_outer") - 1) * size + inner).otherwise(0).cast("bigint"))
+
+    def same_group(at: Column) -> Column:
+        at = at.cast("int")
+        bound = F.get(F.get("_bounds", F.floor(at / size).cast("int")), at % size)
+        same = F.lit(True)
+        for i, g in enumerate(partition_by):
+            same = same & bound[f"k{i}"].eqNullSafe(F.col(g))
+        return bound.isNotNull() & same
+    first = (F.col("_chunk") == 0) | ~same_group(F.greatest(F.col("_chunk") - 1, F.lit(0)))
+    return (j.withColumn("_first", first).withColumn("_multi", ~F.col("_first") | same_group(F.col("_chunk")))
+            .drop("_bounds", "_outer"))
 
 
 def chunked_window(df: DataFrame, partition_by: list[str], order_by: list[str],
@@ -92,20 +123,21 @@ def chunked_window(df: DataFrame, partition_by: list[str], order_by: list[str],
 
     base_cols = df.columns
     K = int(lookback)
-    c = assign_chunks(df, partition_by, order_by[0], rows_per_chunk)
-    part = [*partition_by, "_nchunks", "_chunk"]
+    # written once: the window, its heads, tails and chunk counts all read it
+    c = materialize(assign_chunks(df, partition_by, list(order_by), rows_per_chunk), "window-chunks")
+    part = [*partition_by, "_first", "_multi", "_chunk"]
     wa = Window.partitionBy(*part).orderBy(*order_cols)
     wall = wa.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     a = c.withColumns({**{n: f(wa) for n, f in columns.items()},
                        "_rn": F.row_number().over(wa), "_cnt": F.count(F.lit(1)).over(wall)})
 
     # rows whose look-back stays inside their chunk are final
-    body = a.filter((F.col("_rn") > K) | (F.col("_chunk") == 0)).select(*base_cols, *columns.keys())
+    body = a.filter((F.col("_rn") > K) | F.col("_first")).select(*base_cols, *columns.keys())
 
     # the rest only exists in groups cut into several chunks (filters on partition columns
-    # are pushed below the window, so un-chunked groups cost a scan here, nothing more)
-    hot = a.filter(F.col("_nchunks") > 1)
-    heads = (hot.filter((F.col("_chunk") > 0) & (F.col("_rn") <= K))
+    # are pushed below the window); only rows near a cut are kept
+    hot = (c.filter("_multi").withColumns({"_rn": F.row_number().over(wa), "_cnt": F.count(F.lit(1)).over(wall)}))
+    heads = (hot.filter(~F.col("_first") & (F.col("_rn") <= K))
              .select(*base_cols, F.col("_chunk").alias("_target"),
                      F.lit(False).alias("_halo")))
     ct = hot.filter(F.col("_rn") == 1).select(*partition_by, "_chunk", "_cnt")
@@ -130,34 +162,31 @@ def chunked_window(df: DataFrame, partition_by: list[str], order_by: list[str],
     return body.unionByName(fixed)
 
 
-def global_position(df: DataFrame, order_by: list[str], name: str = "_pos",
+def global_position(df: DataFrame, order_by: list[Order], name: str = "_pos",
                     partition_by: list[str] | None = None,
                     rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Add a 0-based position in the total order ``order_by`` (per ``partition_by`` group,
     or over the whole table) without a single-partition sort.
 
-    Rows are cut into chunks by the first order column, chunk sizes are counted, their
+    Rows are cut into chunks of the whole order key, chunk sizes are counted, their
     offsets summed over the small chunk table, and rows numbered inside their chunk.
     """
     part = list(partition_by or [])
-    base = df if part else df.withColumn("_all", F.lit(0))
-    gp = part or ["_all"]
-    c = assign_chunks(base, gp, order_by[0], rows_per_chunk)
-    counts = c.groupBy(*gp, "_chunk").agg(F.count(F.lit(1)).alias("_bn"))
-    wb = Window.partitionBy(*gp).orderBy("_chunk")  # one row per chunk: n / rows_per_chunk rows
+    c = assign_chunks(df, part, list(order_by), rows_per_chunk).drop("_first", "_multi")
+    counts = c.groupBy(*part, "_chunk").agg(F.count(F.lit(1)).alias("_bn"))
+    wb = Window.partitionBy(*part).orderBy("_chunk")  # one row per chunk: n / rows_per_chunk rows
     counts = counts.withColumn("_off", F.coalesce(
         F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    j = _join_on(c, counts.drop("_bn"), [*gp, "_chunk"])
-    w = Window.partitionBy(*gp, "_chunk").orderBy(*[F.col(x) for x in order_by])
-    return (j.withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
-            .drop("_chunk", "_off", "_nchunks", "_all"))
+    j = _join_on(c, counts.drop("_bn"), [*part, "_chunk"])
+    w = Window.partitionBy(*part, "_chunk").orderBy(*[_sort(o) for o in order_by])
+    return j.withColumn(name, F.col("_off") + F.row_number().over(w) - 1).drop("_chunk", "_off")
 
 
 def cumulative_sums(df: DataFrame, order_col: str, cols: list[str], prefix: str = "cum_",
                     rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Inclusive running sums of ``cols`` along a numeric ``order_col`` with unique values,
     computed per chunk plus the chunk offsets (no single-partition window)."""
-    c = assign_chunks(df.withColumn("_all", F.lit(0)), ["_all"], order_col, rows_per_chunk)
+    c = assign_chunks(df, [], [order_col], rows_per_chunk).drop("_first", "_multi")
     tot = c.groupBy("_chunk").agg(*[F.sum(x).alias(f"_t_{x}") for x in cols])
     wb = Window.orderBy("_chunk")  # one row per chunk
     tot = tot.select("_chunk", *[F.coalesce(F.sum(f"_t_{x}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
@@ -165,4 +194,4 @@ def cumulative_sums(df: DataFrame, order_col: str, cols: list[str], prefix: str
     j = c.join(tot, "_chunk", "inner")
     w = Window.partitionBy("_chunk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     out = j.withColumns({f"{prefix}{x}": F.col(f"_o_{x}") + F.sum(x).over(w) for x in cols})
-    return out.drop("_chunk", "_nchunks", "_all", *[f"_o_{x}" for x in cols])
+    return out.drop("_chunk", *[f"_o_{x}" for x in cols])

@@ -19,21 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def _tuned(fn):
-    """Apply the runtime SQL settings the plans rely on to whatever session is passed in."""
-    import functools
-
-    @functools.wraps(fn)
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        from oeeflow.session import tune_runtime
-        tune_runtime(spark)
-        return fn(spark, sf)
-    return run
-
-
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = _tuned(fn)
+        QUERIES[name] = fn
         if sql is not None:
             SQL[name] = sql
         return fn
@@ -490,7 +478,7 @@ WHERE oee IS NOT NULL AND oee >= 0.7 AND article IS NOT NULL AND contains(lower(
 def q_table_filter(spark, sf):
     o = oee_rows(spark, sf)
     f = interact.table_filter(o, {"oee": ">=0.7", "article": "Brand#1", "quality": "!=1"},
-                              numeric_cols=["oee", "quality"])
+                              numeric_cols=["oee", "quality"], negate=True)
     return f.select(*_key_cols(), "oee")
 
 
@@ -1219,12 +1207,12 @@ def q_grid_search(spark, sf):
 
 @register("anomaly_scores")
 def q_anomaly_scores(spark, sf):
-    s = materialize(feat_rows(spark, sf))
+    s = feat_rows(spark, sf)
     lab = materialize(labels.label_train_quantiles(s))
     tr = lab.filter("is_train")
     b = ml.fit(tr, score.spec_for(tr, "label", score.LEAKAGE), "boosted", "multiclass", weighted=True,
                params={"maxIter": 10, "maxDepth": 3})
-    out = score.anomaly_scores(b, lab.filter("NOT is_train"))
+    out = score.anomaly_scores(b, lab)
     return out.select(*_key_cols(), "label", "pred3", "pred", F.round("prob_anomaly", 6).alias("prob_anomaly"))
 
 
@@ -1235,14 +1223,17 @@ def q_oee_forecast_model(spark, sf):
     return score.oee_forecast_with_model(o, b, TODAY)
 
 
-@register("save_load_model")
+@register("save_load_model", with_wo("""
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_differ FROM oee_rows WHERE oee IS NOT NULL""", OEE_CTE))
 def q_save_load_model(spark, sf):
+    """A4: predictions of a fitted model and of the same model saved and loaded, row by row."""
     o = _oee_train_rows(spark, sf)
     b = ml.fit(o, score.oee_spec(o), "tree", "regression", params={"maxDepth": 5})
     path = shared_dir(spark, f"model-{_uuid.uuid4().hex}")
     ml.save_model(b, path, history=features.cycle_stats_by_article_phase(o))
-    loaded = ml.load_model(spark, path)
-    return ml.predict(loaded, o).select(*_key_cols(), F.round("prediction", 9).alias("prediction"))
+    p = ml.predict(b, o).withColumnRenamed("prediction", "before")
+    both = ml.predict(ml.load_model(spark, path), p.drop(*[c for c in p.columns if c not in [*o.columns, "before"]]))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("before").eqNullSafe(F.col("prediction"))).alias("n_differ"))
 
 
 # ---------------------------------------------------------------- small projections and sinks
@@ -1306,13 +1297,6 @@ def q_write_marts(spark, sf):
     return back
 
 
-@register("numeric_columns")
-def q_numeric_columns(spark, sf):
-    """Numeric columns of the feature table, from the schema."""
-    cols = clean.numeric_columns(features.features_inefficiency(work_orders(spark, sf)))
-    return spark.createDataFrame([(c,) for c in cols], "column string")
-
-
 @register("oee_forecast_features", with_wo("""
 WITH src AS (
   SELECT o.*, CASE WHEN o.article IN (SELECT article FROM top20) THEN o.article ELSE 'ALTRO' END AS article_group,
@@ -1480,7 +1464,17 @@ def q_compare_classifiers(spark, sf):
     return metrics.compare_models(u, [F.desc("f1_macro"), F.desc("recall_anomaly")])
 
 
-@register("histogram_density")
+@register("histogram_density", with_wo("""
+SELECT CAST(g AS INTEGER) AS point, round(lo + (hi - lo) * g / 199, 9) AS x,
+       round(sum(k * exp(-0.5 * ((lo + (hi - lo) * g / 199 - c) / bw) ^ 2) / (bw * sqrt(2 * 3.141592653589793))) / min(nn), 9) AS density
+FROM (SELECT stddev_samp(inefficiency) * pow(CAST(count(inefficiency) AS DOUBLE), -0.2) AS bw, count(inefficiency) AS nn,
+             min(inefficiency) AS lo, max(inefficiency) AS hi FROM work_orders) m,
+     (SELECT ((lo2 + (bin - 1) * (hi2 - lo2) / 50) + (lo2 + bin * (hi2 - lo2) / 50)) / 2 AS c, count(*) AS k FROM (
+        SELECT CASE WHEN hi2 = lo2 THEN 1 ELSE least(CAST(floor((inefficiency - lo2) * 50 / (hi2 - lo2)) AS INTEGER) + 1, 50) END AS bin, lo2, hi2
+        FROM work_orders, (SELECT min(inefficiency) AS lo2, max(inefficiency) AS hi2 FROM work_orders) m2
+        WHERE inefficiency IS NOT NULL) t GROUP BY bin, lo2, hi2) b,
+     range(200) r(g)
+GROUP BY g, lo, hi"""))
 def q_histogram_density(spark, sf):
     """D8 (curve): Gaussian density of the index on 200 points from the 50 bin counts."""
     d = stats.histogram_density(work_orders(spark, sf), "inefficiency", bins=50, grid=200)

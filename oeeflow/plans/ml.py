@@ -314,14 +314,6 @@ def load_model(spark: SparkSession, path: str) -> ModelBundle:
     return ModelBundle(model, FeatureSpec(**meta["spec"]), meta["algo"], meta["task"], meta["medians"], meta["params"])
 
 
-def load_history(spark: SparkSession, path: str) -> DataFrame | None:
-    p = os.path.join(path, "history")
-    try:
-        return spark.read.parquet(p)
-    except Exception:  # noqa: BLE001 - absent history: scored data is the fallback
-        return None
-
-
 def attach_predictions(df: DataFrame, preds: DataFrame, key: list[str]) -> DataFrame:
     """Left join of predictions on the row key; rows without a score get NULL."""
     return _join_on(df, preds, key, "left")

@@ -166,10 +166,10 @@ def score_all(wo: DataFrame, models: Models, rows_per_chunk: int | None = DEFAUL
         "oee_pred": (models.oee, o_new, "clip01", "double"),
     }
     for name, (bundle, rows, how, typ) in parts.items():
-        try:
+        try:  # a missing model blanks its column; a failing one is an error that names it
             p = _pred(bundle, rows, name, how)
-        except Exception:  # noqa: BLE001 - one failing scorer only blanks its own column
-            p = None
+        except Exception as e:
+            raise RuntimeError(f"score_all: the model of {name} failed") from e
         out = _join_on(out, p, ROW_KEY, "left") if p is not None else out.withColumn(name, F.lit(None).cast(typ))
     return out.select("wo", "phase", "article", F.date_format("end_ts", "yyyy-MM-dd HH:mm:ss").alias("end_ts"), "machine",
                       "theoretical_hours", "hours_pred", "work_hours",

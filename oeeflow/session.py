@@ -39,21 +39,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def tune_runtime(spark: SparkSession) -> None:
-    """Runtime SQL settings for sessions built elsewhere: keep generated methods small
-    enough for the JIT, keep AQE on."""
-    try:
-        if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
-            spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    except Exception:  # noqa: BLE001 - a locked-down session keeps its own settings
-        pass
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
+    """The cluster's ``spark.checkpoint.dir``. Where it is unset, a local master (tests) gets a
+    scratch folder; a cluster must name a folder that all executors share."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="oeeflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

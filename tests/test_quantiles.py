@@ -27,3 +27,23 @@ def test_grouped_with_ties_and_single_rows(spark):
 def test_approx_switch(spark, wo):
     r = quantiles(wo, "inefficiency", [0.5], names=["m"], approx=True).first()
     assert r.m is not None
+
+
+def test_tied_column_stays_one_row_a_value(spark):
+    import numpy as np
+    x = [0.0] * 9900 + [float(i) for i in range(100)]
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    q = quantiles(df, "x", [0.25, 0.5, 0.99, 0.995], names=["a", "b", "c", "d"])
+    assert [round(v, 9) for v in q.first()] == [round(float(np.quantile(x, p)), 9) for p in (0.25, 0.5, 0.99, 0.995)]
+    assert "collect_list" not in q._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_groups_of_every_size(spark):
+    import numpy as np
+    rows = [(n, float((i * 37) % 11)) for n in range(1, 30) for i in range(n)]
+    probs = [0.0, 0.1, 0.25, 0.5, 0.6, 0.85, 0.9, 1.0]
+    names = [f"p{k}" for k in range(len(probs))]
+    for r in quantiles(spark.createDataFrame(rows, "g long, x double"), "x", probs, by=["g"], names=names).collect():
+        x = [v for g, v in rows if g == r.g]
+        for p, name in zip(probs, names):
+            assert abs(r[name] - np.quantile(x, p)) < 1e-9, (r.g, p)

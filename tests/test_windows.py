@@ -63,12 +63,38 @@ def test_positions_with_infinite_keys(spark):
     assert p[0].k == float("-inf") and p[-1].k == float("inf")
 
 
-def test_window_shuffles_on_machine_and_chunk(spark, wo):
+def test_no_row_shuffle_on_machine_alone(spark, wo):
     import re
     out = add_rolling_and_lags(wo, "inefficiency", rows_per_chunk=100)
     out.write.format("noop").mode("overwrite").save()
     plan = out._jdf.queryExecution().executedPlan().toString()
     keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
-    # the rows are shuffled for the window on (machine, _nchunks, _chunk), never on machine alone
-    row_shuffles = [k for k in keys if "_chunk" in k]
-    assert any(k.startswith("machine#") and "_nchunks#" in k for k in row_shuffles)
+    # rows are shuffled on (machine, ..., _chunk); only the chunk counts go by machine alone
+    assert [k for k in keys if "_chunk" in k]
+    assert "CartesianProduct" not in plan
+
+
+def test_positions_need_no_cartesian_product(spark, wo):
+    p = global_position(wo, ["end_ts", *KEY], rows_per_chunk=500)
+    assert "CartesianProduct" not in p._jdf.queryExecution().executedPlan().toString()
+    p.write.format("noop").mode("overwrite").save()
+    assert "CartesianProduct" not in p._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chunks_are_balanced_in_a_burst(spark):
+    from oeeflow.operators.windows import assign_chunks
+    rows = [("m", i if i < 10 else 5, i) for i in range(1000)]  # 991 rows at one time
+    c = assign_chunks(spark.createDataFrame(rows, "g string, t long, k long"), ["g"], ["t", "k"], 50)
+    assert max(r["count"] for r in c.groupBy("_chunk").count().collect()) <= 100
+
+
+def test_positions_of_text_and_time_keys_both_ways(spark):
+    import datetime
+    rows = [(i, None if i % 7 == 0 else f"a{i % 13}", datetime.datetime(2024, 1, 1 + i % 20)) for i in range(300)]
+    df = spark.createDataFrame(rows, "i long, a string, t timestamp")
+    for col in ("a", "t"):
+        for asc in (True, False):
+            p = global_position(df, [(col, asc, True), "i"], rows_per_chunk=20)
+            first = F.asc_nulls_last(col) if asc else F.desc_nulls_last(col)
+            ref = df.withColumn("_pos", F.row_number().over(Window.orderBy(first, "i")) - 1)
+            assert ref.select("i", "_pos").exceptAll(p.select("i", "_pos")).count() == 0
