@@ -79,4 +79,5 @@ def op10_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_mix_to_weights, op2_personal_data, op3_best_fit_packing, op4_quality_rules, op5_imatch_fingerprints, op6_warc,
     op7_ngram_jaccard, op8_toxicity, op9_licenses, op10_trie_scores)}
-SQL: dict[str, str] = {"op1_mix_to_weights": sql.mixing(), "op4_quality_rules": sql.quality(), "op9_licenses": sql.licenses()}
+SQL: dict[str, str] = {"op1_mix_to_weights": sql.mixing(), "op4_quality_rules": sql.quality(), "op7_ngram_jaccard": sql.near_duplicates(),
+                       "op9_licenses": sql.licenses()}

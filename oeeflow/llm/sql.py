@@ -95,3 +95,17 @@ def licenses(threshold: float = 0.8) -> str:
     SELECT doc_id, CAST(len(string_split(t, chr(10))) AS BIGINT) AS n_lines, CAST(coalesce(top.n, 0) AS BIGINT) AS n_matches,
            tpl.name AS license, top.m[1] AS dice, CAST(-top.m[3] AS BIGINT) AS line
     FROM base LEFT JOIN top USING (rid) LEFT JOIN tpl ON tpl.k = -top.m[2]"""
+
+
+def near_duplicates(shingle: int = 4, percent: int = 85) -> str:
+    k = shingle - 1
+    return f"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), '{UPPER}', '{LOWER}'), '{_W}') AS ws FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {shingle} THEN [list_aggregate(ws, 'string_agg', ' ')]
+            ELSE list_transform(range(1, len(ws) - {k - 1}), lambda i: list_aggregate(ws[i:i + {k}], 'string_agg', ' ')) END) AS g FROM w),
+    n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+    l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * o >= {percent} * (nx.c + ny.c - o)),
+    r(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.x, r.root FROM r JOIN l ON l.y = r.doc_id)
+    SELECT d.doc_id, CAST(coalesce(n.c, 0) AS BIGINT) AS n_shingles, m.component_id
+    FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)"""
