@@ -1,9 +1,9 @@
 """Batch scoring (J26-J28, A7, D29): six models over one feature pass.
 
 The index and hours look-back features share one chunked window (one shuffle, one sort);
-every scorer joins its predictions back on the row key, so a row dropped for lack of lags
-gets NULL in that column only. A model that is missing or cannot be loaded yields a typed
-NULL column at plan time (J27); the other five columns are unaffected.
+the six models then transform the same frame one after another, without a join. A row without
+the lags that a model needs gets NULL in that column only; a missing model yields a typed NULL
+column at plan time (J27) and the other five columns are unaffected.
 """
 
 from __future__ import annotations
@@ -22,11 +22,11 @@ from oeeflow.operators.labels import label_p85_binary, label_train_quantiles
 from oeeflow.operators.marts_oee import OEE_FEATURES, oee_forecast, oee_forecast_features
 from oeeflow.operators.metrics import tune_threshold
 from oeeflow.operators.oee import compute_oee
-from oeeflow.operators.windows import DEFAULT_ROWS_PER_CHUNK, _join_on, chunked_window
+from oeeflow.operators.windows import DEFAULT_ROWS_PER_CHUNK, chunked_window
 from oeeflow.plans.ml import FeatureSpec, ModelBundle, fit, predict
 from oeeflow.session import materialize
 from oeeflow.schema import (BINARY_LABELS, CATEGORICAL_COLS, DEFAULT_PROBA_CUT, ORDER_COLS, PARTITION_COLS,
-                            ROW_KEY, STATE_LABELS)
+                            STATE_LABELS)
 
 # fixed values: columns never used as model inputs (identifiers, targets, leakage)
 LEAKAGE = ["inefficiency", "work_hours", "theoretical_hours", "wo", "article", "article_desc", "dad_id",
@@ -128,53 +128,68 @@ def train_all(wo: DataFrame, top_n: int = 20, small: bool = True,
     return m
 
 
-def _pred(bundle: ModelBundle | None, rows: DataFrame, name: str, how: str) -> DataFrame | None:
-    if bundle is None:
-        return None
-    p = predict(bundle, rows)
+def _score_column(bundle: ModelBundle, how: str) -> F.Column:
+    """The reported value of one model, over the columns that ``predict`` adds."""
     if how == "value":
-        col = F.col("prediction")
-    elif how == "clip01":
-        col = F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0))
-    elif how == "binary_cut":
+        return F.col("prediction")
+    if how == "clip01":
+        return F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0))
+    if how == "binary_cut":
         cut = bundle.params.get("proba_cut") or DEFAULT_PROBA_CUT
-        col = F.when(F.col("prob_1") >= cut, BINARY_LABELS[1]).otherwise(BINARY_LABELS[0])
-    else:  # three classes
-        col = (F.when(F.col("prediction") == 2, STATE_LABELS[2]).when(F.col("prediction") == 1, STATE_LABELS[1])
-               .otherwise(STATE_LABELS[0]))
-    return p.select(*ROW_KEY, col.alias(name))
+        return F.when(F.col("prob_1") >= cut, BINARY_LABELS[1]).otherwise(BINARY_LABELS[0])
+    return (F.when(F.col("prediction") == 2, STATE_LABELS[2]).when(F.col("prediction") == 1, STATE_LABELS[1])
+            .otherwise(STATE_LABELS[0]))
 
 
 def score_all(wo: DataFrame, models: Models, rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
-    """J26 + J27 + A7: the result table of the six scorers (FIXTURES §6 contract)."""
+    """J26 + J27 + A7: the result table of the six scorers (FIXTURES §6 contract).
+
+    All models transform one frame, one after another, without a join: the frame's columns travel
+    in a struct, each model sees them under the names it was trained on, and a row without the
+    model's look-backs gets NULL. A missing model blanks its column; a failing one is an error
+    that names it.
+    """
     first = next((b for b in (models.inefficiency, models.anomaly, models.oee) if b is not None), None)
     top = first.params.get("top_articles", []) if first else []
     base = materialize(prepare_articles(wo, top))
-    f = materialize(shared_features(base, rows_per_chunk))
-    iv, hv = index_view(f), hours_view(f)
-    o = materialize(add_oee_features(compute_oee(base), rows_per_chunk=rows_per_chunk))
     # at scoring time the OEE look-backs are unknown: the model's medians fill them
-    o_new = o.withColumns({c: F.lit(None).cast("double") for c in ["rolling_oee_3", "lag_1_oee", "lag_2_oee", "lag_3_oee"]})
-    out = compute_oee(base).select(*ROW_KEY, "article", "machine", "theoretical_hours", "work_hours", "inefficiency",
-                                   F.col("oee").alias("oee_real"))
+    frame = add_oee_features(compute_oee(shared_features(base, rows_per_chunk)), with_lags=False).withColumns(
+        {c: F.lit(None).cast("double") for c in ["rolling_oee_3", "lag_1_oee", "lag_2_oee", "lag_3_oee"]})
+    cols = frame.columns
+    hours = [f"rolling_mean_{WINDOW}", f"rolling_std_{WINDOW}", *[f"lag_{k}" for k in LAGS]]
+    hours_names = {**{f"h_{n}": n for n in hours}, **{n: None for n in hours}}
+    index_names = {f"h_{n}": None for n in hours}
     parts = {
-        "hours_pred": (models.hours, hv, "value", "double"),
-        "inefficiency_pred": (models.inefficiency, iv, "value", "double"),
-        "class_anomaly": (models.anomaly, iv, "binary_cut", "string"),
-        "class_anomaly3": (models.anomaly3, iv, "three", "string"),
-        "class_custom_cut": (models.custom_cut, iv, "binary_cut", "string"),
-        "oee_pred": (models.oee, o_new, "clip01", "double"),
+        "hours_pred": (models.hours, hours_names, "h_", "value", "double"),
+        "inefficiency_pred": (models.inefficiency, index_names, "", "value", "double"),
+        "class_anomaly": (models.anomaly, index_names, "", "binary_cut", "string"),
+        "class_anomaly3": (models.anomaly3, index_names, "", "three", "string"),
+        "class_custom_cut": (models.custom_cut, index_names, "", "binary_cut", "string"),
+        "oee_pred": (models.oee, index_names, None, "clip01", "double"),
     }
-    for name, (bundle, rows, how, typ) in parts.items():
-        try:  # a missing model blanks its column; a failing one is an error that names it
-            p = _pred(bundle, rows, name, how)
-        except Exception as e:
-            raise RuntimeError(f"score_all: the model of {name} failed") from e
-        out = _join_on(out, p, ROW_KEY, "left") if p is not None else out.withColumn(name, F.lit(None).cast(typ))
+    out, scores = frame.select(F.struct(*cols).alias("_row")), []
+    for name, (bundle, names, lags, how, kind) in parts.items():
+        if bundle is None:
+            out = out.withColumn(name, F.lit(None).cast(kind))
+        else:
+            view = out.select("_row", *scores, *[F.col(f"_row.{c}").alias(names.get(c, c)) for c in cols if names.get(c, c)])
+            try:
+                p = predict(bundle, view)
+            except Exception as e:
+                raise RuntimeError(f"score_all: the model of {name} failed") from e
+            value = _score_column(bundle, how)
+            if lags is not None:
+                present = F.lit(True)
+                for k in LAGS:
+                    present = present & F.col(f"_row.{lags}lag_{k}").isNotNull()
+                value = F.when(present, value)
+            out = p.select("_row", *scores, value.alias(name))
+        scores.append(name)
+    out = out.select("_row.*", *scores)
     return out.select("wo", "phase", "article", F.date_format("end_ts", "yyyy-MM-dd HH:mm:ss").alias("end_ts"), "machine",
                       "theoretical_hours", "hours_pred", "work_hours",
                       "inefficiency", "inefficiency_pred", "class_anomaly", "class_anomaly3", "class_custom_cut",
-                      "oee_real", "oee_pred")
+                      F.col("oee").alias("oee_real"), "oee_pred")
 
 
 def anomaly_scores(bundle: ModelBundle, rows: DataFrame) -> DataFrame:
