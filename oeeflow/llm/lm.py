@@ -63,7 +63,7 @@ def _tokens(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, np.repeat(np.arange(n), np.diff(at) + 1)
 
 
-def _counter(extract, names: tuple[str, ...], schema: str):
+def _counter(extract, names: tuple[str, ...]):
     """mapInArrow function: counts of the uint64 keys that ``extract`` finds, held per task up to
     FLUSH distinct keys at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +182,7 @@ def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2) -> Tri
     # level 1: words
     def all_tokens():
         return lambda words, at: _tokens(words, at)[0]
-    counts = written(texts.mapInArrow(_counter(all_tokens, ("h", "n"), ""), "h long, n long")
+    counts = written(texts.mapInArrow(_counter(all_tokens, ("h", "n")), "h long, n long")
                      .groupBy("h").agg(F.sum("n").alias("n")), "lm-words")
     files = TrieFiles()
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
@@ -228,7 +228,7 @@ def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2) -> Tri
             context[at[:-1] + np.arange(len(at) - 1)] = v
             return (context * np.int64(v) + ids).astype(np.uint64)
         return look
-    kept = written(texts.mapInArrow(_counter(all_pairs, ("k", "n"), ""), "k long, n long").groupBy("k")
+    kept = written(texts.mapInArrow(_counter(all_pairs, ("k", "n")), "k long, n long").groupBy("k")
                    .agg(F.sum("n").alias("n")).filter(F.col("n") >= min_pair)
                    .select(F.expr(f"k div {v}L").alias("c"), F.expr(f"k % {v}L").alias("w"), "n"), "lm-pairs")
     n_pairs = kept.count()

@@ -89,7 +89,7 @@ def test_pieces_and_packing(spark):
 
     from oeeflow.llm.packing import best_fit_pack, pieces
     path = public_tokenizers.path("word_bpe_49k.json")
-    rows = [*texts(), (50, "don't STOP <|endoftext|> İstanbul ß x<|y É É a..b w! 12 ½"), (51, "<|ENDOFTEXT|> \x1c\x85 q")]
+    rows = [*texts(), (2**60 + 1, "a large id"), (50, "don't STOP <|endoftext|> İstanbul ß x<|y É É a..b w! 12 ½"), (51, "<|ENDOFTEXT|> \x1c\x85 q")]
     docs = documents(spark, rows)
     got = best_fit_pack(pieces(docs, path, capacity=256), capacity=256, shard_pieces=40).collect()
     tok = Tokenizer.from_file(path)
