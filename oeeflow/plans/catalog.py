@@ -1153,6 +1153,7 @@ def q_time_error_summary(spark, sf):
 # ---------------------------------------------------------------- models (rows-only checks, except weights)
 
 import datetime as _dt  # noqa: E402
+import json as _json  # noqa: E402
 import os as _os  # noqa: E402
 import uuid as _uuid  # noqa: E402
 
@@ -1179,7 +1180,7 @@ def q_positive_weight(spark, sf):
 @register("score_all")
 def q_score_all(spark, sf):
     wo = materialize(work_orders(spark, sf))
-    models = score.train_all(wo, small=True)
+    models = score.train_all(wo)
     return score.score_all(wo, models)
 
 
@@ -1194,15 +1195,21 @@ def _oee_train_rows(spark, sf):
 def q_cross_validate(spark, sf):
     o = _oee_train_rows(spark, sf)
     return ml.cross_validate(o, score.oee_spec(o), "boosted", "regression", k=5,
-                             params={"maxIter": 10, "maxDepth": 4}, metrics=("rmse", "mae", "r2"))
+                             params=score.SIZES["oee"], metrics=("rmse", "mae", "r2"))
 
 
 @register("grid_search")
 def q_grid_search(spark, sf):
-    o = _oee_train_rows(spark, sf)
-    grid = ml.param_grid(numTrees=[10, 20], maxDepth=[4, 6])
-    best, table = ml.grid_search(o, score.oee_spec(o), "forest", "regression", grid, metric="r2", k=5)
-    return table
+    """J10 + J13: the 24 points on the first 80 % in time, the best one fitted again there and
+    scored on the last 20 %."""
+    o = materialize(folds.temporal_split(_oee_train_rows(spark, sf).drop("_pos", "test_fold", "train_from_fold")))
+    tr, te = folds.time_series_folds(o.filter("is_train").drop("_pos")), o.filter("NOT is_train")
+    best, table, bundle = ml.grid_search(materialize(tr), score.oee_spec(o), "forest", "regression", ml.FOREST_GRID,
+                                         metric="r2", k=5)
+    held = metrics.regression_metrics(ml.predict(bundle, te), "oee", "prediction").select("r2")
+    chosen = F.col("params") == _json.dumps(best, sort_keys=True)
+    return table.crossJoin(F.broadcast(held)).select("params", "score", chosen.alias("chosen"),
+                                                     F.when(chosen, F.col("r2")).alias("holdout_r2"))
 
 
 @register("anomaly_scores")
@@ -1211,7 +1218,8 @@ def q_anomaly_scores(spark, sf):
     lab = materialize(labels.label_train_quantiles(s))
     tr = lab.filter("is_train")
     b = ml.fit(tr, score.spec_for(tr, "label", score.LEAKAGE), "boosted", "multiclass", weighted=True,
-               params={"maxIter": 10, "maxDepth": 3})
+               params={"maxIter": 100, "maxDepth": 6, "stepSize": 0.3, "subsamplingRate": 1.0,
+                       "featureSubsetStrategy": "all"})
     out = score.anomaly_scores(b, lab)
     return out.select(*_key_cols(), "label", "pred3", "pred", F.round("prob_anomaly", 6).alias("prob_anomaly"))
 
@@ -1219,7 +1227,7 @@ def q_anomaly_scores(spark, sf):
 @register("oee_forecast_model")
 def q_oee_forecast_model(spark, sf):
     o = _oee_train_rows(spark, sf)
-    b = ml.fit(o, score.oee_spec(o), "boosted", "regression", params={"maxIter": 10, "maxDepth": 4})
+    b = ml.fit(o, score.oee_spec(o), "boosted", "regression", params=score.SIZES["oee"])
     return score.oee_forecast_with_model(o, b, TODAY)
 
 
@@ -1425,10 +1433,9 @@ def q_compare_regressors(spark, sf):
     d = _index_split(spark, sf)
     tr, te = d.filter("is_train"), d.filter("NOT is_train")
     spec = score.spec_for(tr, "inefficiency", score.LEAKAGE)
-    light = {"forest": {"numTrees": 20, "maxDepth": 6}, "boosted": {"maxIter": 15, "maxDepth": 4}, "tree": {"maxDepth": 6}}
     rows = []
     for algo in ["linear", "ridge", "lasso", "tree", "forest", "boosted"]:
-        b = ml.fit(tr, spec, algo, "regression", params=light.get(algo, {}))
+        b = ml.fit(tr, spec, algo, "regression")
         m = metrics.regression_metrics(ml.predict(b, te), "inefficiency", "prediction")
         rows.append(m.select(F.lit(algo).alias("model"), "r2", "mae", "rmse"))
     u = rows[0]
@@ -1444,10 +1451,9 @@ def q_compare_classifiers(spark, sf):
     d = materialize(labels.label_p85_binary(_index_split(spark, sf).drop("anomaly_cut")))
     tr, te = d.filter("is_train"), d.filter("NOT is_train")
     spec = score.spec_for(tr, "label", score.LEAKAGE)
-    light = {"forest": {"numTrees": 20, "maxDepth": 6}, "boosted": {"maxIter": 15, "maxDepth": 4}, "tree": {"maxDepth": 6}}
     rows = []
     for algo in ["logistic", "tree", "forest", "boosted", "svm"]:
-        b = ml.fit(tr, spec, algo, "binary", weighted=True, params=light.get(algo, {}))
+        b = ml.fit(tr, spec, algo, "binary", weighted=True)
         p = ml.predict(b, te)
         rep = metrics.classification_report(p.withColumn("prediction", F.col("prediction").cast("int")), "label", "prediction")
         macro = rep.filter(F.col("class") == "macro avg").select(F.col("f1").alias("f1_macro"))

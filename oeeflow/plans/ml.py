@@ -27,6 +27,7 @@ from oeeflow.operators.windows import _join_on
 from oeeflow.schema import MISSING
 
 SEED = 42
+UNLIMITED_DEPTH = 30  # MLlib's greatest depth, for the reference's max_depth=None
 
 
 @dataclass
@@ -119,10 +120,10 @@ def make_estimator(algo: str, task: str, label: str, n_rows: int | None = None,
         if algo == "lasso":
             return LinearRegression(regParam=p.get("alpha", 1.0), elasticNetParam=1.0, standardization=False, **common)
         if algo == "tree":
-            return DecisionTreeRegressor(seed=SEED, maxDepth=p.get("maxDepth", 10),
+            return DecisionTreeRegressor(seed=SEED, maxDepth=p.get("maxDepth", UNLIMITED_DEPTH),
                                          minInstancesPerNode=p.get("minInstancesPerNode", 1), **common)
         if algo == "forest":
-            return RandomForestRegressor(seed=SEED, numTrees=p.get("numTrees", 100), maxDepth=p.get("maxDepth", 10),
+            return RandomForestRegressor(seed=SEED, numTrees=p.get("numTrees", 100), maxDepth=p.get("maxDepth", UNLIMITED_DEPTH),
                                          minInstancesPerNode=p.get("minInstancesPerNode", 1),
                                          featureSubsetStrategy=p.get("featureSubsetStrategy", "all"), **common)
         if algo == "boosted":
@@ -143,7 +144,7 @@ def make_estimator(algo: str, task: str, label: str, n_rows: int | None = None,
                                           featureSubsetStrategy=p.get("featureSubsetStrategy", "sqrt"), **common, **w)
         if algo == "boosted":
             return GBTClassifier(seed=SEED, maxIter=p.get("maxIter", 100), maxDepth=p.get("maxDepth", 4),
-                                 stepSize=p.get("stepSize", 0.1), subsamplingRate=p.get("subsamplingRate", 0.8),
+                                 stepSize=p.get("stepSize", 0.3), subsamplingRate=p.get("subsamplingRate", 0.8),
                                  featureSubsetStrategy=p.get("featureSubsetStrategy", "0.8"),
                                  minInfoGain=p.get("minInfoGain", 0.0), **common, **w)
         if algo == "svm":  # re-aimed: linear margin instead of an RBF kernel
@@ -271,15 +272,22 @@ def cross_validate(df: DataFrame, spec: FeatureSpec, algo: str, task: str, fold_
 
 def grid_search(df: DataFrame, spec: FeatureSpec, algo: str, task: str, grid: list[dict[str, Any]],
                 metric: str = "r2", maximize: bool = True, k: int = 5, weighted: bool = False,
-                fold_col: str = "test_fold", train_col: str = "train_from_fold") -> tuple[dict[str, Any], DataFrame]:
-    """Mean fold score of every grid point; returns the best point and the score table.
-    The reference grids (24 / 48 / 576 points) are passed in full when wanted."""
-    results = []
+                fold_col: str = "test_fold", train_col: str = "train_from_fold"
+                ) -> tuple[dict[str, Any], DataFrame, ModelBundle]:
+    """Mean fold score of every grid point; returns the best point, the score table and the
+    model of the best point fitted again on all rows of ``df``. Points that differ only in what
+    MLlib has no parameter for (``minSamplesSplit``) share their fits."""
+    results, scores = [], {}
     for point in grid:
-        cv = cross_validate(df, spec, algo, task, fold_col, train_col, k, point, (metric,), weighted).first()
-        results.append({"params": json.dumps(point, sort_keys=True), "score": cv[f"{metric}_mean"]})
-    best = (max if maximize else min)(results, key=lambda r: r["score"])
-    return json.loads(best["params"]), df.sparkSession.createDataFrame(results)
+        own = {n: v for n, v in point.items() if n != "minSamplesSplit"}
+        key = json.dumps(own, sort_keys=True)
+        if key not in scores:
+            cv = cross_validate(df, spec, algo, task, fold_col, train_col, k, own, (metric,), weighted).first()
+            scores[key] = cv[f"{metric}_mean"]
+        results.append({"params": json.dumps(point, sort_keys=True), "score": scores[key]})
+    best = json.loads((max if maximize else min)(results, key=lambda r: r["score"])["params"])
+    bundle = fit(df, spec, algo, task, weighted, {n: v for n, v in best.items() if n != "minSamplesSplit"})
+    return best, df.sparkSession.createDataFrame(results), bundle
 
 
 def param_grid(**axes: list[Any]) -> list[dict[str, Any]]:
@@ -289,6 +297,11 @@ def param_grid(**axes: list[Any]) -> list[dict[str, Any]]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[axes[k] for k in keys])]
 
 
+#: The 24 points of the regression forest (regression_inefficiency_models.py:210, OEE_regression.py:161).
+FOREST_GRID = param_grid(numTrees=[200, 400], maxDepth=[UNLIMITED_DEPTH, 10, 20], minSamplesSplit=[2, 5],
+                         minInstancesPerNode=[2, 5])
+
+
 # ---------------------------------------------------------------- persistence (A4)
 
 def save_model(bundle: ModelBundle, path: str, history: DataFrame | None = None) -> None:

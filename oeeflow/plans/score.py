@@ -23,7 +23,7 @@ from oeeflow.operators.marts_oee import OEE_FEATURES, oee_forecast, oee_forecast
 from oeeflow.operators.metrics import tune_threshold
 from oeeflow.operators.oee import compute_oee
 from oeeflow.operators.windows import DEFAULT_ROWS_PER_CHUNK, chunked_window
-from oeeflow.plans.ml import FeatureSpec, ModelBundle, fit, predict
+from oeeflow.plans.ml import UNLIMITED_DEPTH, FeatureSpec, ModelBundle, fit, predict
 from oeeflow.session import materialize
 from oeeflow.schema import (BINARY_LABELS, CATEGORICAL_COLS, DEFAULT_PROBA_CUT, ORDER_COLS, PARTITION_COLS,
                             STATE_LABELS)
@@ -89,42 +89,52 @@ class Models:
     oee: ModelBundle | None = None
 
 
-def train_all(wo: DataFrame, top_n: int = 20, small: bool = True,
-              rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK) -> Models:
-    """Train the six models on the first 80 % in time (thresholds from the training rows).
+#: Sizes of the six learners as in the reference (sources: README, "Hyper-parameter map").
+SIZES = {
+    "inefficiency": {"numTrees": 100, "maxDepth": UNLIMITED_DEPTH},
+    "hours": {"maxIter": 400, "maxDepth": 3, "stepSize": 0.01, "subsamplingRate": 0.8},
+    "anomaly": {"maxIter": 100, "maxDepth": 4, "stepSize": 0.3},
+    "anomaly3": {"numTrees": 100, "maxDepth": UNLIMITED_DEPTH, "minInstancesPerNode": 1},
+    "custom_cut": {"numTrees": 400, "maxDepth": 4, "minInstancesPerNode": 10, "featureSubsetStrategy": "0.7"},
+    "oee": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3},
+}
+
 
-    ``small=True`` uses light learners (smoke and tests); ``False`` the reference sizes."""
+def train_all(wo: DataFrame, top_n: int = 20, oee_top_n: int = 30,
+              rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK) -> Models:
+    """Train the six models on the first 80 % in time (thresholds from the training rows) at
+    ``SIZES``. The OEE model has its own article list (``oee_top_n``); a bundle carries the list
+    that it was trained on."""
     top = [r[0] for r in top_articles(fill_article(wo), top_n).select("article").collect()]  # n values
+    oee_top = [r[0] for r in top_articles(wo, oee_top_n).select("article").collect()]
     base = materialize(prepare_articles(wo, top))
     f = materialize(shared_features(base, rows_per_chunk))
     split = materialize(temporal_split(index_view(f)))
     train = split.filter("is_train")
-    fp = {"numTrees": 20, "maxDepth": 6} if small else {"numTrees": 100, "maxDepth": 10}
-    bp = {"maxIter": 15, "maxDepth": 4} if small else {"maxIter": 100, "maxDepth": 6}
     extra = {"top_articles": top}
     m = Models()
-    m.inefficiency = fit(train, spec_for(train, "inefficiency", LEAKAGE), "forest", "regression", params=fp, extra=extra)
+    m.inefficiency = fit(train, spec_for(train, "inefficiency", LEAKAGE), "forest", "regression", params=SIZES["inefficiency"], extra=extra)
     hs = materialize(temporal_split(hours_view(f))).filter("is_train")
-    m.hours = fit(hs, spec_for(hs, "work_hours", HOURS_LEAKAGE), "boosted", "regression", params=bp, extra=extra)
+    m.hours = fit(hs, spec_for(hs, "work_hours", HOURS_LEAKAGE), "boosted", "regression", params=SIZES["hours"], extra=extra)
     b = materialize(label_p85_binary(train, fit_on="all"))
     cut = b.select("anomaly_cut").first()[0]
-    m.anomaly = fit(b, spec_for(b, "label", LEAKAGE), "boosted", "binary", weighted=True, params=bp,
+    m.anomaly = fit(b, spec_for(b, "label", LEAKAGE), "boosted", "binary", weighted=True, params=SIZES["anomaly"],
                     extra={**extra, "anomaly_cut": cut, "proba_cut": DEFAULT_PROBA_CUT})
     t3 = materialize(label_train_quantiles(split)).filter("is_train")
     cuts = t3.select("attention_cut", "anomaly_cut").first()
-    m.anomaly3 = fit(t3, spec_for(t3, "label", LEAKAGE), "forest", "multiclass", weighted=True, params=fp,
+    m.anomaly3 = fit(t3, spec_for(t3, "label", LEAKAGE), "forest", "multiclass", weighted=True, params=SIZES["anomaly3"],
                      extra={**extra, "attention_cut": cuts[0], "anomaly_cut": cuts[1]})
     # custom cut: fit on the first 80 % of the training rows, tune the cut on the rest
     inner = materialize(temporal_split(b.drop("is_train", "_pos")))
-    mc = fit(inner.filter("is_train"), spec_for(b, "label", LEAKAGE), "forest", "binary", weighted=True, params=fp)
+    mc = fit(inner.filter("is_train"), spec_for(b, "label", LEAKAGE), "forest", "binary", weighted=True, params=SIZES["custom_cut"])
     val = predict(mc, inner.filter("NOT is_train"))
     tuned = tune_threshold(val, "label", "prob_1").first()
-    m.custom_cut = fit(b, spec_for(b, "label", LEAKAGE), "forest", "binary", weighted=True, params=fp,
+    m.custom_cut = fit(b, spec_for(b, "label", LEAKAGE), "forest", "binary", weighted=True, params=SIZES["custom_cut"],
                        extra={**extra, "anomaly_cut": cut, "proba_cut": float(tuned["cut"]) if tuned else DEFAULT_PROBA_CUT})
-    o = add_oee_features(compute_oee(base), rows_per_chunk=rows_per_chunk)
+    o = add_oee_features(compute_oee(prepare_articles(wo, oee_top)), rows_per_chunk=rows_per_chunk)
     o = o.filter(F.col("oee").isNotNull())
     otr = materialize(temporal_split(o)).filter("is_train")
-    m.oee = fit(otr, oee_spec(otr), "boosted", "regression", params=bp, extra=extra)
+    m.oee = fit(otr, oee_spec(otr), "boosted", "regression", params=SIZES["oee"], extra={"top_articles": oee_top})
     return m
 
 
@@ -145,13 +155,11 @@ def score_all(wo: DataFrame, models: Models, rows_per_chunk: int | None = DEFAUL
     """J26 + J27 + A7: the result table of the six scorers (FIXTURES §6 contract).
 
     All models transform one frame, one after another, without a join: the frame's columns travel
-    in a struct, each model sees them under the names it was trained on, and a row without the
-    model's look-backs gets NULL. A missing model blanks its column; a failing one is an error
+    in a struct, each model sees them under the names and with the article list it was trained
+    on, and a row without the model's look-backs gets NULL. A missing model blanks its column; a failing one is an error
     that names it.
     """
-    first = next((b for b in (models.inefficiency, models.anomaly, models.oee) if b is not None), None)
-    top = first.params.get("top_articles", []) if first else []
-    base = materialize(prepare_articles(wo, top))
+    base = materialize(prepare_articles(wo, []))  # each model groups by its own list below
     # at scoring time the OEE look-backs are unknown: the model's medians fill them
     frame = add_oee_features(compute_oee(shared_features(base, rows_per_chunk)), with_lags=False).withColumns(
         {c: F.lit(None).cast("double") for c in ["rolling_oee_3", "lag_1_oee", "lag_2_oee", "lag_3_oee"]})
@@ -173,6 +181,7 @@ def score_all(wo: DataFrame, models: Models, rows_per_chunk: int | None = DEFAUL
             out = out.withColumn(name, F.lit(None).cast(kind))
         else:
             view = out.select("_row", *scores, *[F.col(f"_row.{c}").alias(names.get(c, c)) for c in cols if names.get(c, c)])
+            view = group_rare_articles(view, bundle.params.get("top_articles", []))
             try:
                 p = predict(bundle, view)
             except Exception as e:
