@@ -3,7 +3,8 @@
 Fit, on a bounded sample of labelled rows: words whose presence speaks for the label (log odds with
 a significance bound) become the lexicon, a trie. Words are matched by the intersection of the trie
 with Levenshtein automata: the states of that product are made as they are met and kept, so a word
-costs one step per letter until it can no longer match. Misspelled matches have a weight of their
+costs one step per letter until it can no longer match. A chunk between blanks is matched whole and
+by its runs of letters and digits ("moron/clown", "idiot's"). Misspelled matches have a weight of their
 own per term: the log odds of near matches in the same sample (one more toxic text than was seen),
 never more than a share of the exact weight, so that ordinary words that lie near a term do not count. A window around each match tells quotation from
 abuse (marks of quotation on both sides weaken a match, second-person words strengthen it). A
@@ -18,6 +19,7 @@ empty result. Labels, language, source and id are never inputs of a score.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -113,15 +115,35 @@ class ToxicityModel:
 
 
 _held: dict[tuple, tuple] = {}
+_JOINTS = re.compile(r"[\W_]+")  # the same runs as [^\p{L}\p{N}]+, at which the lexicon's words are split
 
 
 def _matcher(terms: tuple[str, ...]):
+    """(table, found): the table gives each chunk a place in ``found``, the list of the sets of
+    (term, distance) that chunks match, or -1."""
     from oeeflow.llm.chunks import PUNCTUATION, ChunkTable
     if terms not in _held:
         _held.clear()
         automaton = LexiconAutomaton(list(terms))
-        _held[terms] = (ChunkTable(lambda c: automaton.match(c.strip(PUNCTUATION).lower()), 2),)
-    return _held[terms][0]
+        found: list[tuple[tuple[int, int], ...]] = []
+        places: dict[tuple[tuple[int, int], ...], int] = {}
+
+        def learn(chunk: str) -> tuple[int]:
+            whole = chunk.strip(PUNCTUATION).lower()
+            best: dict[int, int] = {}
+            for word in {whole, *_JOINTS.split(whole)} - {""}:  # whole: masked spellings ("id*ot")
+                term, distance = automaton.match(word)
+                if term >= 0:
+                    best[term] = min(distance, best.get(term, distance))
+            if not best:
+                return (-1,)
+            key = tuple(sorted(best.items()))
+            if key not in places:
+                places[key] = len(found)
+                found.append(key)
+            return (places[key],)
+        _held[terms] = (ChunkTable(learn, 1), found)
+    return _held[terms]
 
 
 def _context(chunks: pa.Array, at: int, lo: int, hi: int, window: int, quoted: float, addressed: float) -> float:
@@ -134,7 +156,7 @@ def _context(chunks: pa.Array, at: int, lo: int, hi: int, window: int, quoted: f
     weight = 1.0
     if (opened and closed) or any(w.strip(".,;:").lower() in REPORTING for w in before):
         weight *= quoted
-    if any(w.strip(".,;:!?").lower() in SECOND_PERSON for w in [*before, *after]):
+    if any(w.strip(".,;:!?").lower() in SECOND_PERSON for w in [*before, *_JOINTS.split(own.lower()), *after]):
         weight *= addressed
     return weight
 
@@ -149,15 +171,15 @@ def lexicon_matches(docs: DataFrame, terms: list[str], id_col: str, text_col: st
                              for n in ("term", "distance", "weight")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _matcher(names)
+        table, found = _matcher(names)
         for batch in slices(batches, 2048):
             chunks, values, at = table.look_up(batch.column(1))
             hits: list[dict] = [{} for _ in range(batch.num_rows)]
             where = np.flatnonzero(values[:, 0] >= 0)
             for p, i in zip(where.tolist(), (np.searchsorted(at, where, "right") - 1).tolist()):
-                key = (int(values[p, 0]), int(values[p, 1]))
                 w = _context(chunks, p, int(at[i]), int(at[i + 1]), window, quoted, addressed)
-                hits[i][key] = max(w, hits[i].get(key, 0.0))
+                for key in found[int(values[p, 0])]:
+                    hits[i][key] = max(w, hits[i].get(key, 0.0))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.diff(at), pa.int64()),
                  pa.array([[t for t, _ in h] for h in hits], pa.list_(pa.int32())),
