@@ -98,6 +98,21 @@ class EliasFano:
         found[k] = self._low_at(lo[k]) == target[k]
         return lo, found
 
+    def find(self, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index, whether it equals x) of the first element not below x among the elements lo to hi - 1."""
+        lo, hi, end = lo.copy(), hi.copy(), hi
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
+            mid = (lo[open_] + hi[open_]) >> 1
+            below = self.get(mid) < x[open_]
+            lo[open_] = np.where(below, mid + 1, lo[open_])
+            hi[open_] = np.where(below, hi[open_], mid)
+            open_ = open_[lo[open_] < hi[open_]]
+        found = np.zeros(len(x), bool)
+        k = np.flatnonzero(lo < end)
+        found[k] = self.get(lo[k]) == x[k]
+        return lo, found
+
     def get(self, i: np.ndarray) -> np.ndarray:
         """The i-th elements, by select over the unary bits."""
         word = np.searchsorted(self.ones, i, "right") - 1

@@ -1,19 +1,22 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-Training counts every word and every pair of neighbours of the training texts (a text begins with
-a mark and ends with an end token) as Spark aggregations. The model interpolates absolutely
-discounted pairs with smoothed word probabilities:
-
-    p1(w)   = (c(w) + 0.5) / (N + 0.5 (V + 1))
-    p(w|c)  = max(n(c, w) - D, 0) / n(c) + back(c) p1(w)
-
-for pairs counted at least ``min_pair`` times; the mass of the others is part of ``back(c)``, so
-every context sums to 1. The trie is a set of level files in the shared folder: words (Elias-Fano
-over their hashes, with counts), contexts (Elias-Fano over word ids, with quantised back-off
-weights) and pairs (contexts, monotone pointers to their successors, and successors relative to
-their context, with quantised log probabilities). Levels are cut into shards by hash, so a word or
-context with a third of all tokens still spreads evenly. Scorers map the files into memory and
-search all distinct pairs of a block of texts at once.
+Training counts every word, every pair and (``order`` 3) every triple of neighbours of the training
+texts (a text begins with a mark and ends with an end token) as Spark aggregations. The model
+interpolates absolutely discounted counts with the next shorter context, down to smoothed words:
+
+    p1(w)    = (c(w) + 0.5) / (N + 0.5 (V + 1))
+    p(w|c)   = max(n(c, w) - D, 0) / n(c) + back(c) p1(w)
+    p(w|b,c) = max(n(b, c, w) - D, 0) / n(b, c) + back(b, c) p(w|c)
+
+for pairs counted at least ``min_pair`` times (1: all) and all triples whose first pair is kept; the
+mass of the others is part of ``back``, so every context sums to 1. The trie is a set of level files
+in the shared folder: words (Elias-Fano over their hashes, with counts) and, for each longer level,
+contexts (Elias-Fano over the ids of the level above, with quantised back-off weights) and grams
+(contexts, monotone pointers to their successors, and successors relative to their context, with
+quantised log probabilities). The id of a gram is its place in its level. Levels are cut into shards
+by hash, so a word or context with a third of all tokens still spreads evenly. Scorers map the files
+into memory and search all distinct grams of a block of texts at once, a gram inside the range that
+its context's pointers give.
 
 Defined results: null and empty texts are one end token; a null id trains and is not held out;
 repeated rows are counted and scored each; without training texts every token has probability 1.
@@ -22,6 +25,7 @@ An empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oeeflow.llm.common import on_workers, scratch_path, slices, written
+from oeeflow.llm.common import on_workers, scratch_path, slices
 
 END, BEGIN = np.uint64(0x7E57ED0E5EED0001), np.uint64(0x7E57ED0E5EED0002)
 SHARD_ROWS = 1 << 20
@@ -44,8 +48,10 @@ class TrieFiles:
     v: int = 0             # distinct training tokens V
     words: list = field(default_factory=list)      # (path, first id) by hash range
     contexts: list = field(default_factory=list)   # paths by id range
-    pairs: list = field(default_factory=list)      # paths by hash of the pair
-    back_begin: float = 1.0
+    pairs: list = field(default_factory=list)      # (path, first id) by hash of the pair
+    n_pairs: int = 0
+    contexts3: list = field(default_factory=list)  # paths by pair id
+    triples: list = field(default_factory=list)    # (path, first id) by hash of pair id and word
 
 
 def held_out(id_col: Column, remainder: int = 1) -> Column:
@@ -101,8 +107,9 @@ class Trie:
         from oeeflow.llm.eliasfano import open_level
         self.f = files
         self.words = [(open_level(p), first) for p, first in files.words]
-        self.contexts = [open_level(p) for p in files.contexts]
-        self.pairs = [open_level(p) for p in files.pairs]
+        self.contexts = {2: [open_level(p) for p in files.contexts], 3: [open_level(p) for p in files.contexts3]}
+        self.grams = {2: [(open_level(p), first) for p, first in files.pairs],
+                      3: [(open_level(p), first) for p, first in files.triples]}
         self.unknown = files.n + 0.5 * (files.v + 1)
 
     def word_ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,35 +127,57 @@ class Trie:
     def p1(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / self.unknown
 
-    def back(self, contexts: np.ndarray) -> np.ndarray:
-        """Back-off weight of each context id (BEGIN: V)."""
+    def back(self, contexts: np.ndarray, level: int = 2) -> np.ndarray:
+        """Back-off weight of each context id (level 2: words, BEGIN is V; level 3: pairs)."""
         out = np.ones(len(contexts))
-        if self.contexts:
-            shard = contexts % len(self.contexts)
-            for s, level in enumerate(self.contexts):
+        files = self.contexts[level]
+        if files:
+            shard = contexts % len(files)
+            for s, own in enumerate(files):
                 k = np.flatnonzero((shard == s) & (contexts >= 0))
-                if len(k) and level["ids"].n:
-                    at, found = level["ids"].successor(contexts[k].astype(np.uint64))
-                    out[k[found]] = 10.0 ** (-STEP * level["back"][at[found]].astype(float))
+                if len(k) and own["ids"].n:
+                    at, found = own["ids"].successor(contexts[k].astype(np.uint64))
+                    out[k[found]] = 10.0 ** (-STEP * own["back"][at[found]].astype(float))
         return out
 
-    def pair(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """log10 p(w|c) of kept pairs, nan otherwise."""
-        out = np.full(len(contexts), np.nan)
-        if self.pairs:
-            shard = _shard_of_pair(contexts, words, len(self.pairs))
-            for s, level in enumerate(self.pairs):
+    def context_counts(self, contexts: np.ndarray, level: int) -> np.ndarray:
+        """How often each of these contexts, all of the level, was counted."""
+        out, files = np.zeros(len(contexts), np.int64), self.contexts[level]
+        for s, own in enumerate(files):
+            k = np.flatnonzero(contexts % len(files) == s)
+            if len(k):
+                out[k] = own["counts"][own["ids"].successor(contexts[k].astype(np.uint64))[0]]
+        return out
+
+    def last_words(self, pairs: np.ndarray) -> np.ndarray:
+        """The second word's id of each pair id."""
+        out = np.zeros(len(pairs), np.int64)
+        shard = np.searchsorted(np.array([first for _, first in self.grams[2]]), pairs, "right") - 1
+        for s, (own, first) in enumerate(self.grams[2]):
+            k = np.flatnonzero(shard == s)
+            if len(k):
+                out[k] = own["successors"].get(pairs[k] - first).astype(np.int64) % self.f.v
+        return out
+
+    def gram(self, contexts: np.ndarray, words: np.ndarray, level: int = 2) -> tuple[np.ndarray, np.ndarray]:
+        """(id, log10 p(w|context)) of kept grams; -1 and nan otherwise."""
+        ids, out = np.full(len(contexts), -1, np.int64), np.full(len(contexts), np.nan)
+        if self.grams[level]:
+            shard = _shard_of_pair(contexts, words, len(self.grams[level]))
+            for s, (own, first) in enumerate(self.grams[level]):
                 k = np.flatnonzero(shard == s)
-                if not len(k) or not level["contexts"].n:
+                if not len(k) or not own["contexts"].n:
                     continue
-                place, found = level["contexts"].successor(contexts[k].astype(np.uint64))
+                place, found = own["contexts"].successor(contexts[k].astype(np.uint64))
                 k, place = k[found], place[found]
                 # successors are stored relative to their context's place
                 wanted = place * np.int64(self.f.v) + words[k]
-                at, found = level["successors"].successor(wanted.astype(np.uint64))
+                at, found = own["successors"].find(wanted.astype(np.uint64), own["pointers"].get(place).astype(np.int64),
+                                                   own["pointers"].get(place + 1).astype(np.int64))
                 k, at = k[found], at[found]
-                out[k] = -STEP * level["prob"][at].astype(float)
-        return out
+                ids[k] = first + at
+                out[k] = -STEP * own["prob"][at].astype(float)
+        return ids, out
 
 
 def _shard_of_hash(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -161,18 +190,53 @@ def _shard_of_pair(contexts: np.ndarray, words: np.ndarray, n: int) -> np.ndarra
     return (h % np.uint64(n)).astype(np.int64)
 
 
+def _pairs(trie: Trie, contexts: np.ndarray, words: np.ndarray, p1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(id or -1, log10 p(w|c)) of pairs of ids; -1 stands for an unknown word."""
+    ids, logp = np.full(len(words), -1, np.int64), np.full(len(words), np.nan)
+    known = np.flatnonzero((contexts >= 0) & (words >= 0))
+    ids[known], logp[known] = trie.gram(contexts[known], words[known])
+    miss = np.isnan(logp)
+    logp[miss] = np.log10(trie.back(contexts[miss]) * p1[miss])
+    return ids, logp
+
+
+def _contexts(ids: np.ndarray, at: np.ndarray, begin: int) -> np.ndarray:
+    """The word before each token; ``begin`` before the first of a text."""
+    out = np.empty(len(ids), np.int64)
+    out[1:] = ids[:-1]
+    out[at[:-1] + np.arange(len(at) - 1)] = begin
+    return out
+
+
 _held: dict[str, Trie] = {}
 
 
 def _trie(files: TrieFiles) -> Trie:
-    key = repr((files.words, files.contexts, files.pairs))
+    key = repr((files.words, files.contexts, files.pairs, files.contexts3, files.triples))
     if key not in _held:
         _held.clear()
         _held[key] = Trie(files)
     return _held[key]
 
 
-def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2) -> TrieFiles:
+def _counts(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """``df`` written once in the fit's own folder and read back."""
+    df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+
+def _release(spark, folder: str, *names: str) -> None:
+    """Delete count tables that nothing reads again, and let Spark's cleaner drop the shuffles of
+    frames that are no longer held: a level's counts are many times its files."""
+    jvm = spark.sparkContext._jvm
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
+
+
+def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2, order: int = 2) -> TrieFiles:
     """Count the ``text`` column and write the level files; returns where they are."""
     spark = texts.sparkSession
     on_workers(spark)
@@ -182,8 +246,8 @@ def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2) -> Tri
     # level 1: words
     def all_tokens():
         return lambda words, at: _tokens(words, at)[0]
-    counts = written(texts.mapInArrow(_counter(all_tokens, ("h", "n")), "h long, n long")
-                     .groupBy("h").agg(F.sum("n").alias("n")), "lm-words")
+    counts = _counts(texts.mapInArrow(_counter(all_tokens, ("h", "n")), "h long, n long")
+                     .groupBy("h").agg(F.sum("n").alias("n")), folder, "count-words")
     files = TrieFiles()
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
                        F.max(F.when(F.col("h") == int(END.view(np.int64)), F.col("n"))).alias("texts")).first()
@@ -213,30 +277,8 @@ def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2) -> Tri
         files.words.append((by_shard[s]["path"], first))
         first += by_shard[s]["n"]
 
-    # level 2: pairs (context id * V + word id), the mark before a text being context V
     v = files.v
 
-    def all_pairs():
-        trie = _trie(files)
-
-        def look(words, at):
-            tokens, _ = _tokens(words, at)
-            distinct, where = np.unique(tokens, return_inverse=True)
-            ids = trie.word_ids(distinct)[0][where]
-            context = np.empty(len(ids), np.int64)
-            context[1:] = ids[:-1]
-            context[at[:-1] + np.arange(len(at) - 1)] = v
-            return (context * np.int64(v) + ids).astype(np.uint64)
-        return look
-    kept = written(texts.mapInArrow(_counter(all_pairs, ("k", "n")), "k long, n long").groupBy("k")
-                   .agg(F.sum("n").alias("n")).filter(F.col("n") >= min_pair)
-                   .select(F.expr(f"k div {v}L").alias("c"), F.expr(f"k % {v}L").alias("w"), "n"), "lm-pairs")
-    n_pairs = kept.count()
-
-    # back-off weights: what the kept successors of a context leave
-    n_context = max(1, -(-v // SHARD_ROWS))
-    left = kept.groupBy("c").agg(F.sum(F.col("n") - discount).alias("kept")).withColumn("s", F.pmod("c", F.lit(n_context)))
-
     def counts_of(trie, ids: np.ndarray) -> np.ndarray:
         out = np.full(len(ids), n_texts, np.int64)  # the mark: once a text
         starts = np.array([f for _, f in files.words])
@@ -246,50 +288,120 @@ def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2) -> Tri
             out[k] = level["counts"][ids[k] - begin]
         return out
 
-    def write_contexts(key, table):
-        from oeeflow.llm.eliasfano import EliasFano, write_level
-        ids = table.column("c").to_numpy()
-        order = np.argsort(ids)
-        ids = ids[order]
-        back = 1 - table.column("kept").to_numpy()[order] / counts_of(_trie(files), ids)
-        coded = np.clip(np.round(-np.log10(np.maximum(back, 1e-12)) / STEP), 0, 65535).astype(np.uint16)
-        path = write_level(folder, f"contexts-{key[0].as_py()}", ids=EliasFano.build(ids, v + 1), back=coded)
-        return pa.table({"s": pa.array([key[0].as_py()], pa.int64()), "path": [path]})
-
     def shards(rows: list, n: int) -> list:
-        paths = {r["s"]: r["path"] for r in rows}
-        if len(paths) < n:
+        by_shard = {r["s"]: r for r in rows}
+        none = None
+        if len(by_shard) < n:
+            from oeeflow.llm.eliasfano import EliasFano, write_level
+            no = EliasFano.build(np.zeros(0, np.uint64), 1)
+            none = write_level(folder, "empty", ids=no, contexts=no)
+        return [(by_shard[s]["path"], by_shard[s]["n"]) if s in by_shard else (none, 0) for s in range(n)]
+
+    def write(kept: DataFrame, level: int, n_above: int) -> tuple[list, list, int]:
+        """The level files of the grams ``kept`` (context id c, word id w, count n), the contexts'
+        first: (path, first id) of the grams, and how many there are."""
+        n_grams = kept.count()
+        n_context = max(1, -(-n_above // SHARD_ROWS))
+        left = (kept.groupBy("c").agg(F.sum(F.col("n") - discount).alias("kept"), F.sum("n").alias("m"))
+                .withColumn("s", F.pmod("c", F.lit(n_context))))
+
+        def write_contexts(key, table):
             from oeeflow.llm.eliasfano import EliasFano, write_level
-            none = EliasFano.build(np.zeros(0, np.uint64), 1)
-            empty = write_level(folder, "empty", ids=none, contexts=none)
-            return [paths.get(s, empty) for s in range(n)]
-        return [paths[s] for s in range(n)]
+            ids = table.column("c").to_numpy()
+            order_ = np.argsort(ids)
+            ids, m = ids[order_], table.column("m").to_numpy()[order_]
+            if level == 2:
+                m = counts_of(_trie(files), ids)
+            back = 1 - table.column("kept").to_numpy()[order_] / m
+            coded = np.clip(np.round(-np.log10(np.maximum(back, 1e-12)) / STEP), 0, 65535).astype(np.uint16)
+            path = write_level(folder, f"contexts{level}-{key[0].as_py()}", ids=EliasFano.build(ids, n_above), back=coded,
+                               counts=m.astype(np.uint32 if m.max() < 1 << 32 else np.int64))
+            return pa.table({"s": pa.array([key[0].as_py()], pa.int64()), "path": [path], "n": pa.array([len(ids)], pa.int64())})
+
+        contexts = [p for p, _ in shards(left.groupBy("s").applyInArrow(write_contexts, "s long, path string, n long").collect(),
+                                         n_context)]
+        if level == 2:
+            files.contexts = contexts
+        else:
+            files.contexts3 = contexts
+        del left
+        _release(spark, folder)
+        n_shards = max(1, -(-n_grams // SHARD_ROWS))
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                s = _shard_of_pair(batch.column(0).to_numpy(), batch.column(1).to_numpy(), n_shards)
+                yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), *batch.columns], ["s", "c", "w", "n"])
+
+        def write_grams(key, table):
+            from oeeflow.llm.eliasfano import EliasFano, write_level
+            trie = _trie(files)
+            c, w, n = (table.column(k).to_numpy() for k in ("c", "w", "n"))
+            order_ = np.lexsort((w, c))
+            c, w, n = c[order_], w[order_], n[order_]
+            own, begins = np.unique(c, return_index=True)
+            place = np.searchsorted(own, c)
+            shorter = trie.p1(counts_of(trie, w))
+            if level == 3:
+                shorter = 10.0 ** _pairs(trie, trie.last_words(c), w, shorter)[1]
+            p = (n - discount) / trie.context_counts(c, level) + trie.back(c, level) * shorter
+            prob = np.clip(np.round(-np.log10(p) / STEP), 0, 65535).astype(np.uint16)
+            path = write_level(folder, f"grams{level}-{key[0].as_py()}", contexts=EliasFano.build(own, n_above),
+                               pointers=EliasFano.build(np.append(begins, len(c)), len(c) + 1),
+                               successors=EliasFano.build(place * np.int64(v) + w, len(own) * v + 1), prob=prob)
+            return pa.table({"s": pa.array([key[0].as_py()], pa.int64()), "path": [path], "n": pa.array([len(c)], pa.int64())})
+
+        grams, first = [], 0
+        for path, n in shards(kept.mapInArrow(deal, "s long, c long, w long, n long").groupBy("s")
+                              .applyInArrow(write_grams, "s long, path string, n long").collect(), n_shards):
+            grams.append((path, first))
+            first += n
+        return grams, n_grams
 
-    files.contexts = shards(left.groupBy("s").applyInArrow(write_contexts, "s long, path string").collect(), n_context)
-    n_pair_shards = max(1, -(-n_pairs // SHARD_ROWS))
+    # level 2: pairs (context id * V + word id), the mark before a text being context V
+    def all_pairs():
+        trie = _trie(files)
 
-    def shard_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s = _shard_of_pair(batch.column(0).to_numpy(), batch.column(1).to_numpy(), n_pair_shards)
-            yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), *batch.columns], ["s", "c", "w", "n"])
+        def look(words, at):
+            tokens, _ = _tokens(words, at)
+            distinct, where = np.unique(tokens, return_inverse=True)
+            ids = trie.word_ids(distinct)[0][where]
+            return (_contexts(ids, at, v) * np.int64(v) + ids).astype(np.uint64)
+        return look
+    _release(spark, folder, "count-words")
+    kept = _counts(texts.mapInArrow(_counter(all_pairs, ("k", "n")), "k long, n long").groupBy("k")
+                   .agg(F.sum("n").alias("n")).filter(F.col("n") >= min_pair)
+                   .select(F.expr(f"k div {v}L").alias("c"), F.expr(f"k % {v}L").alias("w"), "n"), folder, "count-pairs")
+    _release(spark, folder)
+    files.pairs, files.n_pairs = write(kept, 2, v + 1)
+    _release(spark, folder, "count-pairs")
+    if order < 3 or not files.n_pairs:
+        return files
 
-    def write_pairs(key, table):
-        from oeeflow.llm.eliasfano import EliasFano, write_level
+    # level 3: triples (pair id * V + word id); the first token of a text has no pair before it
+    def all_triples():
         trie = _trie(files)
-        c, w, n = (table.column(k).to_numpy() for k in ("c", "w", "n"))
-        order = np.lexsort((w, c))
-        c, w, n = c[order], w[order], n[order]
-        own, begins = np.unique(c, return_index=True)
-        place = np.searchsorted(own, c)
-        p = (n - discount) / counts_of(trie, c) + trie.back(c) * trie.p1(counts_of(trie, w))
-        prob = np.clip(np.round(-np.log10(p) / STEP), 0, 65535).astype(np.uint16)
-        path = write_level(folder, f"pairs-{key[0].as_py()}", contexts=EliasFano.build(own, v + 1),
-                           pointers=EliasFano.build(np.append(begins, len(c)), len(c) + 1),
-                           successors=EliasFano.build(place * np.int64(v) + w, len(own) * v + 1), prob=prob)
-        return pa.table({"s": pa.array([key[0].as_py()], pa.int64()), "path": [path]})
-
-    files.pairs = shards(kept.mapInArrow(shard_pairs, "s long, c long, w long, n long").groupBy("s")
-                         .applyInArrow(write_pairs, "s long, path string").collect(), n_pair_shards)
+
+        def look(words, at):
+            tokens, _ = _tokens(words, at)
+            distinct, where = np.unique(tokens, return_inverse=True)
+            ids = trie.word_ids(distinct)[0][where]
+            key, back_to = np.unique(_contexts(ids, at, v) * np.int64(v) + ids, return_inverse=True)
+            pairs = trie.gram(key // v, key % v)[0][back_to]
+            before = np.append(np.int64(-1), pairs[:-1])
+            before[at[:-1] + np.arange(len(at) - 1)] = -1
+            k = np.flatnonzero(before >= 0)
+            return (before[k] * np.int64(v) + ids[k]).astype(np.uint64)
+        return look
+    if files.n_pairs * v >= 1 << 63:
+        raise ValueError(f"{files.n_pairs} pairs of {v} words: triples have no 64-bit key")
+
+    counted = _counts(texts.mapInArrow(_counter(all_triples, ("k", "n")), "k long, n long").groupBy("k")
+                      .agg(F.sum("n").alias("n")).select(F.expr(f"k div {v}L").alias("c"), F.expr(f"k % {v}L").alias("w"), "n"),
+                      folder, "count-triples")
+    _release(spark, folder)
+    files.triples, _ = write(counted, 3, files.n_pairs)
+    _release(spark, folder, "count-triples")
     return files
 
 
@@ -311,22 +423,27 @@ def score_texts(docs: DataFrame, files: TrieFiles, id_col: str = "doc_id", text_
                 p1 = trie.p1(counts)
                 log1 = np.log10(p1)
                 # pairs by place of the distinct words; the mark has the place after the last
-                context = np.empty(len(where), np.int64)
-                context[1:] = where[:-1]
-                context[at[:-1] + np.arange(n)] = len(distinct)
-                key, back_to = np.unique(context * np.int64(len(distinct)) + where, return_inverse=True)
+                key, back_to = np.unique(_contexts(where, at, len(distinct)) * np.int64(len(distinct)) + where,
+                                         return_inverse=True)
                 c, w = key // len(distinct), key % len(distinct)
-                c_ids = np.append(ids, files.v)[c]
-                known = np.flatnonzero((c_ids >= 0) & (ids[w] >= 0))
-                logp = np.full(len(key), np.nan)
-                logp[known] = trie.pair(c_ids[known], ids[w][known])
-                weight = trie.back(np.append(ids, files.v))
-                miss = np.isnan(logp)
-                logp[miss] = np.log10(weight[c[miss]] * p1[w[miss]])
+                pairs, logp2 = _pairs(trie, np.append(ids, files.v)[c], ids[w], p1[w])
+                logp = logp2[back_to]
+                if trie.grams[3]:  # triples by place of the distinct pairs
+                    before = _contexts(back_to, at, -1)
+                    t = np.flatnonzero(before >= 0)
+                    key, one, back_to3 = np.unique(before[t] * np.int64(len(distinct)) + where[t], return_index=True,
+                                                   return_inverse=True)
+                    c, w, logp3 = pairs[key // len(distinct)], ids[key % len(distinct)], logp[t[one]]
+                    k = np.flatnonzero(c >= 0)
+                    logp3[k] += np.log10(trie.back(c[k], 3))
+                    k = k[w[k] >= 0]
+                    kept = trie.gram(c[k], w[k], 3)[1]
+                    logp3[k] = np.where(np.isnan(kept), logp3[k], kept)
+                    logp[t] = logp3[back_to3]
                 cols[0] += (np.diff(at) + 1).tolist()
                 cols[1] += np.bincount(doc, weights=counts[where] > 0, minlength=n).astype(np.int64).tolist()
                 cols[2] += np.bincount(doc, weights=log1[where], minlength=n).tolist()
-                cols[3] += np.bincount(doc, weights=logp[back_to], minlength=n).tolist()
+                cols[3] += np.bincount(doc, weights=logp, minlength=n).tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                  pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64())],

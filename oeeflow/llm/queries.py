@@ -70,7 +70,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from oeeflow.llm.lm import fit_trie, held_out, score_texts
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit_trie(docs.filter(~held_out(F.col("doc_id"))))
+    model = fit_trie(docs.filter(~held_out(F.col("doc_id"))), min_pair=1, order=3)
     return score_texts(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
