@@ -1354,11 +1354,11 @@ from oeeflow.plans import reports  # noqa: E402
 
 @register("anomaly_report")
 def q_anomaly_report(spark, sf):
-    """All anomaly marts off one scored table, published as JSON (A5); returns the row
-    count of every mart read back."""
-    wo = work_orders(spark, sf)
-    s = marts_anomaly.lag_score(marts_anomaly.prepare_anomaly(wo, encode.top_articles(wo, 20)))
-    marts = reports.anomaly_report(s)
+    """All anomaly marts off one table scored by the 3-class model, published as JSON (A5);
+    returns the row count of every mart read back."""
+    s, bundle = score.score_for_report(materialize(work_orders(spark, sf)))
+    marts = reports.anomaly_report(s, bundle.params["top_articles"],
+                                   {c: bundle.params[c] for c in ("attention_cut", "anomaly_cut")})
     path = shared_dir(spark, f"anomaly-report-{_uuid.uuid4().hex}")
     reports.publish(marts, path)
     parts = [spark.read.json(_os.path.join(path, n)).groupBy().count().select(F.lit(n).alias("mart"), "count")
@@ -1371,8 +1371,10 @@ def q_anomaly_report(spark, sf):
 
 @register("oee_report")
 def q_oee_report(spark, sf):
-    """All OEE marts off one OEE table, published as JSON (A5); row count per mart."""
-    marts = reports.oee_report(work_orders(spark, sf), TODAY)
+    """All OEE marts off one OEE table, the forecast by the OEE model, published as JSON (A5); row
+    count per mart."""
+    wo = materialize(work_orders(spark, sf))
+    marts = reports.oee_report(wo, TODAY, model=score.fit_oee(wo))
     path = shared_dir(spark, f"oee-report-{_uuid.uuid4().hex}")
     reports.publish(marts, path)
     parts = [spark.read.json(_os.path.join(path, n)).groupBy().count().select(F.lit(n).alias("mart"), "count")

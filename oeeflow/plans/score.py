@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from oeeflow.operators.clean import fill_article, numeric_columns
 from oeeflow.operators.encode import group_rare_articles, top_articles
-from oeeflow.operators.features import add_oee_features, add_ratio_features, add_time_features
+from oeeflow.operators.features import add_oee_features, add_ratio_features, add_time_features, features_classification
 from oeeflow.operators.folds import temporal_split
-from oeeflow.operators.labels import label_p85_binary, label_train_quantiles
+from oeeflow.operators.labels import label_for_report, label_p85_binary, label_train_quantiles
 from oeeflow.operators.marts_oee import OEE_FEATURES, oee_forecast, oee_forecast_features
 from oeeflow.operators.metrics import tune_threshold
 from oeeflow.operators.oee import compute_oee
@@ -100,13 +100,39 @@ SIZES = {
 }
 
 
+def fit_anomaly3(split: DataFrame, top: list[str]) -> ModelBundle:
+    """The 3-class model on the training rows of ``temporal_split`` rows, cuts from those rows."""
+    t3 = materialize(label_train_quantiles(split)).filter("is_train")
+    cuts = t3.select("attention_cut", "anomaly_cut").first()
+    return fit(t3, spec_for(t3, "label", LEAKAGE), "forest", "multiclass", weighted=True, params=SIZES["anomaly3"],
+               extra={"top_articles": top, "attention_cut": cuts[0], "anomaly_cut": cuts[1]})
+
+
+def fit_oee(wo: DataFrame, top_n: int = 30, rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK) -> ModelBundle:
+    """The OEE model on the first 80 % in time, with its own article list."""
+    top = [r[0] for r in top_articles(wo, top_n).select("article").collect()]  # n values
+    o = add_oee_features(compute_oee(prepare_articles(wo, top)), rows_per_chunk=rows_per_chunk)
+    train = materialize(temporal_split(o.filter(F.col("oee").isNotNull()))).filter("is_train")
+    return fit(train, oee_spec(train), "boosted", "regression", params=SIZES["oee"], extra={"top_articles": top})
+
+
+def score_for_report(wo: DataFrame, top_n: int = 20) -> tuple[DataFrame, ModelBundle]:
+    """The rows of the anomaly report with classes and probabilities of the 3-class model, whose cuts
+    also label them."""
+    top = [r[0] for r in top_articles(fill_article(wo), top_n).select("article").collect()]  # n values
+    split = materialize(temporal_split(features_classification(prepare_articles(wo, top))))
+    bundle = fit_anomaly3(split, top)
+    rows = label_for_report(split.drop("is_train", "_pos"), attention_cut=bundle.params["attention_cut"],
+                            anomaly_cut=bundle.params["anomaly_cut"])
+    return anomaly_scores(bundle, rows).drop("prediction", "prob_0", "prob_1", "prob_2"), bundle
+
+
 def train_all(wo: DataFrame, top_n: int = 20, oee_top_n: int = 30,
               rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK) -> Models:
     """Train the six models on the first 80 % in time (thresholds from the training rows) at
     ``SIZES``. The OEE model has its own article list (``oee_top_n``); a bundle carries the list
     that it was trained on."""
     top = [r[0] for r in top_articles(fill_article(wo), top_n).select("article").collect()]  # n values
-    oee_top = [r[0] for r in top_articles(wo, oee_top_n).select("article").collect()]
     base = materialize(prepare_articles(wo, top))
     f = materialize(shared_features(base, rows_per_chunk))
     split = materialize(temporal_split(index_view(f)))
@@ -120,10 +146,7 @@ def train_all(wo: DataFrame, top_n: int = 20, oee_top_n: int = 30,
     cut = b.select("anomaly_cut").first()[0]
     m.anomaly = fit(b, spec_for(b, "label", LEAKAGE), "boosted", "binary", weighted=True, params=SIZES["anomaly"],
                     extra={**extra, "anomaly_cut": cut, "proba_cut": DEFAULT_PROBA_CUT})
-    t3 = materialize(label_train_quantiles(split)).filter("is_train")
-    cuts = t3.select("attention_cut", "anomaly_cut").first()
-    m.anomaly3 = fit(t3, spec_for(t3, "label", LEAKAGE), "forest", "multiclass", weighted=True, params=SIZES["anomaly3"],
-                     extra={**extra, "attention_cut": cuts[0], "anomaly_cut": cuts[1]})
+    m.anomaly3 = fit_anomaly3(split, top)
     # custom cut: fit on the first 80 % of the training rows, tune the cut on the rest
     inner = materialize(temporal_split(b.drop("is_train", "_pos")))
     mc = fit(inner.filter("is_train"), spec_for(b, "label", LEAKAGE), "forest", "binary", weighted=True, params=SIZES["custom_cut"])
@@ -131,10 +154,7 @@ def train_all(wo: DataFrame, top_n: int = 20, oee_top_n: int = 30,
     tuned = tune_threshold(val, "label", "prob_1").first()
     m.custom_cut = fit(b, spec_for(b, "label", LEAKAGE), "forest", "binary", weighted=True, params=SIZES["custom_cut"],
                        extra={**extra, "anomaly_cut": cut, "proba_cut": float(tuned["cut"]) if tuned else DEFAULT_PROBA_CUT})
-    o = add_oee_features(compute_oee(prepare_articles(wo, oee_top)), rows_per_chunk=rows_per_chunk)
-    o = o.filter(F.col("oee").isNotNull())
-    otr = materialize(temporal_split(o)).filter("is_train")
-    m.oee = fit(otr, oee_spec(otr), "boosted", "regression", params=SIZES["oee"], extra={"top_articles": oee_top})
+    m.oee = fit_oee(wo, oee_top_n, rows_per_chunk)
     return m
 
 
