@@ -39,8 +39,11 @@ _DIGITS = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s<>\"'`]+")
-_SECRET = re.compile(r"[ \t]{0,4}[=:][ \t]{0,4}[\"']?([A-Za-z0-9_./+-]{8,})")
-_ACCOUNT = re.compile(r"[ \t:]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8})")
+# after a cue: the rest of a compound key, a closing quote, what parts key and value, an opening quote
+_SECRET = re.compile(r"(?:[_-][A-Za-z0-9_-]{0,32}|[A-Z][A-Za-z0-9_]{0,32})?[\"']?[ \t]{0,4}(?:=>|:=|[=:])[ \t]{0,4}[\"']?"
+                     r"([A-Za-z0-9_./+-]{8,})")
+_ACCOUNT = re.compile(r"(?:[ \t_-]{0,4}(?i:number|no|nr|code|is)\b\.?){0,3}[\"']?[ \t]{0,4}(?:=>|[=:])?[ \t:]{0,4}[\"']?"
+                      r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8})")
 
 
 def _luhn(digits: str) -> bool:
@@ -67,8 +70,7 @@ def _automaton():
     a.add_word("+", ("plus", 1))
     for kind, cues in (("secret", SECRET_CUES), ("account", ACCOUNT_CUES), ("scheme", SCHEMES)):
         for w in cues:
-            for form in {w, w.upper(), w.capitalize()}:
-                a.add_word(form, (kind, len(form)))
+            a.add_word(w, (kind, len(w)))
     a.make_automaton()
     return a
 
@@ -82,7 +84,8 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
         _held.append(_automaton())
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     email_end = ip_next = card_next = phone_end = secret_end = url_end = account_end = 0
-    for last, (anchor, size) in _held[0].iter(text):
+    # cues without regard to the case of A-Z; bytes.lower keeps every other character and all places
+    for last, (anchor, size) in _held[0].iter(text.encode().lower().decode()):
         if anchor == "digit":
             if last >= card_next:
                 m = _CARD.match(text, last)
