@@ -76,8 +76,14 @@ def op10_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oeeflow.llm.negatives import hard_negatives
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_to_weights, op2_personal_data, op3_best_fit_packing, op4_quality_rules, op5_imatch_fingerprints, op6_warc,
-    op7_ngram_jaccard, op8_toxicity, op9_licenses, op10_trie_scores)}
+    op7_ngram_jaccard, op8_toxicity, op9_licenses, op10_trie_scores, op11_hard_negatives)}
 SQL: dict[str, str] = {"op1_mix_to_weights": sql.mixing(), "op4_quality_rules": sql.quality(), "op7_ngram_jaccard": sql.near_duplicates(),
-                       "op9_licenses": sql.licenses()}
+                       "op9_licenses": sql.licenses(), "op11_hard_negatives": sql.hard_negatives()}

