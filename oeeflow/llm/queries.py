@@ -82,8 +82,13 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
 
 
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oeeflow.llm.ann import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_to_weights, op2_personal_data, op3_best_fit_packing, op4_quality_rules, op5_imatch_fingerprints, op6_warc,
-    op7_ngram_jaccard, op8_toxicity, op9_licenses, op10_trie_scores, op11_hard_negatives)}
+    op7_ngram_jaccard, op8_toxicity, op9_licenses, op10_trie_scores, op11_hard_negatives, op12_nearest)}
 SQL: dict[str, str] = {"op1_mix_to_weights": sql.mixing(), "op4_quality_rules": sql.quality(), "op7_ngram_jaccard": sql.near_duplicates(),
                        "op9_licenses": sql.licenses(), "op11_hard_negatives": sql.hard_negatives()}
