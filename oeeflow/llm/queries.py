@@ -87,8 +87,14 @@ def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oeeflow.llm.prefixes import prefix_trie
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_to_weights, op2_personal_data, op3_best_fit_packing, op4_quality_rules, op5_imatch_fingerprints, op6_warc,
-    op7_ngram_jaccard, op8_toxicity, op9_licenses, op10_trie_scores, op11_hard_negatives, op12_nearest)}
+    op7_ngram_jaccard, op8_toxicity, op9_licenses, op10_trie_scores, op11_hard_negatives, op12_nearest, op13_prefix_trie)}
 SQL: dict[str, str] = {"op1_mix_to_weights": sql.mixing(), "op4_quality_rules": sql.quality(), "op7_ngram_jaccard": sql.near_duplicates(),
-                       "op9_licenses": sql.licenses(), "op11_hard_negatives": sql.hard_negatives()}
+                       "op9_licenses": sql.licenses(), "op11_hard_negatives": sql.hard_negatives(),
+                       "op13_prefix_trie": sql.prefix_trie()}

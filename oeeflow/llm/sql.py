@@ -124,3 +124,32 @@ def hard_negatives() -> str:
     SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, s AS negative_score
     FROM pos JOIN pairs USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * s AND 100 * s <= 90 * positive_score
     WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s DESC, other) QUALIFY row_number() OVER w <= 10"""
+
+
+def prefix_trie() -> str:
+    step = "xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    byte = f"list_reduce(list_prepend(xor(crc, b), range(8)), lambda a, z: {step})"
+    crc = (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(s) + 1), lambda i: ord(s[i])::BIGINT)), "
+           f"lambda crc, b: {byte}), 4294967295::BIGINT)")
+    return f"""
+    WITH t AS (SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce("text", '') AS txt,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce("text", '')) AS pos
+               FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv, conv - conv % 20 AS base, {crc} % 4 AS h FROM (SELECT DISTINCT conv, CAST(conv AS VARCHAR) AS s FROM t)),
+    r AS (SELECT c.conv, pos AS d, role, txt FROM c JOIN t ON t.conv = c.base WHERE pos <= h
+          UNION ALL SELECT c.conv, pos - h + least(h, (SELECT count(*) FROM t x WHERE x.conv = c.base)) AS d, role, txt
+          FROM c JOIN t ON t.conv = c.conv WHERE pos > h),
+    p AS (SELECT conv, d, txt, list((d, role, txt)) OVER (PARTITION BY conv ORDER BY d) AS pre FROM r
+          UNION ALL SELECT conv, 0, '', [] FROM c),
+    len AS (SELECT conv, max(d) AS n FROM p GROUP BY conv),
+    on_ AS (SELECT conv, d, txt, min(conv) OVER (PARTITION BY d, pre) AS node FROM p),
+    nodes AS (SELECT d, node, count(*) AS n_convs, any_value(len(regexp_extract_all(txt, '{_W}'))) AS words FROM on_ GROUP BY d, node),
+    par AS (SELECT n.d, n.node, o.node AS parent FROM nodes n LEFT JOIN on_ o ON o.conv = n.node AND o.d = n.d - 1),
+    kids AS (SELECT d - 1 AS d, parent AS node, count(*) AS n FROM par WHERE d > 0 GROUP BY ALL),
+    sums AS (SELECT o.d, o.node, count(*) FILTER (k.n IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.words) AS saved
+             FROM nodes u LEFT JOIN kids k ON k.d = u.d AND k.node = u.node JOIN on_ o ON o.conv = u.node AND o.d <= u.d GROUP BY o.d, o.node),
+    ends AS (SELECT o.d, o.node, string_agg(CAST(o.conv AS VARCHAR), ',' ORDER BY o.conv) AS ids
+             FROM on_ o JOIN len ON len.conv = o.conv AND len.n = o.d GROUP BY o.d, o.node)
+    SELECT n.node AS conv_id, n.d AS depth, par.parent AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children, n_leaves,
+           CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+    FROM nodes n JOIN par USING (d, node) JOIN sums USING (d, node) LEFT JOIN kids USING (d, node) LEFT JOIN ends USING (d, node)"""
