@@ -1435,11 +1435,14 @@ def q_compare_regressors(spark, sf):
     d = _index_split(spark, sf)
     tr, te = d.filter("is_train"), d.filter("NOT is_train")
     spec = score.spec_for(tr, "inefficiency", score.LEAKAGE)
-    rows = []
-    for algo in ["linear", "ridge", "lasso", "tree", "forest", "boosted"]:
-        b = ml.fit(tr, spec, algo, "regression")
-        m = metrics.regression_metrics(ml.predict(b, te), "inefficiency", "prediction")
-        rows.append(m.select(F.lit(algo).alias("model"), "r2", "mae", "rmse"))
+
+    def job(algo):
+        def run():
+            b = ml.fit(tr, spec, algo, "regression")
+            m = metrics.regression_metrics(ml.predict(b, te), "inefficiency", "prediction")
+            return materialize(m.select(F.lit(algo).alias("model"), "r2", "mae", "rmse"))
+        return run
+    rows = ml.side_by_side([job(a) for a in ["linear", "ridge", "lasso", "tree", "forest", "boosted"]])
     u = rows[0]
     for r in rows[1:]:
         u = u.unionByName(r)

@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
@@ -22,9 +25,13 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearReg
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oeeflow.operators.labels import apply_threshold
+from oeeflow.operators.metrics import roc_auc
 from oeeflow.operators.quantiles import quantiles
 from oeeflow.operators.windows import _join_on
+from oeeflow.plans.forest import Binning, ForestModel, fit_forest
 from oeeflow.schema import MISSING
+from oeeflow.session import materialize
 
 SEED = 42
 UNLIMITED_DEPTH = 30  # MLlib's greatest depth, for the reference's max_depth=None
@@ -39,7 +46,7 @@ class FeatureSpec:
 
 @dataclass
 class ModelBundle:
-    model: PipelineModel | list[PipelineModel]
+    model: PipelineModel | list[PipelineModel] | ForestModel
     spec: FeatureSpec
     algo: str
     task: str                              # "regression" | "binary" | "multiclass"
@@ -168,6 +175,26 @@ def positive_weight(df: DataFrame, label: str) -> DataFrame:
 
 # ---------------------------------------------------------------- fit / predict
 
+def side_by_side(jobs: list[Callable[[], Any]], at_once: int = 6) -> list[Any]:
+    """Results of independent fits that run at the same time: one fit's driver work and short stages
+    leave most cores idle, which the tasks of the others use. ``at_once`` bounds what is held."""
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
+
+
+def forest_sizes(algo: str, task: str, p: dict[str, Any]) -> dict[str, Any]:
+    """Arguments of :func:`fit_forest` for J4 (one tree on all rows) and J5."""
+    plain = task == "regression"
+    own = {"num_trees": 100 if plain else 300, "max_depth": UNLIMITED_DEPTH if plain else 8, "min_leaf": 1 if plain else 8,
+           "feature_subset": "all" if plain else "sqrt", "bootstrap": True}
+    if algo == "tree":
+        own |= {"num_trees": 1, "feature_subset": "all", "bootstrap": False, "max_depth": UNLIMITED_DEPTH if plain else 6}
+    names = {"numTrees": "num_trees", "maxDepth": "max_depth", "minInstancesPerNode": "min_leaf", "featureSubsetStrategy": "feature_subset",
+             "minSamplesSplit": "min_split"}
+    return {"min_split": 2, **own, **{names[k]: v for k, v in p.items() if k in names}}
+
+
 def fit(df: DataFrame, spec: FeatureSpec, algo: str, task: str = "regression", weighted: bool = False,
         params: dict[str, Any] | None = None, extra: dict[str, Any] | None = None) -> ModelBundle:
     """Fit preparation + learner. ``weighted``: balanced class weights.
@@ -180,7 +207,14 @@ def fit(df: DataFrame, spec: FeatureSpec, algo: str, task: str = "regression", w
     wcol = None
     if weighted and task != "regression":
         d = class_weights(d, spec.label, "_w")
+        if p.get("positiveFactor", 1.0) != 1.0:
+            d = d.withColumn("_w", F.col("_w") * F.when(F.col(spec.label) == 1, p["positiveFactor"]).otherwise(1.0))
         wcol = "_w"
+    if algo in ("tree", "forest"):
+        sizes = forest_sizes(algo, task, p)
+        classes = {"regression": 0, "binary": 2, "multiclass": 3}[task]
+        forest = fit_forest(d, spec.numeric, spec.categorical, spec.label, classes, wcol, seed=SEED, **sizes)
+        return ModelBundle(forest, spec, algo, task, medians, {**(extra or {}), "hyper": p})
     d = d.persist()
     try:
         n_rows = d.count()
@@ -221,6 +255,12 @@ def predict(bundle: ModelBundle, df: DataFrame, out: str = "prediction") -> Data
         probs = [F.when(tot > 0, F.col(f"_raw{c}") / tot).otherwise(F.lit(1.0 / 3)) for c in (0, 1, 2)]
         best = F.when((probs[2] >= probs[1]) & (probs[2] >= probs[0]), 2).when(probs[1] >= probs[0], 1).otherwise(0)
         return scored.select(*keep, best.cast("double").alias(out), *[p.alias(f"prob_{c}") for c, p in enumerate(probs)])
+    if isinstance(bundle.model, ForestModel):
+        t = bundle.model.score(d)
+        if bundle.task == "regression":
+            return t.select(*keep, F.col("_forest")[0].alias(out))
+        best = F.array_position("_forest", F.array_max("_forest")) - 1
+        return t.select(*keep, best.cast("double").alias(out), *[F.col("_forest")[c].alias(f"prob_{c}") for c in range(bundle.model.classes)])
     t = bundle.model.transform(d)
     cols = [F.col("prediction").alias(out)]
     if bundle.task != "regression" and "probability" in t.columns:
@@ -232,18 +272,48 @@ def predict(bundle: ModelBundle, df: DataFrame, out: str = "prediction") -> Data
 
 # ---------------------------------------------------------------- search and CV
 
-def _score(pred: DataFrame, label: str, task: str, metric: str) -> float:
-    y, p = F.col(label), F.col("prediction")
+def fold_parts(df: DataFrame, f: int, fold_col: str, train_col: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of fold ``f``; without ``train_col`` a fold trains on all others."""
+    train = F.col(train_col) <= f if train_col in df.columns else F.col(fold_col) != f
+    return df.filter(train), df.filter(F.col(fold_col) == f)
+
+
+def out_of_fold(df: DataFrame, spec: FeatureSpec, algo: str, task: str, fold_col: str = "test_fold", train_col: str = "train_from_fold",
+                k: int = 5, params: dict[str, Any] | None = None, weighted: bool = False) -> DataFrame:
+    """The test rows of all folds with the scores of their fold's model (``prediction``, ``prob_<k>``): one
+    written table that every metric reads. The folds are fitted side by side."""
+    def job(f):
+        def run():
+            train, test = fold_parts(df, f, fold_col, train_col)
+            scored = predict(fit(train, spec, algo, task, weighted, params), test)
+            probs = [c for c in scored.columns if c.startswith(("prob_", "score_")) and c not in df.columns]
+            return materialize(scored.select(F.lit(f).alias("fold"), spec.label, "prediction", *probs), "out-of-fold")
+        return run
+    parts = side_by_side([job(f) for f in range(k)])
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def fold_metrics(scored: DataFrame, label: str, task: str, prediction: str = "prediction") -> DataFrame:
+    """One row a fold: rmse, mae and r2, or accuracy and the recalls and F1 of classes 1 and 2 (0 where a
+    class has no rows or predictions)."""
+    y, p = F.col(label), F.col(prediction)
     if task == "regression":
         e = y - p
-        row = pred.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-                       (1 - F.sum(e * e) / (F.var_pop(label) * F.count(F.lit(1)))).alias("r2")).first()
-    else:
-        row = pred.agg(F.avg((y == p).cast("double")).alias("accuracy"),
-                       (F.count_if((y == 1) & (p == 1)) / F.greatest(F.count_if(y == 1), F.lit(1))).alias("recall"),
-                       (F.count_if((y == 2) & (p == 2)) / F.greatest(F.count_if(y == 2), F.lit(1))).alias("recall_2")).first()
-    v = row[metric]
-    return float(v) if v is not None else float("nan")
+        return scored.groupBy("fold").agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
+                                          (1 - F.sum(e * e) / (F.var_pop(label) * F.count(F.lit(1)))).alias("r2"))
+    hit = {c: F.count_if((y == c) & (p == c)) for c in (1, 2)}
+    one = lambda x: F.greatest(x, F.lit(1))
+    return scored.groupBy("fold").agg(
+        F.avg((y == p).cast("double")).alias("accuracy"), (hit[1] / one(F.count_if(y == 1))).alias("recall"),
+        (hit[2] / one(F.count_if(y == 2))).alias("recall_2"), (2 * hit[1] / one(F.count_if(y == 1) + F.count_if(p == 1))).alias("f1"))
+
+
+def over_folds(per_fold: DataFrame, metrics: tuple[str, ...]) -> DataFrame:
+    """Mean and population standard deviation of every metric over the folds that have it (one row)."""
+    return per_fold.agg(*[x for m in metrics for x in (F.avg(m).alias(f"{m}_mean"), F.stddev_pop(m).alias(f"{m}_std"))])
 
 
 def cross_validate(df: DataFrame, spec: FeatureSpec, algo: str, task: str, fold_col: str = "test_fold",
@@ -251,42 +321,85 @@ def cross_validate(df: DataFrame, spec: FeatureSpec, algo: str, task: str, fold_
                    metrics: tuple[str, ...] = ("rmse", "mae", "r2"), weighted: bool = False) -> DataFrame:
     """Fit on each fold's training rows, score its test rows; mean and population std
     of every metric. ``df`` carries :func:`time_series_folds` (or ``make_folds``) columns."""
-    import statistics
-    rows = []
+    scored = out_of_fold(df, spec, algo, task, fold_col, train_col, k, params, weighted)
+    return over_folds(fold_metrics(scored, spec.label, task), metrics)
+
+
+def cross_validate_at_cut(scored: DataFrame, label: str, prob: str, cut: float, k: int = 5) -> DataFrame:
+    """J13, fixed cut: accuracy, recall and F1 of class 1 where ``prob`` reaches ``cut``, and the AUC, of an
+    out-of-fold table (``fold`` in [0, k)); mean and population std. A fold with one class has no AUC
+    and does not count there."""
+    at = apply_threshold(scored, prob, cut, "_at_cut")
+    auc = None
     for f in range(k):
-        if train_col in df.columns:
-            tr, te = df.filter(F.col(train_col) <= f), df.filter(F.col(fold_col) == f)
-        else:
-            tr, te = df.filter(F.col(fold_col) != f), df.filter(F.col(fold_col) == f)
-        b = fit(tr, spec, algo, task, weighted, params)
-        pr = predict(b, te)
-        rows.append({m: _score(pr, spec.label, task, m) for m in metrics})
-    out = {}
-    for m in metrics:
-        vals = [r[m] for r in rows]
-        out[f"{m}_mean"] = float(statistics.fmean(vals))
-        out[f"{m}_std"] = float(statistics.pstdev(vals))
-    spark = df.sparkSession
-    return spark.createDataFrame([out])
+        one = roc_auc(scored.filter(F.col("fold") == f), label, prob).select(F.lit(f).alias("fold"), "auc")
+        auc = one if auc is None else auc.unionByName(one)
+    names = ("accuracy", "recall", "f1", "auc")
+    return over_folds(fold_metrics(at, label, "binary", "_at_cut").join(auc, "fold", "left"), names)
+
+
+#: Grid axes that cut a grown forest instead of growing another one.
+FOREST_CUTS = ("numTrees", "maxDepth", "minSamplesSplit")
+#: Axes of the reference's learners that MLlib's boosting has no parameter for.
+UNMATCHED = ("minSamplesSplit", "regAlpha", "regLambda")
+
+
+def _forest_cut(point: dict[str, Any], task: str) -> tuple[int, int, int]:
+    sizes = forest_sizes("forest", task, point)
+    return sizes["num_trees"], sizes["max_depth"], sizes["min_split"]
+
+
+def _forest_scores(df: DataFrame, spec: FeatureSpec, task: str, points: list[dict[str, Any]], metric: str, k: int, weighted: bool,
+                   fold_col: str, train_col: str) -> list[float]:
+    """Mean fold scores of forests that differ only in ``FOREST_CUTS``: a fold grows one forest, of the most
+    trees, greatest depth and least split size, and all points are read off it in one pass."""
+    cuts = [_forest_cut(p, task) for p in points]
+    largest = {**points[0], "numTrees": max(c[0] for c in cuts), "maxDepth": max(c[1] for c in cuts), "minSamplesSplit": min(c[2] for c in cuts)}
+    by_fold = []
+    for f in range(k):  # one after another: a forest's trees fill the cores
+        train, test = fold_parts(df, f, fold_col, train_col)
+        bundle = fit(train, spec, "forest", task, weighted, largest)
+        test = fill_features(test, spec, bundle.medians).repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+        scored = bundle.model.score(test, cuts).select(F.lit(f).alias("fold"), spec.label, "_forest")
+        width = bundle.model.classes or 1
+        one = []
+        for i in range(len(cuts)):
+            values = [F.col("_forest")[i * width + c] for c in range(width)]
+            best = values[0] if width == 1 else (F.array_position(F.array(*values), F.greatest(*values)) - 1).cast("double")
+            one.append(best.alias(f"p{i}"))
+        scored = materialize(scored.select("fold", spec.label, *one), "grid-scores")
+        per = None
+        for i in range(len(cuts)):
+            m = fold_metrics(scored, spec.label, task, f"p{i}").select(F.lit(i).alias("point"), F.col(metric).alias("score"))
+            per = m if per is None else per.unionByName(m)
+        by_fold.append({r["point"]: r["score"] for r in per.collect()})    # a row for each point
+    return [sum(scores[i] for scores in by_fold) / k for i in range(len(cuts))]
 
 
 def grid_search(df: DataFrame, spec: FeatureSpec, algo: str, task: str, grid: list[dict[str, Any]],
                 metric: str = "r2", maximize: bool = True, k: int = 5, weighted: bool = False,
                 fold_col: str = "test_fold", train_col: str = "train_from_fold"
                 ) -> tuple[dict[str, Any], DataFrame, ModelBundle]:
-    """Mean fold score of every grid point; returns the best point, the score table and the
-    model of the best point fitted again on all rows of ``df``. Points that differ only in what
-    MLlib has no parameter for (``minSamplesSplit``) share their fits."""
-    results, scores = [], {}
+    """Mean fold score of every grid point; returns the best point (the first of equal ones), the
+    score table and the model of the best point fitted again on all rows of ``df``. Forests that differ
+    only in ``FOREST_CUTS`` share one forest a fold; for other learners points that differ only in what
+    MLlib has no parameter for share their fits."""
+    drop = FOREST_CUTS if algo == "forest" else UNMATCHED
+    groups: dict[str, list[dict[str, Any]]] = {}
     for point in grid:
-        own = {n: v for n, v in point.items() if n != "minSamplesSplit"}
-        key = json.dumps(own, sort_keys=True)
-        if key not in scores:
+        groups.setdefault(json.dumps({n: v for n, v in point.items() if n not in drop}, sort_keys=True), []).append(point)
+    scores = {}
+    for points in groups.values():
+        if algo == "forest":
+            found = _forest_scores(df, spec, task, points, metric, k, weighted, fold_col, train_col)
+        else:
+            own = {n: v for n, v in points[0].items() if n not in UNMATCHED}
             cv = cross_validate(df, spec, algo, task, fold_col, train_col, k, own, (metric,), weighted).first()
-            scores[key] = cv[f"{metric}_mean"]
-        results.append({"params": json.dumps(point, sort_keys=True), "score": scores[key]})
+            found = [cv[f"{metric}_mean"]] * len(points)
+        scores |= {json.dumps(p, sort_keys=True): float(s) for p, s in zip(points, found)}
+    results = [{"params": json.dumps(p, sort_keys=True), "score": scores[json.dumps(p, sort_keys=True)]} for p in grid]
     best = json.loads((max if maximize else min)(results, key=lambda r: r["score"])["params"])
-    bundle = fit(df, spec, algo, task, weighted, {n: v for n, v in best.items() if n != "minSamplesSplit"})
+    bundle = fit(df, spec, algo, task, weighted, best if algo == "forest" else {n: v for n, v in best.items() if n not in UNMATCHED})
     return best, df.sparkSession.createDataFrame(results), bundle
 
 
@@ -300,6 +413,16 @@ def param_grid(**axes: list[Any]) -> list[dict[str, Any]]:
 #: The 24 points of the regression forest (regression_inefficiency_models.py:210, OEE_regression.py:161).
 FOREST_GRID = param_grid(numTrees=[200, 400], maxDepth=[UNLIMITED_DEPTH, 10, 20], minSamplesSplit=[2, 5],
                          minInstancesPerNode=[2, 5])
+#: The 24 points of the index boosting (regression_inefficiency_models.py:250).
+BOOSTED_GRID = param_grid(maxIter=[200, 400], maxDepth=[3, 6, 10], stepSize=[0.01, 0.1], subsamplingRate=[0.8, 1.0])
+#: The 48 points of the custom-cut forest (classificazione_soglie_custom.py:368), searched by recall.
+CUT_FOREST_GRID = param_grid(numTrees=[200, 400], maxDepth=[4, 6, 8], minSamplesSplit=[10, 20], minInstancesPerNode=[5, 10],
+                             featureSubsetStrategy=["sqrt", "0.7"])
+#: The 576 points of the custom-cut boosting (classificazione_soglie_custom.py:436); ``positiveFactor``
+#: multiplies the weight of class 1.
+CUT_BOOSTED_GRID = param_grid(maxIter=[200, 400], maxDepth=[3, 6, 10], stepSize=[0.05, 0.1], subsamplingRate=[0.8],
+                              featureSubsetStrategy=["0.8"], minInstancesPerNode=[3, 5], regAlpha=[0.0, 0.5], regLambda=[1.0, 3.0],
+                              minInfoGain=[0.0, 1.0], positiveFactor=[1.0, 1.5, 2.0])
 
 
 # ---------------------------------------------------------------- persistence (A4)
@@ -307,12 +430,16 @@ FOREST_GRID = param_grid(numTrees=[200, 400], maxDepth=[UNLIMITED_DEPTH, 10, 20]
 def save_model(bundle: ModelBundle, path: str, history: DataFrame | None = None) -> None:
     """A4: MLlib persistence for the pipeline(s) and one JSON row of parameters;
     ``history`` (cycle statistics at training time) is written next to them."""
-    models = bundle.model if isinstance(bundle.model, list) else [bundle.model]
+    spark = SparkSession.getActiveSession()
+    forest, models = None, bundle.model if isinstance(bundle.model, list) else [bundle.model]
+    if isinstance(bundle.model, ForestModel):
+        m, models = bundle.model, []
+        spark.read.parquet(m.path).write.mode("overwrite").parquet(os.path.join(path, "forest"))
+        forest = {"binning": m.binning.__dict__, "classes": m.classes, "num_trees": m.num_trees, "max_depth": m.max_depth, "tops": m.tops}
     for i, m in enumerate(models):
         m.write().overwrite().save(os.path.join(path, f"pipeline_{i}"))
-    meta = {"spec": bundle.spec.__dict__, "algo": bundle.algo, "task": bundle.task, "medians": bundle.medians,
+    meta = {"forest": forest, "spec": bundle.spec.__dict__, "algo": bundle.algo, "task": bundle.task, "medians": bundle.medians,
             "params": bundle.params, "n_models": len(models), "one_vs_rest": isinstance(bundle.model, list)}
-    spark = SparkSession.getActiveSession()
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
         os.path.join(path, "params"))
     if history is not None:
@@ -323,7 +450,11 @@ def load_model(spark: SparkSession, path: str) -> ModelBundle:
     """A4: load a bundle; a missing model is an error (as in the reference)."""
     meta = json.loads(spark.read.text(os.path.join(path, "params")).first()[0])
     models = [PipelineModel.load(os.path.join(path, f"pipeline_{i}")) for i in range(meta["n_models"])]
-    model = models if meta["one_vs_rest"] else models[0]
+    if meta["forest"]:
+        own = meta["forest"]
+        model = ForestModel(os.path.join(path, "forest"), Binning(**own.pop("binning")), **own)
+    else:
+        model = models if meta["one_vs_rest"] else models[0]
     return ModelBundle(model, FeatureSpec(**meta["spec"]), meta["algo"], meta["task"], meta["medians"], meta["params"])
 
 

@@ -23,7 +23,7 @@ from oeeflow.operators.marts_oee import OEE_FEATURES, oee_forecast, oee_forecast
 from oeeflow.operators.metrics import tune_threshold
 from oeeflow.operators.oee import compute_oee
 from oeeflow.operators.windows import DEFAULT_ROWS_PER_CHUNK, chunked_window
-from oeeflow.plans.ml import UNLIMITED_DEPTH, FeatureSpec, ModelBundle, fit, predict
+from oeeflow.plans.ml import UNLIMITED_DEPTH, FeatureSpec, ModelBundle, fit, predict, side_by_side
 from oeeflow.session import materialize
 from oeeflow.schema import (BINARY_LABELS, CATEGORICAL_COLS, DEFAULT_PROBA_CUT, ORDER_COLS, PARTITION_COLS,
                             STATE_LABELS)
@@ -130,7 +130,7 @@ def score_for_report(wo: DataFrame, top_n: int = 20) -> tuple[DataFrame, ModelBu
 def train_all(wo: DataFrame, top_n: int = 20, oee_top_n: int = 30,
               rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK) -> Models:
     """Train the six models on the first 80 % in time (thresholds from the training rows) at
-    ``SIZES``. The OEE model has its own article list (``oee_top_n``); a bundle carries the list
+    ``SIZES``, side by side. The OEE model has its own article list (``oee_top_n``); a bundle carries the list
     that it was trained on."""
     top = [r[0] for r in top_articles(fill_article(wo), top_n).select("article").collect()]  # n values
     base = materialize(prepare_articles(wo, top))
@@ -138,24 +138,29 @@ def train_all(wo: DataFrame, top_n: int = 20, oee_top_n: int = 30,
     split = materialize(temporal_split(index_view(f)))
     train = split.filter("is_train")
     extra = {"top_articles": top}
-    m = Models()
-    m.inefficiency = fit(train, spec_for(train, "inefficiency", LEAKAGE), "forest", "regression", params=SIZES["inefficiency"], extra=extra)
     hs = materialize(temporal_split(hours_view(f))).filter("is_train")
-    m.hours = fit(hs, spec_for(hs, "work_hours", HOURS_LEAKAGE), "boosted", "regression", params=SIZES["hours"], extra=extra)
     b = materialize(label_p85_binary(train, fit_on="all"))
     cut = b.select("anomaly_cut").first()[0]
-    m.anomaly = fit(b, spec_for(b, "label", LEAKAGE), "boosted", "binary", weighted=True, params=SIZES["anomaly"],
-                    extra={**extra, "anomaly_cut": cut, "proba_cut": DEFAULT_PROBA_CUT})
-    m.anomaly3 = fit_anomaly3(split, top)
-    # custom cut: fit on the first 80 % of the training rows, tune the cut on the rest
-    inner = materialize(temporal_split(b.drop("is_train", "_pos")))
-    mc = fit(inner.filter("is_train"), spec_for(b, "label", LEAKAGE), "forest", "binary", weighted=True, params=SIZES["custom_cut"])
-    val = predict(mc, inner.filter("NOT is_train"))
-    tuned = tune_threshold(val, "label", "prob_1").first()
-    m.custom_cut = fit(b, spec_for(b, "label", LEAKAGE), "forest", "binary", weighted=True, params=SIZES["custom_cut"],
-                       extra={**extra, "anomaly_cut": cut, "proba_cut": float(tuned["cut"]) if tuned else DEFAULT_PROBA_CUT})
-    m.oee = fit_oee(wo, oee_top_n, rows_per_chunk)
-    return m
+    binary = spec_for(b, "label", LEAKAGE)
+
+    def custom_cut():
+        # fit on the first 80 % of the training rows, tune the cut on the rest
+        inner = materialize(temporal_split(b.drop("is_train", "_pos")))
+        mc = fit(inner.filter("is_train"), binary, "forest", "binary", weighted=True, params=SIZES["custom_cut"])
+        tuned = tune_threshold(predict(mc, inner.filter("NOT is_train")), "label", "prob_1").first()
+        return fit(b, binary, "forest", "binary", weighted=True, params=SIZES["custom_cut"],
+                   extra={**extra, "anomaly_cut": cut, "proba_cut": float(tuned["cut"]) if tuned else DEFAULT_PROBA_CUT})
+    jobs = {
+        "hours": lambda: fit(hs, spec_for(hs, "work_hours", HOURS_LEAKAGE), "boosted", "regression", params=SIZES["hours"], extra=extra),
+        "oee": lambda: fit_oee(wo, oee_top_n, rows_per_chunk),
+        "anomaly": lambda: fit(b, binary, "boosted", "binary", weighted=True, params=SIZES["anomaly"],
+                               extra={**extra, "anomaly_cut": cut, "proba_cut": DEFAULT_PROBA_CUT}),
+        "inefficiency": lambda: fit(train, spec_for(train, "inefficiency", LEAKAGE), "forest", "regression",
+                                    params=SIZES["inefficiency"], extra=extra),
+        "anomaly3": lambda: fit_anomaly3(split, top),
+        "custom_cut": custom_cut,
+    }
+    return Models(**dict(zip(jobs, side_by_side(list(jobs.values())))))
 
 
 def _score_column(bundle: ModelBundle, how: str) -> F.Column:

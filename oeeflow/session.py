@@ -67,3 +67,21 @@ def materialize(df, name: str = "table"):
     path = shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run: once per application it is zipped and
+    handed to them with ``addPyFile`` (needless, and harmless, where it is installed)."""
+    import zipfile
+    sc = spark.sparkContext
+    if any(x.startswith("oeeflow-") for x in sc._python_includes):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="oeeflow-ship-"), f"oeeflow-{os.getpid()}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
