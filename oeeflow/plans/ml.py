@@ -355,8 +355,8 @@ def _forest_scores(df: DataFrame, spec: FeatureSpec, task: str, points: list[dic
     trees, greatest depth and least split size, and all points are read off it in one pass."""
     cuts = [_forest_cut(p, task) for p in points]
     largest = {**points[0], "numTrees": max(c[0] for c in cuts), "maxDepth": max(c[1] for c in cuts), "minSamplesSplit": min(c[2] for c in cuts)}
-    by_fold = []
-    for f in range(k):  # one after another: a forest's trees fill the cores
+
+    def fold(f):
         train, test = fold_parts(df, f, fold_col, train_col)
         bundle = fit(train, spec, "forest", task, weighted, largest)
         test = fill_features(test, spec, bundle.medians).repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
@@ -372,7 +372,8 @@ def _forest_scores(df: DataFrame, spec: FeatureSpec, task: str, points: list[dic
         for i in range(len(cuts)):
             m = fold_metrics(scored, spec.label, task, f"p{i}").select(F.lit(i).alias("point"), F.col(metric).alias("score"))
             per = m if per is None else per.unionByName(m)
-        by_fold.append({r["point"]: r["score"] for r in per.collect()})    # a row for each point
+        return {r["point"]: r["score"] for r in per.collect()}              # a row for each point
+    by_fold = side_by_side([lambda f=f: fold(f) for f in range(k)], at_once=3)
     return [sum(scores[i] for scores in by_fold) / k for i in range(len(cuts))]
 
 
