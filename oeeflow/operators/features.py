@@ -7,6 +7,8 @@ instead of landing in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,9 +96,35 @@ def cycle_stats_by_article_phase(ref: DataFrame, keys: tuple[str, ...] = ("artic
             .agg(F.avg(value).alias("cycle_mean_art"), F.stddev_samp(value).alias("cycle_std_art")))
 
 
+def cycle_history(ref: DataFrame, keys: tuple[str, ...] = ("article", "phase"), value: str = "cycle_hours") -> DataFrame:
+    """The statistics of D11 in a form that can be saved and added to: per (article, phase) the rows with a
+    value, their mean and their sum of squared deviations."""
+    known = ref.filter(F.col(value).isNotNull() & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    return known.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"),
+                                    (F.var_pop(value) * F.count(value)).alias("squares"))
+
+
+def merge_cycle_history(*parts: DataFrame, keys: tuple[str, ...] = ("article", "phase")) -> DataFrame:
+    """One history of several: what :func:`cycle_history` gives for all their rows together."""
+    every = reduce(DataFrame.unionByName, parts)
+    whole = every.groupBy(*keys).agg(F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean"))
+    apart = F.col("squares") + F.col("n") * F.pow(F.col("mean") - F.col("_mean"), 2)
+    return (every.join(whole, list(keys)).groupBy(*keys, "_n", "_mean").agg(F.sum(apart).alias("squares"))
+            .withColumnsRenamed({"_n": "n", "_mean": "mean"}))
+
+
 def join_cycle_stats(df: DataFrame, history: DataFrame | None = None,
                      keys: tuple[str, ...] = ("article", "phase")) -> DataFrame:
-    """Left join of the (article, phase) cycle statistics; a missing std becomes 0."""
+    """Left join of the (article, phase) cycle statistics; a missing std becomes 0. ``history`` is a
+    table of rows, or a saved :func:`cycle_history`: its groups come first, and a group that it does not
+    know takes the statistics of ``df`` itself."""
+    if history is not None and {"n", "mean", "squares"} <= set(history.columns):
+        std = F.when(F.col("n") > 1, F.sqrt(F.col("squares") / (F.col("n") - 1)))
+        stats = history.select(*keys, F.col("mean").alias("cycle_mean_art"), F.coalesce(std, F.lit(0.0)).alias("cycle_std_art"))
+        if "cycle_hours" in df.columns:
+            own = cycle_stats_by_article_phase(df, keys).join(stats.select(*keys), list(keys), "left_anti")
+            stats = stats.unionByName(own.select(*stats.columns))
+        return df.join(stats, list(keys), "left").withColumn("cycle_std_art", F.coalesce("cycle_std_art", F.lit(0.0)))
     ref = history if history is not None else df
     if "cycle_hours" not in ref.columns:
         return df.withColumns({"cycle_mean_art": F.lit(None).cast("double"),

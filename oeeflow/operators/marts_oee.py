@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oeeflow.functions.scalars import month_label, week_label
@@ -108,18 +108,13 @@ def oee_order_table(o: DataFrame, digits: int = 4) -> DataFrame:
 def last_n_per_group(df: DataFrame, keys: list[str], value: str, n: int = 3,
                      order_by: list[str] | None = None) -> DataFrame:
     """Per group, the last ``n`` non-NULL values in time order as ``{value}_last1..n``
-    (1 = most recent). ``n`` rounds of a partial-aggregated max: no group is ever gathered."""
+    (1 = most recent). The limit on the row number is applied before the shuffle, too (Spark's window
+    group limit), so a task sends ``n`` rows of a group however many it reads."""
     order = [c for c in (order_by or ORDER_COLS) if c in df.columns]
-    d = df.filter(F.col(value).isNotNull()).select(*keys, *order, value)
-    d = d.withColumn("_ok", F.struct(*[F.col(c) for c in order]))
-    out = None
-    cur = d
-    for i in range(1, n + 1):
-        g = cur.groupBy(*keys).agg(F.max("_ok").alias(f"_k{i}"), F.max_by(value, "_ok").alias(f"{value}_last{i}"))
-        out = g if out is None else _join_on(out, g, keys, "left")
-        if i < n:
-            cur = _join_on(cur, g.select(*keys, f"_k{i}"), keys).filter(F.col("_ok") < F.col(f"_k{i}")).drop(f"_k{i}")
-    return out.drop(*[f"_k{i}" for i in range(1, n + 1)])
+    latest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    d = df.filter(F.col(value).isNotNull()).select(*dict.fromkeys([*keys, *order, value]))
+    d = d.withColumn("_r", F.row_number().over(latest)).filter(F.col("_r") <= n)
+    return d.groupBy(*keys).agg(*[F.max(F.when(F.col("_r") == i, F.col(value))).alias(f"{value}_last{i}") for i in range(1, n + 1)])
 
 
 # engine names of the OEE model features (fixed list, as the reference's feature list)
@@ -127,6 +122,11 @@ OEE_FEATURES = ["phase", "work_center_planned", "article_group", "qty_erp", "set
                 "erp_machine_hours", "erp_setup_hours", "cycle_hours", "erp_setup_machine_ratio",
                 "pct_setup", "pct_stops", "pct_scrap", "cycle_mean_art", "cycle_std_art", "weekday",
                 "month", "iso_week", "rolling_oee_3", "lag_1_oee", "lag_2_oee", "lag_3_oee"]
+# columns known before an order runs; the others of OEE_FEATURES are measured while it runs
+KNOWN_BEFORE = ["phase", "work_center_planned", "article_group", "qty_erp", "erp_machine_hours", "erp_setup_hours", "cycle_hours",
+                "erp_setup_machine_ratio", "cycle_mean_art", "cycle_std_art", "weekday", "month", "iso_week",
+                "rolling_oee_3", "lag_1_oee", "lag_2_oee", "lag_3_oee"]
+FEATURE_SETS = {"as_is": OEE_FEATURES, "plan_only": KNOWN_BEFORE}
 _CALENDAR = ["weekday", "month", "iso_week"]
 _LAGS = ["rolling_oee_3", "lag_1_oee", "lag_2_oee", "lag_3_oee"]
 

@@ -133,6 +133,15 @@ def overfit_check(train: DataFrame, test: DataFrame, label: str, pred: str, max_
     return j.withColumns({"gap": gap, "verdict": F.when(gap > max_gap, "OVERFITTING").otherwise("OK")})
 
 
+def error_by_split(train: DataFrame, test: DataFrame, label: str, pred: str, max_gap: float | None = None) -> DataFrame:
+    """J21 (regression): train and test RMSE, their gap (test - train) and, with ``max_gap``, the verdict."""
+    rmse = F.sqrt(F.avg(F.pow(F.col(label) - F.col(pred), 2)))
+    j = train.agg(rmse.alias("train_rmse")).crossJoin(test.agg(rmse.alias("test_rmse")))  # one row each
+    gap = F.col("test_rmse") - F.col("train_rmse")
+    out = j.withColumn("gap", gap)
+    return out if max_gap is None else out.withColumn("verdict", F.when(gap > max_gap, "OVERFITTING").otherwise("OK"))
+
+
 def compare_models(metrics: DataFrame, order: list[Column]) -> DataFrame:
     """Model table ranked by the task's metric (e.g. ``[asc('rmse'), desc('r2')]``);
     ``rank`` 1 is the pick. The table holds one row per model."""

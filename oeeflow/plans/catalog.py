@@ -1456,19 +1456,17 @@ def q_compare_classifiers(spark, sf):
     d = materialize(labels.label_p85_binary(_index_split(spark, sf).drop("anomaly_cut")))
     tr, te = d.filter("is_train"), d.filter("NOT is_train")
     spec = score.spec_for(tr, "label", score.LEAKAGE)
-    rows = []
-    for algo in ["logistic", "tree", "forest", "boosted", "svm"]:
+
+    def run(algo):
         b = ml.fit(tr, spec, algo, "binary", weighted=True)
-        p = ml.predict(b, te)
+        p = materialize(ml.predict(b, te).select("label", "prediction", "prob_1"), "scored")
         rep = metrics.classification_report(p.withColumn("prediction", F.col("prediction").cast("int")), "label", "prediction")
         macro = rep.filter(F.col("class") == "macro avg").select(F.col("f1").alias("f1_macro"))
         acc = rep.filter(F.col("class") == "accuracy").select(F.col("f1").alias("accuracy"))
         rec = metrics.recall_of_class(p, "label", "prediction", 1).withColumnRenamed("recall", "recall_anomaly")
-        if "prob_1" in p.columns:
-            auc = metrics.roc_auc(p, "label", "prob_1").select("auc")
-        else:
-            auc = spark.createDataFrame([(None,)], "auc double")
-        rows.append(macro.crossJoin(acc).crossJoin(rec).crossJoin(auc).select(F.lit(algo).alias("model"), "*"))
+        auc = metrics.roc_auc(p, "label", "prob_1").select("auc")
+        return materialize(macro.crossJoin(acc).crossJoin(rec).crossJoin(auc).select(F.lit(algo).alias("model"), "*"))
+    rows = ml.side_by_side([lambda a=a: run(a) for a in ["logistic", "tree", "forest", "boosted", "kernel_svm"]])
     u = rows[0]
     for r in rows[1:]:
         u = u.unionByName(r)

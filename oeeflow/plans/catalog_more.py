@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from oeeflow.operators import clean, folds, interact, labels, marts_anomaly, metrics, stats
+from oeeflow.operators import clean, encode, features, folds, interact, labels, marts_anomaly, metrics, oee, stats
 from oeeflow.operators.quantiles import quantiles
-from oeeflow.plans import ml
-from oeeflow.plans.catalog import (KEY, KEY_SQL, OEE_CTE, ORDER_TIES, _a_sql, _key_cols, _r6, oee_rows, register,
+from oeeflow.plans import ml, score
+from oeeflow.plans.catalog import (FEAT_CTE, KEY, KEY_SQL, OEE_CTE, SCORED_CTE, TOP_CTE, ORDER_TIES, _a_sql, _key_cols, _r6, oee_rows, register,
                                    scored_rows)
 from oeeflow.plans.oracle_sql import with_wo
+from oeeflow.session import materialize
 from oeeflow.sources.fixture import work_orders
 
 _TIES_SQL = "end_ts, wo, phase, l_partkey, l_suppkey"
@@ -130,3 +131,64 @@ SELECT round(sum(part) / sum(support), 6) AS auc_weighted FROM (
 def q_roc_auc_ovr(spark, sf):
     s = scored_rows(spark, sf).withColumns({"p0": 1 - F.col("prob_anomaly"), "p1": F.abs(F.col("prob_anomaly") - 0.3)})
     return _r6(metrics.roc_auc_ovr_weighted(s, "label3", {0: "p0", 1: "p1", 2: "prob_anomaly"}))
+
+
+_FOLDS = """
+sn AS (SELECT *, row_number() OVER (ORDER BY end_ts, wo, phase, l_partkey, l_suppkey) - 1 AS p, count(*) OVER () AS n FROM scored),
+sf AS (SELECT *, CAST(floor((p - (n - 5 * (n // 6))) / (n // 6)) AS BIGINT) AS fold FROM sn WHERE p >= n - 5 * (n // 6))"""
+
+
+@register("cross_validate_at_cut", with_wo("""
+SELECT round(avg(accuracy), 6) AS accuracy_mean, round(stddev_pop(accuracy), 6) AS accuracy_std, round(avg(recall), 6) AS recall_mean,
+       round(stddev_pop(recall), 6) AS recall_std, round(avg(f1), 6) AS f1_mean, round(stddev_pop(f1), 6) AS f1_std,
+       round(avg(auc), 6) AS auc_mean, round(stddev_pop(auc), 6) AS auc_std
+FROM (SELECT fold, avg(CAST((y = 1) = (s >= 0.3) AS INTEGER)) AS accuracy, hit / greatest(pos, 1) AS recall,
+             2 * hit / greatest(pos + count(*) FILTER (WHERE s >= 0.3), 1) AS f1, max(a) AS auc
+      FROM (SELECT *, count(*) FILTER (WHERE y = 1 AND s >= 0.3) OVER (PARTITION BY fold) AS hit, count(*) FILTER (WHERE y = 1) OVER (PARTITION BY fold) AS pos,
+                   (sum(rk) FILTER (WHERE y = 1) OVER (PARTITION BY fold) - np * (np + 1) / 2) / (np * (nn - np)) AS a
+            FROM (SELECT fold, is_anomaly AS y, prob_anomaly AS s, rank() OVER (PARTITION BY fold ORDER BY prob_anomaly)
+                         + (count(*) OVER (PARTITION BY fold, prob_anomaly) - 1) / 2.0 AS rk,
+                         count(*) FILTER (WHERE is_anomaly = 1) OVER (PARTITION BY fold) AS np, count(*) OVER (PARTITION BY fold) AS nn FROM sf) x) y
+      GROUP BY fold, hit, pos) z""", FEAT_CTE, TOP_CTE, SCORED_CTE, _FOLDS))
+def q_cross_validate_at_cut(spark, sf):
+    """J13 at a fixed cut: five expanding folds of rows whose score is given."""
+    s = folds.time_series_folds(scored_rows(spark, sf)).filter("test_fold is not null").withColumn("fold", F.col("test_fold").cast("int"))
+    return _r6(ml.cross_validate_at_cut(materialize(s.select("fold", "is_anomaly", "prob_anomaly")), "is_anomaly", "prob_anomaly", 0.3))
+
+
+@register("error_by_split", _a_sql("""
+SELECT round(a, 6) AS train_rmse, round(b, 6) AS test_rmse, round(b - a, 6) AS gap, CASE WHEN b - a > 0.05 THEN 'OVERFITTING' ELSE 'OK' END AS verdict
+FROM (SELECT sqrt(avg(e) FILTER (WHERE is_train)) AS a, sqrt(avg(e) FILTER (WHERE NOT is_train)) AS b
+      FROM (SELECT pow(inefficiency - lag_1, 2) AS e, row_number() OVER (ORDER BY end_ts, wo, phase, l_partkey, l_suppkey) - 1
+                   < floor(CAST(count(*) OVER () AS DOUBLE) * 0.8) AS is_train FROM scored) t) u"""))
+def q_error_by_split(spark, sf):
+    """RMSE gap of a given prediction (the index of the order before)."""
+    s = folds.temporal_split(scored_rows(spark, sf))
+    return _r6(metrics.error_by_split(s.filter("is_train"), s.filter("NOT is_train"), "inefficiency", "lag_1", 0.05))
+
+
+@register("cycle_history", with_wo("""
+SELECT article, phase, count(*) AS n, round(avg(cycle_hours), 6) AS mean, round(coalesce(stddev_samp(cycle_hours), 0), 6) AS std
+FROM work_orders WHERE article IS NOT NULL AND phase IS NOT NULL AND cycle_hours IS NOT NULL GROUP BY article, phase"""))
+def q_cycle_history(spark, sf):
+    """The history of three parts of the orders, saved, read back and merged."""
+    wo = work_orders(spark, sf)
+    parts = [materialize(features.cycle_history(wo.filter(F.col("l_partkey") % 3 == k)), "cycle-history") for k in range(3)]
+    h = features.merge_cycle_history(*parts)
+    std = F.when(F.col("n") > 1, F.sqrt(F.greatest(F.col("squares"), F.lit(0.0)) / (F.col("n") - 1))).otherwise(0.0)
+    return h.select("article", "phase", "n", F.round("mean", 6).alias("mean"), F.round(std, 6).alias("std"))
+
+
+@register("compare_feature_sets")
+def q_compare_feature_sets(spark, sf):
+    """The OEE forest with all features and with those known before the order, on the last 20 % in time."""
+    wo = work_orders(spark, sf)
+    o = features.add_oee_features(oee.compute_oee(score.prepare_articles(wo, encode.top_articles(wo, 30)))).filter("oee is not null")
+    o = materialize(folds.temporal_split(o))
+    out = None
+    for name in ("as_is", "plan_only"):
+        b = ml.fit(o.filter("is_train"), score.oee_spec(o, name), "forest", "regression", params={"numTrees": 100})
+        m = metrics.regression_metrics(ml.predict(b, o.filter("NOT is_train")), "oee", "prediction")
+        one = m.select(F.lit(name).alias("feature_set"), F.lit(len(b.spec.numeric) + len(b.spec.categorical)).alias("n_features"), "r2", "mae", "rmse")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
@@ -30,6 +31,7 @@ from oeeflow.operators.metrics import roc_auc
 from oeeflow.operators.quantiles import quantiles
 from oeeflow.operators.windows import _join_on
 from oeeflow.plans.forest import Binning, ForestModel, fit_forest
+from oeeflow.plans.kernel import KernelSVM, fit_kernel_svm
 from oeeflow.schema import MISSING
 from oeeflow.session import materialize
 
@@ -46,7 +48,7 @@ class FeatureSpec:
 
 @dataclass
 class ModelBundle:
-    model: PipelineModel | list[PipelineModel] | ForestModel
+    model: PipelineModel | list[PipelineModel] | ForestModel | KernelSVM
     spec: FeatureSpec
     algo: str
     task: str                              # "regression" | "binary" | "multiclass"
@@ -111,7 +113,7 @@ def prep_stages(spec: FeatureSpec, kind: str = "tree", binary: set[str] | None =
 
 # ---------------------------------------------------------------- learners
 
-LINEAR_ALGOS = {"linear", "ridge", "lasso", "logistic", "svm"}
+LINEAR_ALGOS = {"linear", "ridge", "lasso", "logistic", "svm", "kernel_svm"}
 
 
 def make_estimator(algo: str, task: str, label: str, n_rows: int | None = None, weight_col: str | None = None,
@@ -139,8 +141,9 @@ def make_estimator(algo: str, task: str, label: str, n_rows: int | None = None,
                                 featureSubsetStrategy=p.get("featureSubsetStrategy", "all"), **common)
     else:
         w = {"weightCol": weight_col} if weight_col else {}
+        l2 = 1.0 / max(n_rows or 1, 1)  # C = 1: one over the sum of weights (balanced weights sum to the rows)
         if algo == "logistic":
-            return LogisticRegression(maxIter=p.get("maxIter", 1000), regParam=p.get("regParam", 0.0),
+            return LogisticRegression(maxIter=p.get("maxIter", 1000), regParam=p.get("regParam", l2), standardization=False,
                                       family="auto", **common, **w)
         if algo == "tree":
             return DecisionTreeClassifier(seed=SEED, maxDepth=p.get("maxDepth", 6),
@@ -154,8 +157,8 @@ def make_estimator(algo: str, task: str, label: str, n_rows: int | None = None,
                                  stepSize=p.get("stepSize", 0.3), subsamplingRate=p.get("subsamplingRate", 0.8),
                                  featureSubsetStrategy=p.get("featureSubsetStrategy", "0.8"),
                                  minInfoGain=p.get("minInfoGain", 0.0), **common, **w)
-        if algo == "svm":  # re-aimed: linear margin instead of an RBF kernel
-            return LinearSVC(maxIter=p.get("maxIter", 100), regParam=p.get("regParam", 0.0), **common, **w)
+        if algo == "svm":  # linear; "kernel_svm" is the RBF one
+            return LinearSVC(maxIter=p.get("maxIter", 100), regParam=p.get("regParam", l2), standardization=False, **common, **w)
     raise ValueError(f"unknown algorithm {algo!r} for {task}")
 
 
@@ -219,6 +222,11 @@ def fit(df: DataFrame, spec: FeatureSpec, algo: str, task: str = "regression", w
     try:
         n_rows = d.count()
         prep = prep_stages(spec, kind, binary)
+        if algo == "kernel_svm":
+            if task != "binary":
+                raise ValueError("kernel_svm is a two-class learner")
+            svm = fit_kernel_svm(d, Pipeline(stages=prep).fit(d), spec.label, wcol, p.get("gamma"), p.get("maxIter", 100), SEED)
+            return ModelBundle(svm, spec, algo, task, medians, {**(extra or {}), "hyper": p})
         if task == "multiclass" and algo in ("boosted", "svm"):
             models = []
             for c in (0, 1, 2):
@@ -261,12 +269,18 @@ def predict(bundle: ModelBundle, df: DataFrame, out: str = "prediction") -> Data
             return t.select(*keep, F.col("_forest")[0].alias(out))
         best = F.array_position("_forest", F.array_max("_forest")) - 1
         return t.select(*keep, best.cast("double").alias(out), *[F.col("_forest")[c].alias(f"prob_{c}") for c in range(bundle.model.classes)])
+    if isinstance(bundle.model, KernelSVM):
+        prob = F.col("_prob")
+        return bundle.model.score(d).select(*keep, (F.col("_margin") > 0).cast("double").alias(out), (1 - prob).alias("prob_0"), prob.alias("prob_1"),
+                                            F.col("_margin").alias("score_1"))
     t = bundle.model.transform(d)
     cols = [F.col("prediction").alias(out)]
     if bundle.task != "regression" and "probability" in t.columns:
         k = 2 if bundle.task == "binary" else 3
         arr = vector_to_array("probability")
         cols += [arr[c].alias(f"prob_{c}") for c in range(k)]
+    elif bundle.algo == "svm":
+        cols.append(vector_to_array("rawPrediction")[1].alias("score_1"))
     return t.select(*keep, *cols)
 
 
@@ -432,14 +446,18 @@ def save_model(bundle: ModelBundle, path: str, history: DataFrame | None = None)
     """A4: MLlib persistence for the pipeline(s) and one JSON row of parameters;
     ``history`` (cycle statistics at training time) is written next to them."""
     spark = SparkSession.getActiveSession()
-    forest, models = None, bundle.model if isinstance(bundle.model, list) else [bundle.model]
+    forest, kernel, models = None, None, bundle.model if isinstance(bundle.model, list) else [bundle.model]
+    if isinstance(bundle.model, KernelSVM):
+        m = bundle.model
+        models = [m.prep, PipelineModel(stages=[m.svm])]
+        kernel = {"weights": m.weights.tolist(), "shifts": m.shifts.tolist(), "slope": m.slope, "intercept": m.intercept}
     if isinstance(bundle.model, ForestModel):
         m, models = bundle.model, []
         spark.read.parquet(m.path).write.mode("overwrite").parquet(os.path.join(path, "forest"))
         forest = {"binning": m.binning.__dict__, "classes": m.classes, "num_trees": m.num_trees, "max_depth": m.max_depth, "tops": m.tops}
     for i, m in enumerate(models):
         m.write().overwrite().save(os.path.join(path, f"pipeline_{i}"))
-    meta = {"forest": forest, "spec": bundle.spec.__dict__, "algo": bundle.algo, "task": bundle.task, "medians": bundle.medians,
+    meta = {"forest": forest, "kernel": kernel, "spec": bundle.spec.__dict__, "algo": bundle.algo, "task": bundle.task, "medians": bundle.medians,
             "params": bundle.params, "n_models": len(models), "one_vs_rest": isinstance(bundle.model, list)}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
         os.path.join(path, "params"))
@@ -451,7 +469,10 @@ def load_model(spark: SparkSession, path: str) -> ModelBundle:
     """A4: load a bundle; a missing model is an error (as in the reference)."""
     meta = json.loads(spark.read.text(os.path.join(path, "params")).first()[0])
     models = [PipelineModel.load(os.path.join(path, f"pipeline_{i}")) for i in range(meta["n_models"])]
-    if meta["forest"]:
+    if meta["kernel"]:
+        own = meta["kernel"]
+        model = KernelSVM(models[0], np.array(own["weights"]), np.array(own["shifts"]), models[1].stages[0], own["slope"], own["intercept"])
+    elif meta["forest"]:
         own = meta["forest"]
         model = ForestModel(os.path.join(path, "forest"), Binning(**own.pop("binning")), **own)
     else:
@@ -459,6 +480,11 @@ def load_model(spark: SparkSession, path: str) -> ModelBundle:
     return ModelBundle(model, FeatureSpec(**meta["spec"]), meta["algo"], meta["task"], meta["medians"], meta["params"])
 
 
+def load_history(spark: SparkSession, path: str) -> DataFrame:
+    """The cycle history that :func:`save_model` wrote next to a model (C1 at scoring)."""
+    return spark.read.parquet(os.path.join(path, "history"))
+
+
 def attach_predictions(df: DataFrame, preds: DataFrame, key: list[str]) -> DataFrame:
     """Left join of predictions on the row key; rows without a score get NULL."""
     return _join_on(df, preds, key, "left")

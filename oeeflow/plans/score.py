@@ -19,7 +19,7 @@ from oeeflow.operators.encode import group_rare_articles, top_articles
 from oeeflow.operators.features import add_oee_features, add_ratio_features, add_time_features, features_classification
 from oeeflow.operators.folds import temporal_split
 from oeeflow.operators.labels import label_for_report, label_p85_binary, label_train_quantiles
-from oeeflow.operators.marts_oee import OEE_FEATURES, oee_forecast, oee_forecast_features
+from oeeflow.operators.marts_oee import FEATURE_SETS, oee_forecast, oee_forecast_features
 from oeeflow.operators.metrics import tune_threshold
 from oeeflow.operators.oee import compute_oee
 from oeeflow.operators.windows import DEFAULT_ROWS_PER_CHUNK, chunked_window
@@ -69,9 +69,11 @@ def spec_for(df: DataFrame, label: str, drop: list[str]) -> FeatureSpec:
     return FeatureSpec(nums, cats, label)
 
 
-def oee_spec(df: DataFrame) -> FeatureSpec:
-    cats = [c for c in OEE_FEATURES if c in df.columns and dict(df.dtypes)[c] == "string"]
-    nums = [c for c in OEE_FEATURES if c in df.columns and c not in cats]
+def oee_spec(df: DataFrame, feature_set: str = "as_is") -> FeatureSpec:
+    """Inputs of the OEE model: ``as_is`` (also what is measured while the order runs) or ``plan_only`` (known before)."""
+    names = FEATURE_SETS[feature_set]
+    cats = [c for c in names if c in df.columns and dict(df.dtypes)[c] == "string"]
+    nums = [c for c in names if c in df.columns and c not in cats]
     return FeatureSpec(nums, cats, "oee")
 
 
