@@ -378,7 +378,7 @@ def _task_links(threshold: float):
 
 
 def text_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(id, n_shingles, sig) of every row; sig is null for an empty set."""
+    """(id, th, n_shingles, sig) of every row: th is a hash of the text, sig is null for an empty set."""
     from oeeflow.llm.shingles import set_hash, shingle_sets
     id_type = docs.schema["id"].dataType.simpleString()
 
@@ -386,16 +386,14 @@ def text_sets(docs: DataFrame, shingle: int) -> DataFrame:
         for batch in slices(batches):
             sets = list(shingle_sets(batch.column(1), shingle))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array([set_hash(x) if len(x) else None for x in sets], pa.int64())], ["id", "n_shingles", "sig"])
+                [batch.column(0), batch.column(2), pa.array([len(x) for x in sets], pa.int64()),
+                 pa.array([set_hash(x) if len(x) else None for x in sets], pa.int64())], ["id", "th", "n_shingles", "sig"])
 
-    return docs.select("id", "text").mapInArrow(run, f"id {id_type}, n_shingles long, sig long")
+    return docs.select("id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, f"id {id_type}, th long, n_shingles long, sig long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    threshold: float = 0.8) -> DataFrame:
-    """One row per document: id, ``n_shingles`` and ``component_id``, the smallest id that links
-    reach (its own included)."""
+def _grouped_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(sets: id, th, n_shingles, sig of every row, written; groups: sig, component, first_id)."""
     spark = docs.sparkSession
     on_workers(spark)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -433,20 +431,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = sets.filter("sig is not null").groupBy("sig").agg(F.min("id").alias("first_id"))
     named = ids.join(linked.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
         "component", F.coalesce("component", "sig"))
+    return sets, named
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                    threshold: float = 0.8) -> DataFrame:
+    """One row per document: id, ``n_shingles`` and ``component_id``, the smallest id that links
+    reach (its own included)."""
+    sets, named = _grouped_sets(docs, id_col, text_col, shingle, threshold)
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_sig = named.join(least, "component").select("sig", "component_id")
-    out = sets.join(of_sig, "sig", "left").select(
+    return sets.join(of_sig, "sig", "left").select(
         F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
-    return out
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
              threshold: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates: that with the smallest id. Rows
-    with the same id and text are one document; a document with a null id stays."""
-    found = written(near_duplicates(docs, id_col, text_col, shingle, threshold), "simjoin-found")
-    gone = found.filter(F.col("component_id") < F.col(id_col)).select(id_col)
-    twice = found.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(id_col)
-    once = docs.join(gone.unionByName(twice), id_col, "left_anti")
-    repeated = docs.join(twice, id_col, "left_semi").join(gone, id_col, "left_anti").dropDuplicates([id_col, text_col])
+    """``docs`` with one document of each group of near duplicates: that with the smallest id, null ids
+    last, then the smallest text hash. A document is an id with a text: rows that repeat both are one
+    document, rows that share an id alone are judged apart. Texts without words stay."""
+    sets, named = _grouped_sets(docs, id_col, text_col, shingle, threshold)
+    of = F.struct(F.col("id").isNull().alias("no_id"), "id", "th")
+    rows = written(sets.join(named.select("sig", "component"), "sig", "left").select("id", "th", "component", of.alias("doc")), "simjoin-found")
+    first = rows.filter("component is not null").groupBy("component").agg(F.min("doc").alias("first"))
+    gone = rows.join(first, "component").filter(~F.col("doc").eqNullSafe(F.col("first")))
+    gone = gone.select(F.col("id").alias("_id"), F.col("th").alias("_th")).distinct()
+    twice = rows.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    hashed = docs.withColumn("_text_hash", F.xxhash64(text_col))
+
+    def same(other):
+        return hashed[id_col].eqNullSafe(other["_id"]) & (hashed["_text_hash"] == other["_th"])
+    either = gone.unionByName(twice)
+    once = hashed.join(either, same(either), "left_anti")
+    repeated = hashed.join(twice, same(twice), "left_semi").join(gone, same(gone), "left_anti").dropDuplicates([id_col, "_text_hash"])
     return once.unionByName(repeated).select(*docs.columns)

@@ -227,10 +227,53 @@ def test_keep_one_and_empty_tables(spark):
     kept = keep_one(docs, shingle=4, threshold=0.85)
     assert kept.columns == docs.columns
     ids = Counter(r["doc_id"] for r in kept.collect())
-    assert ids[1] == 1 and not ids[2] and not ids[12] and ids[4] == 1 and ids[None] == 1 and ids[5] == ids[6] == 1
+    assert ids[1] == 1 and not ids[2] and not ids[12] and ids[4] == 1 and not ids[None] and ids[5] == ids[6] == 1
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_keep_one_judges_texts_not_ids(spark):
+    from oeeflow.llm.simjoin import keep_one
+    a, b, c = sentence(1, 80), sentence(2, 80), sentence(3, 80)
+    rows = [(1, a), (2, a + " tail"), (2, b), (3, b + " end"), (3, b + " end"), (3, c), (None, c + " more"), (None, sentence(4, 80)),
+            (None, sentence(4, 80) + " x"), (7, None), (7, ""), (7, None)]
+    kept = Counter((r["doc_id"], r["text"]) for r in keep_one(documents(spark, rows), shingle=4, threshold=0.85).collect())
+    want = Counter([(1, a), (2, b), (3, c), (7, None), (7, "")])
+    assert {k: n for k, n in kept.items() if k[0] is not None} == want
+    assert sum(n for k, n in kept.items() if k[0] is None) == 1          # one of the two near copies without id
+
+
+def test_packing_survives_other_parallelism(spark, monkeypatch):
+    """Each written table is read with other splits, as when executors come or go between jobs."""
+    from oeeflow.llm import packing
+    plain, calls = packing.written, []
+
+    def written(df, name):
+        calls.append(name)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", ["64k", "8m", "16k", "128m"][len(calls) % 4])
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", str([2, 7, 3][len(calls) % 3]))
+        return plain(df, name)
+    monkeypatch.setattr(packing, "written", written)
+    rng = random.Random(8)
+    rows = [(i, 0, 0, rng.randint(1, 4000), 1) for i in range(9000)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(6)
+    try:
+        got = packing.best_fit_pack(df, shard_pieces=2000).collect()
+    finally:
+        for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.leafNodeDefaultParallelism"):
+            spark.conf.unset(k)
+    assert sorted(r["doc_id"] for r in got) == list(range(9000)) and len(calls) > 4
+    bins = {}
+    for r in got:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    assert len(bins) <= 1.02 * -(-sum(r[3] for r in rows) // 4096) + 2
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
     rows = [(i, f"the of and {t}") for i, t in near_rows() if i is not None]
