@@ -388,8 +388,20 @@ def page_number(urn: Column) -> Column:
     return F.when(digits != "", digits).cast("long")
 
 
+def read_measured(spark: SparkSession, path: str) -> DataFrame:
+    """The responses and revisits of an archive without their payloads: length and digest of a response are taken from
+    the payload that was read (a record that was spoilt on the way shows), those of a revisit, whose
+    payload is not there, from its headers. Both reads push the record type down."""
+    full = read_archive(spark, path).filter("record_type = 'response'")
+    body = F.coalesce("payload", F.lit(b""))
+    full = full.withColumns({"payload_digest": F.sha1(body), "payload_bytes": F.length(body).cast("long"), "payload": F.lit(None).cast("binary")})
+    full = full.select(*NAMES).mapInArrow(_base32_digests, SCHEMA)
+    rest = read_archive(spark, path, payload=False).filter("record_type = 'revisit'")
+    return full.unionByName(rest.select(*NAMES))
+
+
 def archived_pages(pages: DataFrame, **options) -> DataFrame:
-    """Archive ``pages`` in the shared folder and read the records' headers back."""
+    """Archive ``pages`` in the shared folder and read the records back (:func:`read_measured`)."""
     path = scratch_path(pages.sparkSession, "warc")
     archive_pages(pages, path, **options)
-    return read_archive(pages.sparkSession, path, payload=False)
+    return read_measured(pages.sparkSession, path)

@@ -171,6 +171,20 @@ def test_archives_round_trip(spark, tmp_path):
     assert read_archive(spark, str(tmp_path / "c")).count() == 0
 
 
+def test_a_spoilt_record_changes_its_row(spark, tmp_path):
+    from oeeflow.llm.warc import archive_pages, page_number, read_measured
+    archive_pages(spark.createDataFrame(PAGES, "page_id long, url string, html string"), str(tmp_path / "e"))
+    (tmp_path / "f").mkdir()
+    raw = b"".join(gzip.decompress(p.read_bytes()) for p in sorted((tmp_path / "e").glob("*.gz")))
+    (tmp_path / "f/whole.warc").write_bytes(raw)
+    (tmp_path / "g").mkdir()
+    (tmp_path / "g/spoilt.warc").write_bytes(raw.replace(b"x" * 500, b"x" * 499 + b"y", 1))
+    read = {k: Counter((r["id"], r["record_type"], r["payload_bytes"], r["payload_digest"]) for r in
+                       read_measured(spark, str(tmp_path / k)).withColumn("id", page_number(F.col("record_id"))).collect()) for k in "efg"}
+    assert read["e"] == read["f"] and sum(read["e"].values()) == len(PAGES)
+    assert [k[0] for k in (read["g"] - read["e"])] == [9] and sum((read["g"] - read["e"]).values()) == 1
+
+
 def test_small_payloads_are_not_revisits(spark, tmp_path):
     from oeeflow.llm.warc import archive_pages, read_archive
     archive_pages(spark.createDataFrame(PAGES, "page_id long, url string, html string"), str(tmp_path / "d"), min_payload=3)
