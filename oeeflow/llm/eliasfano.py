@@ -100,17 +100,21 @@ class EliasFano:
 
     def find(self, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index, whether it equals x) of the first element not below x among the elements lo to hi - 1."""
-        lo, hi, end = lo.copy(), hi.copy(), hi
+        x, h = x.astype(np.uint64), (x >> np.uint64(self.l)).astype(np.int64)
+        # of the range, the elements with the same high part
+        first = np.where(h > 0, self._zero(np.maximum(h - 1, 0)) - (h - 1), 0)
+        lo, end = np.clip(first, lo, hi), np.clip(self._zero(h) - h, lo, hi)
+        hi, target = end.copy(), x & np.uint64((1 << self.l) - 1)
         open_ = np.flatnonzero(lo < hi)
         while len(open_):
             mid = (lo[open_] + hi[open_]) >> 1
-            below = self.get(mid) < x[open_]
+            below = self._low_at(mid) < target[open_]
             lo[open_] = np.where(below, mid + 1, lo[open_])
             hi[open_] = np.where(below, hi[open_], mid)
             open_ = open_[lo[open_] < hi[open_]]
         found = np.zeros(len(x), bool)
         k = np.flatnonzero(lo < end)
-        found[k] = self.get(lo[k]) == x[k]
+        found[k] = self._low_at(lo[k]) == target[k]
         return lo, found
 
     def get(self, i: np.ndarray) -> np.ndarray:
@@ -137,8 +141,8 @@ def _filesystem(path: str):
 
 
 def write_level(folder: str, name: str, **parts) -> str:
-    """One file with named arrays and Elias-Fano sequences; the name gets a unique ending, so that
-    a repeated task attempt never meets another's file. Returns the path."""
+    """One file with named arrays and Elias-Fano sequences. It gets its name when it is whole; a repeated
+    task attempt puts the same bytes in its place. Returns the path."""
     flat: list[tuple[str, np.ndarray]] = []
     head: dict = {"arrays": [], "sequences": {}}
     for key, part in parts.items():
@@ -153,13 +157,15 @@ def write_level(folder: str, name: str, **parts) -> str:
         at += -(-array.nbytes // 8) * 8
     text = json.dumps(head).encode()
     text += b" " * (-(len(text) + 8) % 8)
-    store, where = _filesystem(f"{folder}/{name}-{uuid.uuid4().hex}")
+    store, where = _filesystem(f"{folder}/{name}")
+    part = f"{where}.{uuid.uuid4().hex}"
     store.create_dir(os.path.dirname(where), recursive=True)
-    with store.open_output_stream(where) as out:
+    with store.open_output_stream(part) as out:
         out.write(len(text).to_bytes(8, "little") + text)
         for _, array in flat:
             out.write(np.ascontiguousarray(array).tobytes() + b"\0" * (-array.nbytes % 8))
-    return f"{folder}/{os.path.basename(where)}"
+    store.move(part, where)
+    return f"{folder}/{name}"
 
 
 def open_level(path: str) -> dict:

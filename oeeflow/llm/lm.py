@@ -10,48 +10,56 @@ interpolates absolutely discounted counts with the next shorter context, down to
 
 for pairs counted at least ``min_pair`` times (1: all) and all triples whose first pair is kept; the
 mass of the others is part of ``back``, so every context sums to 1. The trie is a set of level files
-in the shared folder: words (Elias-Fano over their hashes, with counts) and, for each longer level,
-contexts (Elias-Fano over the ids of the level above, with quantised back-off weights) and grams
-(contexts, monotone pointers to their successors, and successors relative to their context, with
-quantised log probabilities). The id of a gram is its place in its level. Levels are cut into shards
-by hash, so a word or context with a third of all tokens still spreads evenly. Scorers map the files
-into memory and search all distinct grams of a block of texts at once, a gram inside the range that
-its context's pointers give.
+in the shared folder. Words (Elias-Fano over their hashes, with counts) and the back-off weights of
+words (Elias-Fano over their ids) are cut by hash. Pairs and triples take one exchange: every task
+counts the triples of a few megabytes of text, cuts them by the hash of their first pair and sends
+each shard's sorted, column-wise block as one row; a shard's task merges its blocks as they come. A
+pair's count is the sum of its triples, so its file holds both levels: contexts, monotone pointers to
+their successors, successors relative to their context, quantised log probabilities (the discounted
+part; the shorter contexts' part is added by the weights), then pointers to the third words, those
+words and their log probabilities. ``back(b, c)`` is the discount times the number of third words over the
+pair's count. A frequent pair reaches its task once for each third word and run of texts, never once
+a row; the task holds its distinct triples. Scorers map a file into memory when a text first needs it
+and search all distinct grams of a run of texts at once, each inside the range that its context's
+pointers give.
 
 Defined results: null and empty texts are one end token; a null id trains and is not held out;
 repeated rows are counted and scored each; without training texts every token has probability 1.
-An empty table gives an empty result. Other columns are not read.
+An empty table gives an empty result. Other columns are not read. Texts are hashed a run at a time; a
+text longer than a run is a run of its own, whole.
 """
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oeeflow.llm.common import on_workers, scratch_path, slices
+from oeeflow.llm.common import on_workers, scratch_path, slices, written
 
 END, BEGIN = np.uint64(0x7E57ED0E5EED0001), np.uint64(0x7E57ED0E5EED0002)
-SHARD_ROWS = 1 << 20
+SHARD_ROWS = 1 << 20       # words of a word file; a gram file has two training tokens for each of these
+RUN_TOKENS = 600_000       # tokens of the runs of texts that are counted or scored at once
 STEP = 1 / 4096            # quantum of stored log10 probabilities and back-off weights
 FLUSH = 1_500_000          # distinct keys that a counting task holds
+OPEN_FILES = 512           # files that a scorer keeps mapped
 
 
 @dataclass
 class TrieFiles:
+    """Where the level files are; their names follow from the folder and the numbers of shards."""
     n: int = 0             # training tokens N
     v: int = 0             # distinct training tokens V
+    discount: float = 0.75
     words: list = field(default_factory=list)      # (path, first id) by hash range
-    contexts: list = field(default_factory=list)   # paths by id range
-    pairs: list = field(default_factory=list)      # (path, first id) by hash of the pair
-    n_pairs: int = 0
-    contexts3: list = field(default_factory=list)  # paths by pair id
-    triples: list = field(default_factory=list)    # (path, first id) by hash of pair id and word
+    folder: str = ""
+    n_contexts: int = 0    # files of back-off weights, by word id
+    n_grams: int = 0       # files of pairs and triples, by hash of the pair
 
 
 def held_out(id_col: Column, remainder: int = 1) -> Column:
@@ -100,6 +108,23 @@ def _counter(extract, names: tuple[str, ...]):
     return run
 
 
+def _runs(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(batches, words, bounds) of runs of whole texts of about RUN_TOKENS."""
+    from oeeflow.llm.shingles import word_hashes
+    held, words, sizes, total = [], [], [], 0
+    for batch in slices(batches):
+        held.append(batch)
+        for _, part, at in word_hashes(batch.column(column)):
+            words.append(part)
+            sizes.append(np.diff(at))
+            total += len(part) + len(at) - 1
+        if total > RUN_TOKENS:
+            yield held, np.concatenate(words), np.append(0, np.cumsum(np.concatenate(sizes)))
+            held, words, sizes, total = [], [], [], 0
+    if total:
+        yield held, np.concatenate(words), np.append(0, np.cumsum(np.concatenate(sizes)))
+
+
 class Trie:
     """Reader of the level files."""
 
@@ -107,10 +132,16 @@ class Trie:
         from oeeflow.llm.eliasfano import open_level
         self.f = files
         self.words = [(open_level(p), first) for p, first in files.words]
-        self.contexts = {2: [open_level(p) for p in files.contexts], 3: [open_level(p) for p in files.contexts3]}
-        self.grams = {2: [(open_level(p), first) for p, first in files.pairs],
-                      3: [(open_level(p), first) for p, first in files.triples]}
         self.unknown = files.n + 0.5 * (files.v + 1)
+        self.opened: dict[str, dict] = {}
+
+    def level(self, name: str) -> dict:
+        from oeeflow.llm.eliasfano import open_level
+        if name not in self.opened:
+            if len(self.opened) >= OPEN_FILES:
+                self.opened.pop(next(iter(self.opened)))
+            self.opened[name] = open_level(f"{self.f.folder}/{name}")
+        return self.opened[name]
 
     def word_ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(id, count) of distinct hashes; unknown words have id -1 and count 0."""
@@ -127,57 +158,55 @@ class Trie:
     def p1(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / self.unknown
 
-    def back(self, contexts: np.ndarray, level: int = 2) -> np.ndarray:
-        """Back-off weight of each context id (level 2: words, BEGIN is V; level 3: pairs)."""
+    def back(self, contexts: np.ndarray) -> np.ndarray:
+        """Back-off weight of each word id (the mark is V, an unknown word -1)."""
         out = np.ones(len(contexts))
-        files = self.contexts[level]
-        if files:
-            shard = contexts % len(files)
-            for s, own in enumerate(files):
-                k = np.flatnonzero((shard == s) & (contexts >= 0))
-                if len(k) and own["ids"].n:
-                    at, found = own["ids"].successor(contexts[k].astype(np.uint64))
-                    out[k[found]] = 10.0 ** (-STEP * own["back"][at[found]].astype(float))
-        return out
-
-    def context_counts(self, contexts: np.ndarray, level: int) -> np.ndarray:
-        """How often each of these contexts, all of the level, was counted."""
-        out, files = np.zeros(len(contexts), np.int64), self.contexts[level]
-        for s, own in enumerate(files):
-            k = np.flatnonzero(contexts % len(files) == s)
-            if len(k):
-                out[k] = own["counts"][own["ids"].successor(contexts[k].astype(np.uint64))[0]]
-        return out
-
-    def last_words(self, pairs: np.ndarray) -> np.ndarray:
-        """The second word's id of each pair id."""
-        out = np.zeros(len(pairs), np.int64)
-        shard = np.searchsorted(np.array([first for _, first in self.grams[2]]), pairs, "right") - 1
-        for s, (own, first) in enumerate(self.grams[2]):
-            k = np.flatnonzero(shard == s)
-            if len(k):
-                out[k] = own["successors"].get(pairs[k] - first).astype(np.int64) % self.f.v
+        shard = contexts % max(1, self.f.n_contexts)
+        for s in np.unique(shard[contexts >= 0]).tolist() if self.f.n_contexts else ():
+            k = np.flatnonzero((shard == s) & (contexts >= 0))
+            own = self.level(f"contexts-{s}")
+            if own["ids"].n:
+                at, found = own["ids"].successor(contexts[k].astype(np.uint64))
+                out[k[found]] = 10.0 ** (-STEP * own["back"][at[found]].astype(float))
         return out
 
-    def gram(self, contexts: np.ndarray, words: np.ndarray, level: int = 2) -> tuple[np.ndarray, np.ndarray]:
-        """(id, log10 p(w|context)) of kept grams; -1 and nan otherwise."""
-        ids, out = np.full(len(contexts), -1, np.int64), np.full(len(contexts), np.nan)
-        if self.grams[level]:
-            shard = _shard_of_pair(contexts, words, len(self.grams[level]))
-            for s, (own, first) in enumerate(self.grams[level]):
-                k = np.flatnonzero(shard == s)
-                if not len(k) or not own["contexts"].n:
-                    continue
-                place, found = own["contexts"].successor(contexts[k].astype(np.uint64))
-                k, place = k[found], place[found]
-                # successors are stored relative to their context's place
-                wanted = place * np.int64(self.f.v) + words[k]
-                at, found = own["successors"].find(wanted.astype(np.uint64), own["pointers"].get(place).astype(np.int64),
-                                                   own["pointers"].get(place + 1).astype(np.int64))
-                k, at = k[found], at[found]
-                ids[k] = first + at
-                out[k] = -STEP * own["prob"][at].astype(float)
-        return ids, out
+    def grams(self, b: np.ndarray, c: np.ndarray, of: np.ndarray, w: np.ndarray):
+        """Of pairs (b, c): the discounted p(c|b), 0 where there is no such pair. Of triples (pair
+        ``of``, third word w): the discounted p(w|b,c). And ``back`` of every pair, 1 where no triple begins with it."""
+        two, three, back = np.zeros(len(b)), np.zeros(len(w)), np.ones(len(b))
+        if not self.f.n_grams:
+            return two, three, back
+        shard = np.where((b >= 0) & (c >= 0), _shard_of_pair(b, c, self.f.n_grams), -1)
+        by_pair, by_triple = np.argsort(shard, kind="stable"), np.argsort(shard[of], kind="stable")
+        pair_at = np.searchsorted(shard[by_pair], np.arange(self.f.n_grams + 1))
+        triple_at = np.searchsorted(shard[of][by_triple], np.arange(self.f.n_grams + 1))
+        size = np.int64(self.f.v + 1)
+        node = np.full(len(b), -1, np.int64)
+        for s in np.flatnonzero(np.diff(pair_at)).tolist():
+            k = by_pair[pair_at[s]:pair_at[s + 1]]
+            own = self.level(f"grams-{s}")
+            if not own["contexts"].n:
+                continue
+            place, found = own["contexts"].successor(b[k].astype(np.uint64))
+            k, place = k[found], place[found]
+            # successors are stored relative to their context's place
+            at, found = own["successors"].find((place * size + c[k]).astype(np.uint64), own["pointers"].get(place).astype(np.int64),
+                                               own["pointers"].get(place + 1).astype(np.int64))
+            k, at = k[found], at[found]
+            node[k] = at
+            two[k] = 10.0 ** (-STEP * own["prob"][at].astype(float))
+            first, last = (own["pointers3"].get(at + i).astype(np.int64) for i in (0, 1))
+            more = last > first
+            back[k[more]] = self.f.discount * (last - first)[more] / own["counts"][at[more]]
+            t = by_triple[triple_at[s]:triple_at[s + 1]]
+            t = t[(node[of[t]] >= 0) & (w[t] >= 0)]
+            if not len(t) or not own["successors3"].n:
+                continue
+            lo, hi = np.zeros((2, len(b)), np.int64)
+            lo[k], hi[k] = first, last
+            at, found = own["successors3"].find((node[of[t]] * size + w[t]).astype(np.uint64), lo[of[t]], hi[of[t]])
+            three[t[found]] = 10.0 ** (-STEP * own["prob3"][at[found]].astype(float))
+        return two, three, back
 
 
 def _shard_of_hash(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -190,16 +219,6 @@ def _shard_of_pair(contexts: np.ndarray, words: np.ndarray, n: int) -> np.ndarra
     return (h % np.uint64(n)).astype(np.int64)
 
 
-def _pairs(trie: Trie, contexts: np.ndarray, words: np.ndarray, p1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(id or -1, log10 p(w|c)) of pairs of ids; -1 stands for an unknown word."""
-    ids, logp = np.full(len(words), -1, np.int64), np.full(len(words), np.nan)
-    known = np.flatnonzero((contexts >= 0) & (words >= 0))
-    ids[known], logp[known] = trie.gram(contexts[known], words[known])
-    miss = np.isnan(logp)
-    logp[miss] = np.log10(trie.back(contexts[miss]) * p1[miss])
-    return ids, logp
-
-
 def _contexts(ids: np.ndarray, at: np.ndarray, begin: int) -> np.ndarray:
     """The word before each token; ``begin`` before the first of a text."""
     out = np.empty(len(ids), np.int64)
@@ -212,28 +231,39 @@ _held: dict[str, Trie] = {}
 
 
 def _trie(files: TrieFiles) -> Trie:
-    key = repr((files.words, files.contexts, files.pairs, files.contexts3, files.triples))
+    key = repr(files)
     if key not in _held:
         _held.clear()
         _held[key] = Trie(files)
     return _held[key]
 
 
-def _counts(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """``df`` written once in the fit's own folder and read back."""
-    df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
-    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+def _quantised(p: np.ndarray) -> np.ndarray:
+    return np.clip(np.round(-np.log10(np.maximum(p, 1e-15)) / STEP), 0, 65535).astype(np.uint16)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers below 2^64 byte by byte, all lowest bytes first: high bytes of small numbers become
+    long runs that the shuffle's compression takes away."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _release(spark, folder: str, *names: str) -> None:
-    """Delete count tables that nothing reads again, and let Spark's cleaner drop the shuffles of
-    frames that are no longer held: a level's counts are many times its files."""
-    jvm = spark.sparkContext._jvm
-    for name in names:
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    jvm.System.gc()
+def _unplaned(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
+
+
+def _merged(parts: list[tuple], size: int) -> tuple:
+    """Blocks of (b, c, number of triples) by pair and (w, n) by triple, as one sorted block."""
+    b, c, t, w, n = (np.concatenate(x) for x in zip(*parts))
+    firsts, rank = np.unique(b, return_inverse=True)
+    pairs, rank = np.unique(rank * np.int64(size) + c, return_inverse=True)
+    key = np.repeat(rank, t) * np.int64(size) + w
+    order = np.argsort(key, kind="stable")  # few sorted runs
+    key, n = key[order], n[order]
+    begins = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    key, n = key[begins], (np.add.reduceat(n, begins) if len(key) else n)
+    t = np.bincount(key // size, minlength=len(pairs))
+    return firsts[pairs // size], pairs % size, t, key % size, n
 
 
 def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2, order: int = 2) -> TrieFiles:
@@ -246,9 +276,9 @@ def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2, order:
     # level 1: words
     def all_tokens():
         return lambda words, at: _tokens(words, at)[0]
-    counts = _counts(texts.mapInArrow(_counter(all_tokens, ("h", "n")), "h long, n long")
-                     .groupBy("h").agg(F.sum("n").alias("n")), folder, "count-words")
-    files = TrieFiles()
+    counts = written(texts.mapInArrow(_counter(all_tokens, ("h", "n")), "h long, n long")
+                     .groupBy("h").agg(F.sum("n").alias("n")), "lm-words")
+    files = TrieFiles(discount=discount, folder=folder)
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
                        F.max(F.when(F.col("h") == int(END.view(np.int64)), F.col("n"))).alias("texts")).first()
     if not total["n"]:
@@ -288,120 +318,106 @@ def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2, order:
             out[k] = level["counts"][ids[k] - begin]
         return out
 
-    def shards(rows: list, n: int) -> list:
-        by_shard = {r["s"]: r for r in rows}
-        none = None
-        if len(by_shard) < n:
-            from oeeflow.llm.eliasfano import EliasFano, write_level
-            no = EliasFano.build(np.zeros(0, np.uint64), 1)
-            none = write_level(folder, "empty", ids=no, contexts=no)
-        return [(by_shard[s]["path"], by_shard[s]["n"]) if s in by_shard else (none, 0) for s in range(n)]
-
-    def write(kept: DataFrame, level: int, n_above: int) -> tuple[list, list, int]:
-        """The level files of the grams ``kept`` (context id c, word id w, count n), the contexts'
-        first: (path, first id) of the grams, and how many there are."""
-        n_grams = kept.count()
-        n_context = max(1, -(-n_above // SHARD_ROWS))
-        left = (kept.groupBy("c").agg(F.sum(F.col("n") - discount).alias("kept"), F.sum("n").alias("m"))
-                .withColumn("s", F.pmod("c", F.lit(n_context))))
-
-        def write_contexts(key, table):
-            from oeeflow.llm.eliasfano import EliasFano, write_level
-            ids = table.column("c").to_numpy()
-            order_ = np.argsort(ids)
-            ids, m = ids[order_], table.column("m").to_numpy()[order_]
-            if level == 2:
-                m = counts_of(_trie(files), ids)
-            back = 1 - table.column("kept").to_numpy()[order_] / m
-            coded = np.clip(np.round(-np.log10(np.maximum(back, 1e-12)) / STEP), 0, 65535).astype(np.uint16)
-            path = write_level(folder, f"contexts{level}-{key[0].as_py()}", ids=EliasFano.build(ids, n_above), back=coded,
-                               counts=m.astype(np.uint32 if m.max() < 1 << 32 else np.int64))
-            return pa.table({"s": pa.array([key[0].as_py()], pa.int64()), "path": [path], "n": pa.array([len(ids)], pa.int64())})
-
-        contexts = [p for p, _ in shards(left.groupBy("s").applyInArrow(write_contexts, "s long, path string, n long").collect(),
-                                         n_context)]
-        if level == 2:
-            files.contexts = contexts
-        else:
-            files.contexts3 = contexts
-        del left
-        _release(spark, folder)
-        n_shards = max(1, -(-n_grams // SHARD_ROWS))
-
-        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                s = _shard_of_pair(batch.column(0).to_numpy(), batch.column(1).to_numpy(), n_shards)
-                yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), *batch.columns], ["s", "c", "w", "n"])
-
-        def write_grams(key, table):
-            from oeeflow.llm.eliasfano import EliasFano, write_level
-            trie = _trie(files)
-            c, w, n = (table.column(k).to_numpy() for k in ("c", "w", "n"))
-            order_ = np.lexsort((w, c))
-            c, w, n = c[order_], w[order_], n[order_]
-            own, begins = np.unique(c, return_index=True)
-            place = np.searchsorted(own, c)
-            shorter = trie.p1(counts_of(trie, w))
-            if level == 3:
-                shorter = 10.0 ** _pairs(trie, trie.last_words(c), w, shorter)[1]
-            p = (n - discount) / trie.context_counts(c, level) + trie.back(c, level) * shorter
-            prob = np.clip(np.round(-np.log10(p) / STEP), 0, 65535).astype(np.uint16)
-            path = write_level(folder, f"grams{level}-{key[0].as_py()}", contexts=EliasFano.build(own, n_above),
-                               pointers=EliasFano.build(np.append(begins, len(c)), len(c) + 1),
-                               successors=EliasFano.build(place * np.int64(v) + w, len(own) * v + 1), prob=prob)
-            return pa.table({"s": pa.array([key[0].as_py()], pa.int64()), "path": [path], "n": pa.array([len(c)], pa.int64())})
-
-        grams, first = [], 0
-        for path, n in shards(kept.mapInArrow(deal, "s long, c long, w long, n long").groupBy("s")
-                              .applyInArrow(write_grams, "s long, path string, n long").collect(), n_shards):
-            grams.append((path, first))
-            first += n
-        return grams, n_grams
-
-    # level 2: pairs (context id * V + word id), the mark before a text being context V
-    def all_pairs():
-        trie = _trie(files)
-
-        def look(words, at):
-            tokens, _ = _tokens(words, at)
-            distinct, where = np.unique(tokens, return_inverse=True)
-            ids = trie.word_ids(distinct)[0][where]
-            return (_contexts(ids, at, v) * np.int64(v) + ids).astype(np.uint64)
-        return look
-    _release(spark, folder, "count-words")
-    kept = _counts(texts.mapInArrow(_counter(all_pairs, ("k", "n")), "k long, n long").groupBy("k")
-                   .agg(F.sum("n").alias("n")).filter(F.col("n") >= min_pair)
-                   .select(F.expr(f"k div {v}L").alias("c"), F.expr(f"k % {v}L").alias("w"), "n"), folder, "count-pairs")
-    _release(spark, folder)
-    files.pairs, files.n_pairs = write(kept, 2, v + 1)
-    _release(spark, folder, "count-pairs")
-    if order < 3 or not files.n_pairs:
-        return files
+    # levels 2 and 3: triples of ids (b, c, w); b is V before a text, w is V where none follows or is asked for
+    size = v + 1
+    n_grams, n_contexts = max(1, files.n // (2 * SHARD_ROWS)), -(-size // SHARD_ROWS)
+    block = "s int, b binary, c binary, t binary, w binary, n binary"
+    names = ["s", "b", "c", "t", "w", "n"]
 
-    # level 3: triples (pair id * V + word id); the first token of a text has no pair before it
-    def all_triples():
+    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = _trie(files)
-
-        def look(words, at):
+        for _, words, at in _runs(batches, 0):
             tokens, _ = _tokens(words, at)
             distinct, where = np.unique(tokens, return_inverse=True)
-            ids = trie.word_ids(distinct)[0][where]
-            key, back_to = np.unique(_contexts(ids, at, v) * np.int64(v) + ids, return_inverse=True)
-            pairs = trie.gram(key // v, key % v)[0][back_to]
-            before = np.append(np.int64(-1), pairs[:-1])
-            before[at[:-1] + np.arange(len(at) - 1)] = -1
-            k = np.flatnonzero(before >= 0)
-            return (before[k] * np.int64(v) + ids[k]).astype(np.uint64)
-        return look
-    if files.n_pairs * v >= 1 << 63:
-        raise ValueError(f"{files.n_pairs} pairs of {v} words: triples have no 64-bit key")
-
-    counted = _counts(texts.mapInArrow(_counter(all_triples, ("k", "n")), "k long, n long").groupBy("k")
-                      .agg(F.sum("n").alias("n")).select(F.expr(f"k div {v}L").alias("c"), F.expr(f"k % {v}L").alias("w"), "n"),
-                      folder, "count-triples")
-    _release(spark, folder)
-    files.triples, _ = write(counted, 3, files.n_pairs)
-    _release(spark, folder, "count-triples")
+            d = len(distinct)  # places and ids rise together: both follow the hash
+            ids = np.append(trie.word_ids(distinct)[0], v)
+            pairs, rank = np.unique(_contexts(where, at, d) * np.int64(d + 1) + where, return_inverse=True)
+            after = np.append(where[1:], d)
+            after[at[1:] + np.arange(len(at) - 1)] = d
+            if order < 3:
+                after[:] = d
+            key, n = np.unique(rank * np.int64(d + 1) + after, return_counts=True)
+            of, w = key // (d + 1), ids[key % (d + 1)]
+            b, c, t = ids[pairs // (d + 1)], ids[pairs % (d + 1)], np.bincount(of, minlength=len(pairs))
+            shard = _shard_of_pair(b, c, n_grams)
+            by_pair, by_key = np.argsort(shard, kind="stable"), np.argsort(shard[of], kind="stable")
+            cuts = np.arange(n_grams + 1)
+            pair_at, key_at = np.searchsorted(shard[by_pair], cuts), np.searchsorted(shard[of][by_key], cuts)
+            rows = []
+            for s in np.flatnonzero(np.diff(pair_at)).tolist():
+                i, j = by_pair[pair_at[s]:pair_at[s + 1]], by_key[key_at[s]:key_at[s + 1]]
+                rows.append((s, *map(_planes, (b[i], c[i], t[i], w[j], n[j]))))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if i else pa.int32()) for i, x in enumerate(zip(*rows))], names)
+
+    def write_shard(s: int, blocks: Iterator[tuple]) -> Iterator[tuple]:
+        from oeeflow.llm.eliasfano import EliasFano, write_level
+        none = np.zeros(0, np.int64)
+        held, fresh = [(none,) * 5], 0
+        for part in blocks:
+            held.append(part)
+            fresh += len(part[3])
+            if fresh > max(FLUSH, len(held[0][3])):
+                held, fresh = [_merged(held, size)], 0
+        b, c, t, w, n = _merged(held, size)
+        ends = np.cumsum(t)
+        m = np.add.reduceat(n, ends - t) if len(t) else none
+        of = np.repeat(np.arange(len(t)), t)
+        keep = m >= min_pair
+        inner = keep[of] & (w < v)
+        w, n, of = w[inner], n[inner], (np.cumsum(keep) - 1)[of[inner]]
+        b, c, m = b[keep], c[keep], m[keep]
+        own, begins = np.unique(b, return_index=True)
+        place = np.searchsorted(own, b)
+        write_level(folder, f"grams-{s}", contexts=EliasFano.build(own, size),
+                    pointers=EliasFano.build(np.append(begins, len(b)), len(b) + 1),
+                    successors=EliasFano.build(place * np.int64(size) + c, len(own) * size + 1),
+                    prob=_quantised((m - discount) / counts_of(_trie(files), b)),
+                    counts=m.astype(np.uint32 if not len(m) or m.max() < 1 << 32 else np.int64),
+                    pointers3=EliasFano.build(np.searchsorted(of, np.arange(len(b) + 1)), len(w) + 1),
+                    successors3=EliasFano.build(of * np.int64(size) + w, len(b) * size + 1),
+                    prob3=_quantised((n - discount) / m[of]))
+        kept = np.add.reduceat(m - discount, begins) if len(b) else np.zeros(0)
+        for k in np.unique(own % n_contexts).tolist():
+            i = own % n_contexts == k
+            yield k, own[i].tobytes(), kept[i].tobytes()
+
+    def by_key(batches: Iterator[pa.RecordBatch]):
+        """(first column, iterator of the other columns) of rows that come sorted by the first."""
+        def rows():
+            for batch in batches:
+                columns = [batch.column(i) for i in range(batch.num_columns)]
+                for r in range(batch.num_rows):
+                    yield columns[0][r].as_py(), [x[r].as_buffer() for x in columns[1:] if x[r].is_valid]
+        return groupby(rows(), key=lambda r: r[0])
+
+    def write_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s, rows in by_key(batches):
+            out = list(write_shard(s, (tuple(map(_unplaned, x)) for _, x in rows if x)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if i else pa.int32()) for i, x in enumerate(zip(*out))],
+                                                 ["k", "b", "kept"])
+
+    def write_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from oeeflow.llm.eliasfano import EliasFano, write_level
+        for k, rows in by_key(batches):
+            left = np.zeros(-(-(size - k) // n_contexts))  # by id div n_contexts, SHARD_ROWS at most
+            for x in (x for _, x in rows if x):
+                np.add.at(left, np.frombuffer(x[0], np.int64) // n_contexts, np.frombuffer(x[1], float))
+            ids = np.flatnonzero(left) * n_contexts + k
+            back = 1 - left[left != 0] / counts_of(_trie(files), ids)
+            write_level(folder, f"contexts-{k}", ids=EliasFano.build(ids, size), back=_quantised(np.maximum(back, 1e-12)))
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32())], ["k"])
+
+    def every(n: int, name: str, *others: str) -> DataFrame:  # a row without a block for each shard: no file is missing
+        return spark.range(n).select(F.col("id").cast("int").alias(name), *(F.lit(None).cast("binary").alias(x) for x in others))
+
+    grams = texts.mapInArrow(count_grams, block).unionByName(every(n_grams, *names))
+    partial = written(grams.repartitionById(n_grams, F.col("s")).sortWithinPartitions("s")
+                      .mapInArrow(write_grams, "k int, b binary, kept binary"), "lm-contexts")
+    done = (partial.unionByName(every(n_contexts, "k", "b", "kept")).repartitionById(n_contexts, F.col("k"))
+            .sortWithinPartitions("k").mapInArrow(write_contexts, "k int").count())
+    assert done == n_contexts, (done, n_contexts)
+    files.n_grams, files.n_contexts = n_grams, n_contexts
     return files
 
 
@@ -411,42 +427,31 @@ def score_texts(docs: DataFrame, files: TrieFiles, id_col: str = "doc_id", text_
     on_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from oeeflow.llm.shingles import word_hashes
         trie = _trie(files)
-        for batch in slices(batches):
-            cols: list[list] = [[], [], [], []]
-            for _, words, at in word_hashes(batch.column(1)):
-                n = len(at) - 1
-                tokens, doc = _tokens(words, at)
-                distinct, where = np.unique(tokens, return_inverse=True)
-                ids, counts = trie.word_ids(distinct)
-                p1 = trie.p1(counts)
-                log1 = np.log10(p1)
-                # pairs by place of the distinct words; the mark has the place after the last
-                key, back_to = np.unique(_contexts(where, at, len(distinct)) * np.int64(len(distinct)) + where,
-                                         return_inverse=True)
-                c, w = key // len(distinct), key % len(distinct)
-                pairs, logp2 = _pairs(trie, np.append(ids, files.v)[c], ids[w], p1[w])
-                logp = logp2[back_to]
-                if trie.grams[3]:  # triples by place of the distinct pairs
-                    before = _contexts(back_to, at, -1)
-                    t = np.flatnonzero(before >= 0)
-                    key, one, back_to3 = np.unique(before[t] * np.int64(len(distinct)) + where[t], return_index=True,
-                                                   return_inverse=True)
-                    c, w, logp3 = pairs[key // len(distinct)], ids[key % len(distinct)], logp[t[one]]
-                    k = np.flatnonzero(c >= 0)
-                    logp3[k] += np.log10(trie.back(c[k], 3))
-                    k = k[w[k] >= 0]
-                    kept = trie.gram(c[k], w[k], 3)[1]
-                    logp3[k] = np.where(np.isnan(kept), logp3[k], kept)
-                    logp[t] = logp3[back_to3]
-                cols[0] += (np.diff(at) + 1).tolist()
-                cols[1] += np.bincount(doc, weights=counts[where] > 0, minlength=n).astype(np.int64).tolist()
-                cols[2] += np.bincount(doc, weights=log1[where], minlength=n).tolist()
-                cols[3] += np.bincount(doc, weights=logp, minlength=n).tolist()
+        for held, words, at in _runs(batches, 1):
+            n = len(at) - 1
+            tokens, doc = _tokens(words, at)
+            distinct, where = np.unique(tokens, return_inverse=True)
+            ids, counts = trie.word_ids(distinct)
+            p1, d = trie.p1(counts), np.int64(len(distinct))
+            # pairs by place of the distinct words, the mark's place being the last; triples by place of the pairs
+            key, pair = np.unique(_contexts(where, at, d) * (d + 1) + where, return_inverse=True)
+            b, c = np.append(ids, files.v)[key // (d + 1)], ids[key % (d + 1)]
+            before = _contexts(pair, at, -1)
+            t = np.flatnonzero(before >= 0)
+            triples, one, triple = np.unique(before[t] * (d + 1) + where[t], return_index=True, return_inverse=True)
+            of, last = triples // (d + 1), pair[t[one]]
+            two, three, back = trie.grams(b, c, of, ids[triples % (d + 1)])
+            two += trie.back(b) * p1[key % (d + 1)]
+            three += back[of] * two[last]
+            logp = np.log10(two)[pair]
+            logp[t] = np.log10(three)[triple]
+
+            def sums(x):
+                return np.bincount(doc, weights=x, minlength=n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64())],
+                [pa.concat_arrays([x.column(0) for x in held]), pa.array(np.diff(at) + 1, pa.int64()),
+                 pa.array(sums(counts[where] > 0).astype(np.int64)), pa.array(sums(np.log10(p1)[where])), pa.array(sums(logp))],
                 ["id", "n_tokens", "n_known", "base_score", "score"])
 
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
