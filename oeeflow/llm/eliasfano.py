@@ -19,6 +19,24 @@ def _or_into(words: np.ndarray, at: np.ndarray, bits: np.ndarray) -> None:
         words[at[begins]] |= np.bitwise_or.reduceat(bits, begins)
 
 
+_ONES, _HIGH = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_M1, _M2, _M4 = np.uint64(0x5555555555555555), np.uint64(0x3333333333333333), np.uint64(0x0F0F0F0F0F0F0F0F)
+#: Place of the r-th one of a byte, at 8 * byte + r.
+_IN_BYTE = np.array([([i for i in range(8) if x >> i & 1] + [8] * 8)[:8] for x in range(256)], np.uint8).ravel()
+
+
+def _select(bits: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Place of the rank-th one (from 0) of each 64-bit word, which has that many."""
+    x = bits - ((bits >> _ONE) & _M1)
+    x = (x & _M2) + ((x >> np.uint64(2)) & _M2)
+    upto = ((x + (x >> np.uint64(4))) & _M4) * _ONES  # byte i: ones of the bytes 0 to i
+    rank = rank.astype(np.uint64)
+    shift = np.bitwise_count((((rank * _ONES) | _HIGH) - upto) & _HIGH).astype(np.uint64) << np.uint64(3)
+    rank -= ((upto << np.uint64(8)) >> shift) & np.uint64(255)
+    byte = (bits >> shift) & np.uint64(255)
+    return (shift + _IN_BYTE[(byte << np.uint64(3)) + rank]).astype(np.int64)
+
+
 class EliasFano:
     """A rising sequence of n integers below ``universe``: the low bits of each packed side by side,
     the high parts in unary, and the count of ones before each word of the unary bits."""
@@ -52,16 +70,19 @@ class EliasFano:
         """Position of the k-th zero (from 0) of the unary bits."""
         before = self._zeros_before
         word = np.searchsorted(before, k, "right") - 1
-        rank = (k - before[word]).astype(np.uint8)
-        bits = ~self.high[word]
-        shift = np.zeros(len(k), np.uint8)
-        for width in (32, 16, 8, 4, 2, 1):
-            mask = np.uint64((1 << width) - 1)
-            count = np.bitwise_count((bits >> shift.astype(np.uint64)) & mask)
-            go = rank >= count
-            rank = np.where(go, rank - count, rank).astype(np.uint8)
-            shift = np.where(go, shift + np.uint8(width), shift).astype(np.uint8)
-        return word * 64 + shift
+        return word * 64 + _select(~self.high[word], k - before[word])
+
+    def _bucket(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and behind last index of the elements with high part h."""
+        begin = np.where(h > 0, self._zero(np.maximum(h - 1, 0)) + 1, 0)
+        word = begin >> 6
+        rest = ~self.high[np.minimum(word, len(self.high) - 1)] >> (begin & 63).astype(np.uint64)
+        # the next zero is mostly in the same word
+        end = begin + np.bitwise_count((rest & (~rest + _ONE)) - _ONE)
+        far = np.flatnonzero((rest == 0) | (word >= len(self.high)))
+        if len(far):
+            end[far] = self._zero(h[far])
+        return begin - h, end - h
 
     @property
     def _zeros_before(self) -> np.ndarray:
@@ -82,8 +103,7 @@ class EliasFano:
         """(index of the first element not below x, whether it equals x); x below the universe."""
         x = x.astype(np.uint64)
         h = (x >> np.uint64(self.l)).astype(np.int64)
-        lo = np.where(h > 0, self._zero(np.maximum(h - 1, 0)) - (h - 1), 0)
-        hi = self._zero(h) - h
+        lo, hi = self._bucket(h)
         end = hi.copy()
         target = x & np.uint64((1 << self.l) - 1)
         open_ = np.flatnonzero(lo < hi)
@@ -102,8 +122,8 @@ class EliasFano:
         """(index, whether it equals x) of the first element not below x among the elements lo to hi - 1."""
         x, h = x.astype(np.uint64), (x >> np.uint64(self.l)).astype(np.int64)
         # of the range, the elements with the same high part
-        first = np.where(h > 0, self._zero(np.maximum(h - 1, 0)) - (h - 1), 0)
-        lo, end = np.clip(first, lo, hi), np.clip(self._zero(h) - h, lo, hi)
+        first, last = self._bucket(h)
+        lo, end = np.clip(first, lo, hi), np.clip(last, lo, hi)
         hi, target = end.copy(), x & np.uint64((1 << self.l) - 1)
         open_ = np.flatnonzero(lo < hi)
         while len(open_):
@@ -120,14 +140,8 @@ class EliasFano:
     def get(self, i: np.ndarray) -> np.ndarray:
         """The i-th elements, by select over the unary bits."""
         word = np.searchsorted(self.ones, i, "right") - 1
-        rank = (i - self.ones[word]).astype(np.uint8)
-        bits, shift = self.high[word], np.zeros(len(i), np.uint8)
-        for width in (32, 16, 8, 4, 2, 1):
-            count = np.bitwise_count((bits >> shift.astype(np.uint64)) & np.uint64((1 << width) - 1))
-            go = rank >= count
-            rank = np.where(go, rank - count, rank).astype(np.uint8)
-            shift = np.where(go, shift + np.uint8(width), shift).astype(np.uint8)
-        return ((word * 64 + shift - i).astype(np.uint64) << np.uint64(self.l)) | self._low_at(i)
+        place = _select(self.high[word], i - self.ones[word])
+        return ((word * 64 + place - i).astype(np.uint64) << np.uint64(self.l)) | self._low_at(i)
 
 
 # ------------------------------------------------------------------ level files

@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 from oeeflow.llm.common import on_workers, scratch_path, slices, written
 
 END, BEGIN = np.uint64(0x7E57ED0E5EED0001), np.uint64(0x7E57ED0E5EED0002)
-SHARD_ROWS = 1 << 20       # words of a word file; a gram file has two training tokens for each of these
-RUN_TOKENS = 600_000       # tokens of the runs of texts that are counted or scored at once
+SHARD_ROWS = 1 << 20       # words of a word file; of training tokens for each gram file
+RUN_TOKENS = 300_000       # tokens of the runs of texts that are counted or scored at once
 STEP = 1 / 4096            # quantum of stored log10 probabilities and back-off weights
 FLUSH = 1_500_000          # distinct keys that a counting task holds
 OPEN_FILES = 512           # files that a scorer keeps mapped
@@ -133,6 +133,7 @@ class Trie:
         self.f = files
         self.words = [(open_level(p), first) for p, first in files.words]
         self.unknown = files.n + 0.5 * (files.v + 1)
+        self.powers = 10.0 ** (-STEP * np.arange(1 << 16))  # of the quantised logarithms
         self.opened: dict[str, dict] = {}
 
     def level(self, name: str) -> dict:
@@ -167,7 +168,7 @@ class Trie:
             own = self.level(f"contexts-{s}")
             if own["ids"].n:
                 at, found = own["ids"].successor(contexts[k].astype(np.uint64))
-                out[k[found]] = 10.0 ** (-STEP * own["back"][at[found]].astype(float))
+                out[k[found]] = self.powers[own["back"][at[found]]]
         return out
 
     def grams(self, b: np.ndarray, c: np.ndarray, of: np.ndarray, w: np.ndarray):
@@ -180,21 +181,23 @@ class Trie:
         by_pair, by_triple = np.argsort(shard, kind="stable"), np.argsort(shard[of], kind="stable")
         pair_at = np.searchsorted(shard[by_pair], np.arange(self.f.n_grams + 1))
         triple_at = np.searchsorted(shard[of][by_triple], np.arange(self.f.n_grams + 1))
-        size = np.int64(self.f.v + 1)
+        size, powers = np.int64(self.f.v + 1), self.powers
         node = np.full(len(b), -1, np.int64)
         for s in np.flatnonzero(np.diff(pair_at)).tolist():
             k = by_pair[pair_at[s]:pair_at[s + 1]]
             own = self.level(f"grams-{s}")
             if not own["contexts"].n:
                 continue
-            place, found = own["contexts"].successor(b[k].astype(np.uint64))
-            k, place = k[found], place[found]
+            begins = np.flatnonzero(np.append(True, b[k[1:]] != b[k[:-1]]))  # runs of one context
+            place, found = own["contexts"].successor(b[k[begins]].astype(np.uint64))
+            place[~found] = 0
+            lo, hi = (np.where(found, own["pointers"].get(place + i).astype(np.int64), 0) for i in (0, 1))
+            place, lo, hi = (np.repeat(x, np.diff(np.append(begins, len(k)))) for x in (place, lo, hi))
             # successors are stored relative to their context's place
-            at, found = own["successors"].find((place * size + c[k]).astype(np.uint64), own["pointers"].get(place).astype(np.int64),
-                                               own["pointers"].get(place + 1).astype(np.int64))
+            at, found = own["successors"].find((place * size + c[k]).astype(np.uint64), lo, hi)
             k, at = k[found], at[found]
             node[k] = at
-            two[k] = 10.0 ** (-STEP * own["prob"][at].astype(float))
+            two[k] = powers[own["prob"][at]]
             first, last = (own["pointers3"].get(at + i).astype(np.int64) for i in (0, 1))
             more = last > first
             back[k[more]] = self.f.discount * (last - first)[more] / own["counts"][at[more]]
@@ -205,7 +208,7 @@ class Trie:
             lo, hi = np.zeros((2, len(b)), np.int64)
             lo[k], hi[k] = first, last
             at, found = own["successors3"].find((node[of[t]] * size + w[t]).astype(np.uint64), lo[of[t]], hi[of[t]])
-            three[t[found]] = 10.0 ** (-STEP * own["prob3"][at[found]].astype(float))
+            three[t[found]] = powers[own["prob3"][at[found]]]
         return two, three, back
 
 
@@ -243,13 +246,18 @@ def _quantised(p: np.ndarray) -> np.ndarray:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Numbers below 2^64 byte by byte, all lowest bytes first: high bytes of small numbers become
-    long runs that the shuffle's compression takes away."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Numbers byte by byte, all lowest bytes first, behind the number of bytes that the largest needs:
+    high bytes of small numbers become long runs that the shuffle's compression takes away."""
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    return bytes([width]) + np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def _unplaned(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
+def _unplaned(raw) -> np.ndarray:
+    raw = np.frombuffer(raw, np.uint8)
+    width = int(raw[0])
+    out = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
+    out[:, :width] = raw[1:].reshape(width, -1).T
+    return out.view("<u8").ravel().astype(np.int64)
 
 
 def _merged(parts: list[tuple], size: int) -> tuple:
@@ -320,7 +328,7 @@ def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2, order:
 
     # levels 2 and 3: triples of ids (b, c, w); b is V before a text, w is V where none follows or is asked for
     size = v + 1
-    n_grams, n_contexts = max(1, files.n // (2 * SHARD_ROWS)), -(-size // SHARD_ROWS)
+    n_grams, n_contexts = max(1, files.n // SHARD_ROWS), -(-size // SHARD_ROWS)
     block = "s int, b binary, c binary, t binary, w binary, n binary"
     names = ["s", "b", "c", "t", "w", "n"]
 
@@ -356,7 +364,7 @@ def fit_trie(texts: DataFrame, discount: float = 0.75, min_pair: int = 2, order:
         for part in blocks:
             held.append(part)
             fresh += len(part[3])
-            if fresh > max(FLUSH, len(held[0][3])):
+            if fresh > max(RUN_TOKENS, len(held[0][3])):
                 held, fresh = [_merged(held, size)], 0
         b, c, t, w, n = _merged(held, size)
         ends = np.cumsum(t)
@@ -442,7 +450,7 @@ def score_texts(docs: DataFrame, files: TrieFiles, id_col: str = "doc_id", text_
             triples, one, triple = np.unique(before[t] * (d + 1) + where[t], return_index=True, return_inverse=True)
             of, last = triples // (d + 1), pair[t[one]]
             two, three, back = trie.grams(b, c, of, ids[triples % (d + 1)])
-            two += trie.back(b) * p1[key % (d + 1)]
+            two += trie.back(np.append(ids, files.v))[key // (d + 1)] * p1[key % (d + 1)]
             three += back[of] * two[last]
             logp = np.log10(two)[pair]
             logp[t] = np.log10(three)[triple]
