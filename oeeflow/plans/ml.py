@@ -425,15 +425,15 @@ def param_grid(**axes: list[Any]) -> list[dict[str, Any]]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[axes[k] for k in keys])]
 
 
-#: The 24 points of the regression forest (regression_inefficiency_models.py:210, OEE_regression.py:161).
+#: The 24 points of the regression forest.
 FOREST_GRID = param_grid(numTrees=[200, 400], maxDepth=[UNLIMITED_DEPTH, 10, 20], minSamplesSplit=[2, 5],
                          minInstancesPerNode=[2, 5])
-#: The 24 points of the index boosting (regression_inefficiency_models.py:250).
+#: The 24 points of the index boosting.
 BOOSTED_GRID = param_grid(maxIter=[200, 400], maxDepth=[3, 6, 10], stepSize=[0.01, 0.1], subsamplingRate=[0.8, 1.0])
-#: The 48 points of the custom-cut forest (classificazione_soglie_custom.py:368), searched by recall.
+#: The 48 points of the custom-cut forest, searched by recall.
 CUT_FOREST_GRID = param_grid(numTrees=[200, 400], maxDepth=[4, 6, 8], minSamplesSplit=[10, 20], minInstancesPerNode=[5, 10],
                              featureSubsetStrategy=["sqrt", "0.7"])
-#: The 576 points of the custom-cut boosting (classificazione_soglie_custom.py:436); ``positiveFactor``
+#: The 576 points of the custom-cut boosting; ``positiveFactor``
 #: multiplies the weight of class 1.
 CUT_BOOSTED_GRID = param_grid(maxIter=[200, 400], maxDepth=[3, 6, 10], stepSize=[0.05, 0.1], subsamplingRate=[0.8],
                               featureSubsetStrategy=["0.8"], minInstancesPerNode=[3, 5], regAlpha=[0.0, 0.5], regLambda=[1.0, 3.0],
