@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oeeflow.llm.licenses import LOWER, TEMPLATES, UPPER, template_bigrams
+from oeeflow.llm.licenses import LOWER, TEMPLATES, UPPER, template_bigrams, template_words
 from oeeflow.llm.mixing import BINS, BUCKET_BITS
 from oeeflow.llm.quality import STOP_WORDS, THRESHOLDS
 
@@ -79,22 +79,31 @@ def mixing() -> str:
 
 def licenses(threshold: float = 0.8) -> str:
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    rows = ", ".join(f"({k}, {_text(name)}, {len(b := template_bigrams(text))}, [{', '.join(map(_text, b))}])"
+    rows = ", ".join(f"({k}, {_text(name)}, {len(b := template_bigrams(text))}, {len(template_words(text))}, [{', '.join(map(_text, b))}])"
                      for k, (name, text) in enumerate(TEMPLATES))
     return f"""
-    WITH tpl(k, name, n, b) AS (VALUES {rows}),
+    WITH tpl(k, name, n, w, b) AS (VALUES {rows}),
     base AS (SELECT row_number() OVER () AS rid, doc_id, coalesce("text", '') AS t FROM documents),
     units AS (SELECT rid, unnest(ls) AS x, generate_subscripts(ls, 1) - 1 AS pos FROM (SELECT rid, string_split(t, chr(10)) AS ls FROM base)
               UNION ALL SELECT rid, t, -1 FROM base),
     words AS (SELECT rid, pos, regexp_extract_all(translate(x, '{UPPER}', '{LOWER}'), '[a-z0-9]+') AS w FROM units),
     sets AS (SELECT rid, pos, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS own FROM words WHERE len(w) >= 2),
     scored AS (SELECT rid, pos, k, name, 2.0 * len(list_intersect(own, b)) / (len(own) + n) AS dice FROM sets JOIN tpl
-               ON len(own) >= n * {low} - 1e-9 AND len(own) <= n * {high} + 1e-9),
+               ON len(own) >= n * CAST({low} AS DOUBLE) - 1e-9 AND len(own) <= n * CAST({high} AS DOUBLE) + 1e-9),
     hit AS (SELECT rid, pos, max((CAST(dice AS DOUBLE), -k, -pos)) AS m FROM scored WHERE dice >= {threshold} - 1e-9 GROUP BY rid, pos),
-    top AS (SELECT rid, count(*) AS n, max(m) AS m FROM hit GROUP BY rid)
+    top AS (SELECT rid, count(*) AS n, max(m) AS m FROM hit GROUP BY rid),
+    every AS (SELECT rid, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS bg FROM words WHERE pos = -1 AND len(w) >= 2),
+    grams AS (SELECT rid, unnest(bg) AS g, generate_subscripts(bg, 1) AS ix FROM every),
+    tg AS (SELECT k, name, n, w, b, unnest(b) AS g FROM tpl),
+    starts AS (SELECT rid, ix, k, n, b, list_distinct(bg[ix:ix + w - 2]) AS own FROM grams JOIN tg USING (g) JOIN every USING (rid)),
+    inside AS (SELECT rid, k, ix, 2.0 * len(list_intersect(own, b)) / (len(own) + n) AS dice FROM starts),
+    win AS (SELECT rid, count(*) AS n, max((CAST(dice AS DOUBLE), -k, 1 - ix)) AS m FROM inside WHERE dice >= {threshold} - 1e-9 GROUP BY rid)
     SELECT doc_id, CAST(len(string_split(t, chr(10))) AS BIGINT) AS n_lines, CAST(coalesce(top.n, 0) AS BIGINT) AS n_matches,
-           tpl.name AS license, top.m[1] AS dice, CAST(-top.m[3] AS BIGINT) AS line
-    FROM base LEFT JOIN top USING (rid) LEFT JOIN tpl ON tpl.k = -top.m[2]"""
+           tpl.name AS license, top.m[1] AS dice, CAST(-top.m[3] AS BIGINT) AS line,
+           CAST(coalesce(win.n, 0) AS BIGINT) AS n_windows, tw.name AS window_license, win.m[1] AS window_dice,
+           CAST(-win.m[3] AS BIGINT) AS window_word
+    FROM base LEFT JOIN top USING (rid) LEFT JOIN tpl ON tpl.k = -top.m[2]
+    LEFT JOIN win USING (rid) LEFT JOIN tpl tw ON tw.k = -win.m[2]"""
 
 
 def near_duplicates(shingle: int = 4, percent: int = 85) -> str:

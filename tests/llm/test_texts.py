@@ -101,6 +101,43 @@ def test_licences(spark):
     assert scan_licenses(documents(spark, [])).count() == 0
 
 
+def test_licences_in_word_windows(spark):
+    """Windows against brute force: wrapped licence files, headers above code, notices in sentences."""
+    import textwrap
+
+    from oeeflow.llm.licenses import TEMPLATES, scan_licenses, template_bigrams, template_words
+    mit = max((t for name, t in TEMPLATES if name == "MIT"), key=len)
+    gpl = next(t for name, t in TEMPLATES if name == "GPL-3.0-or-later")
+    code = "\n".join(f"def f{i}(x):\n    return x * {i} + len(str(x))" for i in range(40))
+    rows = [*texts(),
+            (50, "MIT License\n\nCopyright (c) 2020 Somebody\n\n" + textwrap.fill(mit, 60)),
+            (51, "\n".join("# " + line for line in textwrap.wrap(gpl, 70)) + "\n" + code),
+            (52, "We wrote this parser in a week. Released under the MIT License. It has no parts that need a net " * 3),
+            (53, "of the " * 500 + "all rights of the user"), (54, textwrap.fill(mit, 60) + "\n" + code + "\n" + textwrap.fill(gpl, 50))]
+    got = {r["doc_id"]: r for r in scan_licenses(documents(spark, rows)).collect() if r["doc_id"] is not None}
+    assert got[50]["window_license"] == "MIT" and got[50]["window_dice"] == 1.0
+    assert got[51]["window_license"] == "GPL-3.0-or-later" and got[52]["window_license"] == "MIT" and got[52]["n_windows"] >= 3
+    assert got[53]["n_windows"] == 0 and got[53]["window_license"] is None and got[54]["n_windows"] >= 2
+    for doc_id, text in rows:
+        words = template_words(text or "")
+        grams = [f"{a} {b}" for a, b in zip(words, words[1:])]
+        hits = []
+        for k, (name, template) in enumerate(TEMPLATES):
+            own, size = set(template_bigrams(template)), len(template_words(template)) - 1
+            for i, g in enumerate(grams):
+                if g in own:
+                    unit = set(grams[i:i + size])
+                    dice = 2.0 * len(unit & own) / (len(unit) + len(own))
+                    if dice >= 0.8 - 1e-9:
+                        hits.append((dice, -k, -i))
+        if doc_id is None or sum(1 for d, _ in rows if d == doc_id) > 1:
+            continue
+        r, top = got[doc_id], max(hits, default=None)
+        assert r["n_windows"] == len(hits), doc_id
+        assert (r["window_dice"], r["window_word"]) == ((top[0], -top[2]) if top else (None, None)), doc_id
+        assert r["window_license"] == (TEMPLATES[-top[1]][0] if top else None)
+
+
 def test_lexicon_automaton_is_edit_distance():
     from oeeflow.llm.toxicity import LexiconAutomaton
     terms = ["idiot", "clown", "scum", "moron", "morons"]
