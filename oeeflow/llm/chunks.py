@@ -14,10 +14,11 @@ PUNCTUATION = " \t\r\x0b\x0c.,;:!?\"'`()[]{}<>|*#$%&/\\-_+=~^…«»“”„‘
 
 class ChunkTable:
     """Maps chunks to rows of ``width`` numbers by ``learn(chunk)``, asked once per chunk. Holds at
-    most about ``capacity`` chunks (it is emptied when full); no text is cut."""
+    most about ``capacity`` chunks and ``max_bytes`` of them besides those of one call (it is emptied
+    when full); no text is cut."""
 
-    def __init__(self, learn: Callable[[str], tuple], width: int, capacity: int = 500_000):
-        self.learn, self.width, self.capacity = learn, width, capacity
+    def __init__(self, learn: Callable[[str], tuple], width: int, capacity: int = 500_000, max_bytes: int = 64 << 20):
+        self.learn, self.width, self.capacity, self.max_bytes = learn, width, capacity, max_bytes
         self._empty()
 
     def _empty(self) -> None:
@@ -32,7 +33,7 @@ class ChunkTable:
         texts = pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), "\n", " ")
         parts = pc.split_pattern(texts, " ")
         chunks = parts.flatten()
-        if len(self.known) > self.capacity:
+        if len(self.known) > self.capacity or self.known.nbytes > self.max_bytes:
             self._empty()
         found = pc.index_in(chunks, value_set=self.known)
         which = pc.fill_null(found, -1).to_numpy()
