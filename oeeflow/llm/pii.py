@@ -39,10 +39,11 @@ _DIGITS = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s<>\"'`]+")
-# after a cue: the rest of a compound key, a closing quote, what parts key and value, an opening quote
-_SECRET = re.compile(r"(?:[_-][A-Za-z0-9_-]{0,32}|[A-Z][A-Za-z0-9_]{0,32})?[\"']?[ \t]{0,4}(?:=>|:=|[=:])[ \t]{0,4}[\"']?"
-                     r"([A-Za-z0-9_./+-]{8,})")
-_ACCOUNT = re.compile(r"(?:[ \t_-]{0,4}(?i:number|no|nr|code|is)\b\.?){0,3}[\"']?[ \t]{0,4}(?:=>|[=:])?[ \t:]{0,4}[\"']?"
+# after a cue: the rest of a compound key (behind a joint, or in camel case), then a closing quote,
+# what parts key and value, an opening quote and the value; of an account, words like "number" or "is"
+_KEY_REST = (re.compile(r"[A-Za-z0-9_-]*+"), re.compile(r"[A-Za-z0-9_]*+"))
+_SECRET = re.compile(r"[\"']?[ \t]*+(?:=>|:=|[=:])[ \t]*+[\"']?([A-Za-z0-9_./+-]{8,})")
+_ACCOUNT = re.compile(r"(?:[ \t_-]*+(?i:number|no|nr|code|is)\b\.?){0,3}[\"']?[ \t]*+(?:=>|[=:])?[ \t:]*+[\"']?"
                       r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8})")
 
 
@@ -84,6 +85,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
         _held.append(_automaton())
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     email_end = ip_next = card_next = phone_end = secret_end = url_end = account_end = 0
+    key_end, key_tried = [0, 0], -1
     # cues without regard to the case of A-Z; bytes.lower keeps every other character and all places
     for last, (anchor, size) in _held[0].iter(text.encode().lower().decode()):
         if anchor == "digit":
@@ -118,7 +120,15 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
                 if 8 <= sum(map(str.isdigit, m[0])) <= 15:
                     found["phone"].append(m.span())
         elif anchor == "secret":
-            m = _SECRET.match(text, last + 1) if last >= secret_end else None
+            at = last + 1
+            first = text[at:at + 1]
+            if first in ("_", "-") or "A" <= first <= "Z":
+                form = int(first not in ("_", "-"))
+                if at >= key_end[form]:  # cues inside one key share its end
+                    key_end[form] = _KEY_REST[form].match(text, at).end()
+                at = key_end[form]
+            m = _SECRET.match(text, at) if last >= secret_end and at != key_tried else None
+            key_tried = at
             if m:
                 secret_end = m.end()
                 found["secret"].append(m.span(1))
