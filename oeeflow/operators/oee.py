@@ -107,9 +107,11 @@ def oee_alerts(df: DataFrame, thresholds: dict[str, float] | None = None) -> Dat
     """Orders whose OEE or a component is below its limit, with the list of reasons."""
     th = thresholds or {"oee": OEE_ACCEPTABLE, "availability": OEE_ACCEPTABLE,
                         "performance": OEE_ACCEPTABLE, "quality": OEE_ACCEPTABLE}
-    reasons = F.filter(F.array(*[F.when(F.col(c) < t, F.lit(c)) for c, t in th.items()]),
-                       lambda r: r.isNotNull())
-    return df.withColumn("alert_reasons", reasons).filter(F.size("alert_reasons") > 0)
+    names = [F.when(F.col(c) < t, F.lit(c)) for c, t in th.items()]
+    reasons = F.array_except(F.array(*names), F.array(F.lit(None).cast("string")))
+    # a filter on a generated column stays above it: below, it would carry a copy of the OEE for each clip
+    out = df.select("*", F.inline(F.array(F.struct(reasons.alias("alert_reasons")))))
+    return out.filter(F.size("alert_reasons") > 0)
 
 
 def lost_hours_expr(actual: str = "work_hours", theoretical: str = "cycle_hours") -> Column:
