@@ -111,10 +111,12 @@ def last_n_per_group(df: DataFrame, keys: list[str], value: str, n: int = 3,
     (1 = most recent). The limit on the row number is applied before the shuffle, too (Spark's window
     group limit), so a task sends ``n`` rows of a group however many it reads."""
     order = [c for c in (order_by or ORDER_COLS) if c in df.columns]
-    latest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    d = df.filter(F.col(value).isNotNull()).select(*dict.fromkeys([*keys, *order, value]))
+    # NULL values sort last and their groups go at the end: a filter would carry a copy of ``value``'s expression down
+    latest = Window.partitionBy(*keys).orderBy(F.col(value).isNull(), *[F.col(c).desc() for c in order])
+    d = df.select(*dict.fromkeys([*keys, *order, value]))
     d = d.withColumn("_r", F.row_number().over(latest)).filter(F.col("_r") <= n)
-    return d.groupBy(*keys).agg(*[F.max(F.when(F.col("_r") == i, F.col(value))).alias(f"{value}_last{i}") for i in range(1, n + 1)])
+    out = d.groupBy(*keys).agg(*[F.max(F.when(F.col("_r") == i, F.col(value))).alias(f"{value}_last{i}") for i in range(1, n + 1)])
+    return out.filter(F.col(f"{value}_last1").isNotNull())
 
 
 # engine names of the OEE model features (fixed list, as the reference's feature list)
