@@ -225,7 +225,7 @@ def _pack_level(rows: DataFrame, level: int, capacity: int, islands: int, epochs
 
 
 def best_fit_pack(piece_rows: DataFrame, capacity: int = 4096, shard_pieces: int = 4000, islands: int = 2,
-                  epochs: int = 2, generations: int = 4, population: int = 3,
+                  epochs: int = 2, generations: int = 40, population: int = 6,
                   well_filled: float = 0.995, dissolve_bins: int = 24) -> DataFrame:
     """Pack the rows of :func:`pieces` into sequences of ``capacity``: adds ``sequence_id`` and
     ``offset``. ``shard_pieces`` bounds what one task holds; of each shard at most

@@ -302,3 +302,13 @@ def test_pipeline_stages(spark, tmp_path):
         out.write.parquet(str(tmp_path / name))
         kept = spark.read.parquet(str(tmp_path / name))
     check_packing(corpus_pipeline.run(spark, str(tmp_path / "sf")).collect(), 4096)
+
+
+def test_packing_searches_where_best_fit_misses_the_bound(spark):
+    from oeeflow.llm.packing import best_fit_pack
+    lengths = np.random.default_rng(5).integers(900, 1900, 2000).tolist()
+    df = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)],
+                               "doc_id long, piece int, start long, length long, ids_crc32 long").coalesce(1)
+    found, short = best_fit_pack(df).collect(), best_fit_pack(df, generations=4, population=3).collect()
+    assert len(found) == 2000
+    assert len({r.sequence_id for r in found}) < len({r.sequence_id for r in short})  # as many as before: 4 steps, 3 genomes
