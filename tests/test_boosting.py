@@ -93,3 +93,13 @@ def test_cuts_and_awkward_rows(spark):
     for bad in (df.limit(0), df.withColumn("y", F.lit(None).cast("double")), df.withColumn("a", F.lit(float("inf")))):
         with pytest.raises(ValueError):
             ml.fit(bad, spec, "boosted", "regression", params={"maxIter": 3})
+
+
+def test_fits_side_by_side_fit_side_by_side(spark):
+    """A fit in a pool's thread, which has no active session, grows its own models side by side."""
+    df, spec = rows(spark, 300), ml.FeatureSpec(["a", "b"], ["c"], "y3")
+
+    def job():
+        return ml.fit(df, spec, "boosted", "multiclass", params={**PARAMS, "maxIter": 2})
+    for b in ml.side_by_side([job, job]):
+        assert [len(trees) for trees in b.model.trees] == [2, 2, 2]
