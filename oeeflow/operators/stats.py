@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oeeflow.operators.quantiles import quantiles
 from oeeflow.operators.windows import _join_on
 
+MOMENTS = ("n", "mean_a", "mean_b", "squares_a", "squares_b", "products")
+
 
 def profile_table(df: DataFrame) -> DataFrame:
     """One row per column: type, rows, NULL count — from a single aggregate."""
@@ -100,17 +106,68 @@ def skewness(df: DataFrame, col: str = "inefficiency", by: list[str] | None = No
 
 def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7) -> DataFrame:
     """Pairs (upper triangle) with |Pearson r| > ``threshold``, each pair on its
-    pairwise complete rows: one built-in ``corr`` per pair (centred, merged across tasks) in a
-    single pass. A column without variance correlates with nothing."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    pairwise complete rows. A column without variance correlates with nothing.
+
+    Each task sums the centred moments of all pairs over blocks of rows and leaves one row a pair; these
+    are merged pair by pair. One ``corr`` a pair would be hundreds of buffers in one aggregate, too many for
+    generated code."""
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    one = d.agg(*[F.corr(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{k}").alias("corr"))
-                     for k, (a, b) in enumerate(pairs)])
-    out = one.select(F.explode(rows).alias("p")).select("p.*")
-    return out.filter(F.col("corr").isNotNull() & ~F.isnan("corr") & (F.abs(F.col("corr")) > threshold))
+
+    def centred(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``x`` less their means, and the means; equal values give zeros exactly."""
+        first = x[:, 0]
+        x = x - first[:, None]
+        mean = x.mean(axis=1)
+        return x - mean[:, None], first + mean
+
+    def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """(rows, means, squares, products) of two parts together, a column each pair."""
+        n, (dx, dy) = a[0] + b[0], b[1:3] - a[1:3]
+        share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+        apart = a[0] * share
+        return np.stack([n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dx * apart, a[4] + b[4] + dy * dy * apart, a[5] + b[5] + dx * dy * apart])
+
+    def moments(x: np.ndarray, there: np.ndarray) -> np.ndarray:
+        out, n = np.zeros((6, len(pairs))), x.shape[1]
+        whole = there.all(axis=1)
+        full = np.flatnonzero(whole)
+        at = np.cumsum(whole) - 1
+        z, mean = centred(x[full])
+        products = z @ z.T
+        for k, (i, j) in enumerate(pairs):
+            if whole[i] and whole[j]:
+                a, b = at[i], at[j]
+                out[:, k] = n, mean[a], mean[b], products[a, a], products[b, b], products[a, b]
+            elif (both := there[i] & there[j]).any():
+                own, means = centred(x[[i, j]][:, both])
+                out[:, k] = own.shape[1], *means, own[0] @ own[0], own[1] @ own[1], own[0] @ own[1]
+        return out
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = np.zeros((6, len(pairs)))
+        with np.errstate(all="ignore"):
+            for b in batches:
+                if b.num_rows:
+                    there = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in b.columns])
+                    x = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in b.columns])
+                    state = merged(state, moments(x, there))
+        some = np.flatnonzero(state[0] > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, *state[:, some])], ["pair", *MOMENTS])
+
+    def whole(table: pa.Table) -> pa.Table:
+        k, parts = table.column("pair")[0].as_py(), np.stack([table.column(c).to_numpy() for c in MOMENTS])[:, :, None]
+        state = np.zeros((6, 1))
+        with np.errstate(all="ignore"):
+            for part in range(parts.shape[1]):
+                state = merged(state, parts[:, part])
+            r = float((state[5] / np.sqrt(state[3] * state[4]))[0])
+        return pa.table({"col_a": [cols[pairs[k][0]]], "col_b": [cols[pairs[k][1]]], "corr": pa.array([r], pa.float64())})
+    d = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    parts = d.mapInArrow(summed, ", ".join(["pair long", *(f"{m} double" for m in MOMENTS)]))
+    out = parts.groupBy("pair").applyInArrow(whole, "col_a string, col_b string, corr double")
+    return out.filter(~F.isnan("corr") & (F.abs(F.col("corr")) > threshold))
 
 
 def class_distribution(df: DataFrame, label: str = "label", warn_below_pct: float = 10.0) -> DataFrame:
