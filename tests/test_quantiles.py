@@ -47,3 +47,24 @@ def test_small_groups_of_every_size(spark):
         x = [v for g, v in rows if g == r.g]
         for p, name in zip(probs, names):
             assert abs(r[name] - np.quantile(x, p)) < 1e-9, (r.g, p)
+
+
+def test_medians_of_several_columns(spark):
+    """As ``quantiles`` of each column; a row is shuffled once, not once for each column."""
+    from oeeflow.operators.quantiles import medians
+    df = spark.range(700).selectExpr("if(id % 11 = 0, null, id % 4) AS g", "id % 3 AS k", "id / 7 AS a", "if(id % 4 = 1, null, id % 9) AS b", "cast(null AS double) AS c")
+    m = medians(df, ["a", "b", "c"], ["g", "k"])
+    got = {(r["g"], r["k"]): (r["a"], r["b"], r["c"]) for r in m.collect()}
+    want = {c: {(r["g"], r["k"]): r["m"] for r in quantiles(df, c, [0.5], by=["g", "k"], names=["m"]).collect()} for c in ("a", "b", "c")}
+    assert got == {k: tuple(want[c].get(k) for c in ("a", "b", "c")) for k in want["a"]} and len(got) == 15
+    lines = m._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join, long = ([i for i, x in enumerate(lines) if word in x] for word in ("Join", "Generate"))
+    assert len(long) == 1 and long[0] < join[0]                             # above the join
+
+
+def test_forecast_features_write_only_what_is_read(spark, monkeypatch):
+    from oeeflow.plans import catalog
+    seen, real = [], catalog.materialize
+    monkeypatch.setattr(catalog, "materialize", lambda df, *a: seen.append(df.columns) or real(df, *a))
+    catalog.QUERIES["oee_forecast_features"](spark, "/root/testdata/sf0.001")
+    assert not {"machine", "cic_code", "work_hours", "scrap_material", "availability", "oee_class", "inefficiency"} & {*seen[0]}
